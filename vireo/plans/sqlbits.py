@@ -13,7 +13,7 @@ NL2 = "chr(10) || chr(10)"
 
 
 def _py_tokens(t: str) -> str:
-    return f"list_filter(regexp_split_to_array({t}, '{PY_WHITESPACE_RUN}'), w -> length(w) > 0)"
+    return f"list_filter(regexp_split_to_array({t}, '{PY_WHITESPACE_RUN}'), lambda w: length(w) > 0)"
 
 
 def _non_ws() -> str:
@@ -71,15 +71,15 @@ def features_sql(text: str, summary: str, mode: str = "ref") -> list[str]:
         toks = _py_tokens(t)
         wc = f"len({toks})"
         cc = f"length({t})"
-        tok_chars = f"list_sum(list_transform({toks}, w -> length(w)))"
-        nb = f"len(list_filter(string_split_regex({t}, '[.!?]+'), p -> regexp_matches(p, '{_non_ws()}')))"
+        tok_chars = f"list_sum(list_transform({toks}, lambda w: length(w)))"
+        nb = f"len(list_filter(string_split_regex({t}, '[.!?]+'), lambda p: regexp_matches(p, '{_non_ws()}')))"
         den = f"CAST(CASE WHEN {cc} > 0 THEN {cc} ELSE 1 END AS DOUBLE)"
         e = {
             "char_count": f"CAST({cc} AS DOUBLE)",
             "word_count": f"CAST({wc} AS DOUBLE)",
             "sentence_count": f"CAST(greatest({nb}, 1) AS DOUBLE)",
             "avg_word_length": f"CASE WHEN {wc} > 0 THEN {tok_chars} / {wc} ELSE 0.0 END",
-            "unique_word_ratio": (f"len(list_distinct(list_transform({toks}, w -> lower(w)))) / "
+            "unique_word_ratio": (f"len(list_distinct(list_transform({toks}, lambda w: lower(w)))) / "
                                   f"CAST(CASE WHEN {wc} > 0 THEN {wc} ELSE 1 END AS DOUBLE)"),
             "question_count": f"CAST({cc} - length(replace({t}, '?', '')) AS DOUBLE)",
             "exclamation_count": f"CAST({cc} - length(replace({t}, '!', '')) AS DOUBLE)",
