@@ -85,83 +85,111 @@ def ratio_den_floor1(num: Column, den: Column) -> Column:
     return _d(num) / _d(F.when(den > 0, den).otherwise(F.lit(1)))
 
 
-def feature_columns(text: Column, summary: Column, mode: str = "ref") -> dict[str, Column]:
-    """Name -> double expression for the 13 features in ``mode``."""
+# a maximal run between sentence marks that holds a non-whitespace character
+NON_BLANK_PIECE = "[^.!?]*?[^.!?" + PY_WHITESPACE_CLASS[1:-1] + "][^.!?]*"
+EDGE_WHITESPACE = "^" + PY_WHITESPACE_RUN + "|" + PY_WHITESPACE_RUN + "$"
+
+
+def _py_split(trimmed: Column) -> Column:
+    """``str.split()`` of an already edge-trimmed string, without a lambda."""
+    empty = F.array().cast("array<string>")
+    return F.when(trimmed == "", empty).otherwise(F.split(trimmed, PY_WHITESPACE_RUN))
+
+
+def feature_stages(text: Column, summary: Column, mode: str = "ref") -> list[dict[str, Column]]:
+    """The 13 features of ``mode`` as successive projections.
+
+    Every costly intermediate (a regex split, a distinct count) is computed
+    once in an inner projection and referenced by name in the next one;
+    Catalyst does not collapse projections that would duplicate such work.
+    The last stage maps feature name -> double expression.
+    """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
+    c = F.col
     if mode == "ref":
         t = F.coalesce(text, F.lit(""))
         s = F.coalesce(summary, F.lit(""))
-        cc = char_count(t)
-        wc = split_count(t, WORD_SPLIT)
-        sl = F.length(s)
-        return {
-            "char_count": _d(cc),
-            "word_count": _d(wc),
-            "sentence_count": _d(split_count(t, SENTENCE_SPLIT)),
-            "avg_word_length": ratio_or_zero(cc, wc),
-            "unique_word_ratio": ratio_or_zero(F.size(F.array_distinct(F.split(t, " "))), wc),
-            "question_count": _d(char_occurrences(t, "?")),
-            "exclamation_count": _d(char_occurrences(t, "!")),
-            "uppercase_ratio": ratio_or_zero(ascii_upper_count(t), cc),
-            "has_url": F.when(t.rlike(URL_PATTERN), 1.0).otherwise(0.0),
-            "paragraph_count": _d(split_count(t, PARAGRAPH_SPLIT)),
-            "summary_length": _d(sl),
-            "summary_word_count": _d(split_count(s, WORD_SPLIT)),
-            "content_density": ratio_or_zero(sl, cc),
+        base = {
+            "__cc": char_count(t), "__wc": split_count(t, WORD_SPLIT),
+            "__sc": split_count(t, SENTENCE_SPLIT), "__uw": F.size(F.array_distinct(F.split(t, " "))),
+            "__q": char_occurrences(t, "?"), "__e": char_occurrences(t, "!"),
+            "__up": ascii_upper_count(t), "__url": t.rlike(URL_PATTERN),
+            "__pc": split_count(t, PARAGRAPH_SPLIT), "__sl": F.length(s),
+            "__swc": split_count(s, WORD_SPLIT),
+        }
+        final = {
+            "char_count": _d(c("__cc")), "word_count": _d(c("__wc")),
+            "sentence_count": _d(c("__sc")),
+            "avg_word_length": ratio_or_zero(c("__cc"), c("__wc")),
+            "unique_word_ratio": ratio_or_zero(c("__uw"), c("__wc")),
+            "question_count": _d(c("__q")), "exclamation_count": _d(c("__e")),
+            "uppercase_ratio": ratio_or_zero(c("__up"), c("__cc")),
+            "has_url": F.when(c("__url"), 1.0).otherwise(0.0),
+            "paragraph_count": _d(c("__pc")), "summary_length": _d(c("__sl")),
+            "summary_word_count": _d(c("__swc")),
+            "content_density": ratio_or_zero(c("__sl"), c("__cc")),
         }
+        return [base, final]
     if mode == "script":
         t, s = text, summary
-        cc = char_count(t)
-        wc = split_count(t, WORD_SPLIT)
-        sentences = split_count(t, SENTENCE_SPLIT) - 1
-        lowered = py_tokens(F.lower(t))
-        n_tok = F.size(lowered)
-        cols = {
-            "char_count": _d(cc),
-            "word_count": _d(wc),
-            "sentence_count": _d(F.when(sentences < 1, F.lit(1)).otherwise(sentences)),
-            "avg_word_length": ratio_den_floor1(cc, wc),
+        pre = {"__low": F.regexp_replace(F.lower(t), EDGE_WHITESPACE, "")}
+        base = {
+            "__cc": char_count(t), "__wc": split_count(t, WORD_SPLIT),
+            "__sent": split_count(t, SENTENCE_SPLIT) - 1,
+            "__ltoks": _py_split(c("__low")),
+            "__q": char_occurrences(t, "?"), "__e": char_occurrences(t, "!"),
+            "__up": unicode_upper_count(t), "__url": t.contains("http"),
+            "__pc": split_count(t, PARAGRAPH_SPLIT), "__sl": F.length(s),
+            "__swc": split_count(s, WORD_SPLIT),
+        }
+        counts = {"__ntok": F.size(c("__ltoks")), "__nuniq": F.size(F.array_distinct(c("__ltoks")))}
+        final = {
+            "char_count": _d(c("__cc")), "word_count": _d(c("__wc")),
+            "sentence_count": _d(F.when(c("__sent") < 1, F.lit(1)).otherwise(c("__sent"))),
+            "avg_word_length": ratio_den_floor1(c("__cc"), c("__wc")),
             # "if not text: 0.0" -> empty text gives 0; else distinct/max(n,1)
-            "unique_word_ratio": F.when(F.length(t) > 0,
-                                        ratio_den_floor1(F.size(F.array_distinct(lowered)), n_tok))
+            "unique_word_ratio": F.when(c("__cc") > 0, ratio_den_floor1(c("__nuniq"), c("__ntok")))
                                   .otherwise(F.lit(0.0)),
-            "question_count": _d(split_count(t, r"\?") - 1),
-            "exclamation_count": _d(split_count(t, "!") - 1),
-            "uppercase_ratio": F.when(F.length(t) > 0,
-                                      _d(unicode_upper_count(t)) / _d(F.length(t)))
-                                .otherwise(F.lit(0.0)),
-            "has_url": F.when(t.contains("http"), 1.0).otherwise(0.0),
-            "paragraph_count": _d(split_count(t, PARAGRAPH_SPLIT)),
-            "summary_length": _d(F.length(s)),
-            "summary_word_count": _d(split_count(s, WORD_SPLIT)),
-            "content_density": ratio_den_floor1(F.length(s), cc),
+            "question_count": _d(c("__q")), "exclamation_count": _d(c("__e")),
+            "uppercase_ratio": F.when(c("__cc") > 0, _d(c("__up")) / _d(c("__cc"))).otherwise(F.lit(0.0)),
+            "has_url": F.when(c("__url"), 1.0).otherwise(0.0),
+            "paragraph_count": _d(c("__pc")), "summary_length": _d(c("__sl")),
+            "summary_word_count": _d(c("__swc")),
+            "content_density": ratio_den_floor1(c("__sl"), c("__cc")),
         }
-        return {k: F.coalesce(v, F.lit(0.0)) for k, v in cols.items()}
+        final = {k: F.coalesce(v, F.lit(0.0)) for k, v in final.items()}
+        return [pre, base, counts, final]
     # words
     t = F.coalesce(text, F.lit(""))
     s = F.coalesce(summary, F.lit(""))
-    toks = py_tokens(t)
-    wc = F.size(toks)
-    cc = char_count(t)
-    tok_chars = F.aggregate(toks, F.lit(0), lambda acc, w: acc + F.length(w))
-    pieces = F.split(t, SENTENCE_SPLIT)
-    non_blank = F.size(F.filter(pieces, lambda p: p.rlike(NON_WHITESPACE)))
-    return {
-        "char_count": _d(cc),
-        "word_count": _d(wc),
-        "sentence_count": _d(F.greatest(non_blank, F.lit(1))),
-        "avg_word_length": ratio_or_zero(tok_chars, wc),
-        "unique_word_ratio": ratio_den_floor1(F.size(F.array_distinct(F.transform(toks, F.lower))), wc),
-        "question_count": _d(char_occurrences(t, "?")),
-        "exclamation_count": _d(char_occurrences(t, "!")),
-        "uppercase_ratio": ratio_den_floor1(unicode_upper_count(t), cc),
-        "has_url": F.when(t.contains("http"), 1.0).otherwise(0.0),
-        "paragraph_count": _d(split_count(t, PARAGRAPH_SPLIT)),
-        "summary_length": _d(F.length(s)),
-        "summary_word_count": _d(F.size(py_tokens(s))),
-        "content_density": ratio_den_floor1(F.length(s), cc),
+    pre = {"__trim": F.regexp_replace(t, EDGE_WHITESPACE, ""),
+           "__strim": F.regexp_replace(s, EDGE_WHITESPACE, "")}
+    base = {
+        "__cc": char_count(t),
+        "__toks": _py_split(c("__trim")),
+        "__ltoks": _py_split(F.lower(c("__trim"))),
+        "__ink": F.length(F.regexp_replace(t, PY_WHITESPACE_CLASS, "")),
+        "__sent": F.regexp_count(t, F.lit(NON_BLANK_PIECE)),
+        "__q": char_occurrences(t, "?"), "__e": char_occurrences(t, "!"),
+        "__up": unicode_upper_count(t), "__url": t.contains("http"),
+        "__pc": split_count(t, PARAGRAPH_SPLIT), "__sl": F.length(s),
+        "__swc": F.size(_py_split(c("__strim"))),
+    }
+    counts = {"__wc": F.size(c("__toks")), "__nuniq": F.size(F.array_distinct(c("__ltoks")))}
+    final = {
+        "char_count": _d(c("__cc")), "word_count": _d(c("__wc")),
+        "sentence_count": _d(F.greatest(c("__sent"), F.lit(1))),
+        "avg_word_length": ratio_or_zero(c("__ink"), c("__wc")),
+        "unique_word_ratio": ratio_den_floor1(c("__nuniq"), c("__wc")),
+        "question_count": _d(c("__q")), "exclamation_count": _d(c("__e")),
+        "uppercase_ratio": ratio_den_floor1(c("__up"), c("__cc")),
+        "has_url": F.when(c("__url"), 1.0).otherwise(0.0),
+        "paragraph_count": _d(c("__pc")), "summary_length": _d(c("__sl")),
+        "summary_word_count": _d(c("__swc")),
+        "content_density": ratio_den_floor1(c("__sl"), c("__cc")),
     }
+    return [pre, base, counts, final]
 
 
 def first_line(text: Column) -> Column:

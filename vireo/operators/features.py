@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vireo.functions import text as tx
+from vireo.operators.parallel import spread
 
 BODY_FEATURES = tx.NUMERIC_FEATURES[:10]
 SUMMARY_FEATURES = tx.NUMERIC_FEATURES[10:]
@@ -28,14 +29,22 @@ def text_features(df: DataFrame, text_col: str, summary_col: str | None = None,
     """``df`` plus the 13 features of ``mode`` ('ref'|'script'|'words').
 
     Without a summary column the summary features use ''.  ``float32`` casts
-    like the reference transformer does.
+    like the reference transformer does.  The projections are fused with
+    the scan in one codegen stage; an under-split input is spread over the
+    cluster first (see ``parallel.spread``).
     """
     summary = F.col(summary_col) if summary_col else F.lit(None).cast("string")
-    cols = tx.feature_columns(F.col(text_col), summary, mode)
+    stages = tx.feature_stages(F.col(text_col), summary, mode)
     wanted = features or tx.NUMERIC_FEATURES
     out_type = "float" if float32 else "double"
     existing = [c for c in df.columns if c not in wanted]
-    return df.select(*existing, *[cols[n].cast(out_type).alias(n) for n in wanted])
+    cur = spread(df)
+    carried: list[str] = []
+    for stage in stages[:-1]:
+        cur = cur.select(*existing, *carried, *[e.alias(n) for n, e in stage.items()])
+        carried += list(stage)
+    final = stages[-1]
+    return cur.select(*existing, *[final[n].cast(out_type).alias(n) for n in wanted])
 
 
 def summary_features(df: DataFrame, summary_col: str, char_count_col: str = "char_count") -> DataFrame:

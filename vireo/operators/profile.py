@@ -205,20 +205,18 @@ def box_stats(df: DataFrame, by: str, col: str, upper: float | None = None) -> D
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson r for every pair ``a < b`` in ``cols`` order, long form.
 
-    Two passes (means first, then centred moments) to avoid cancellation.
-    NULL when a column is constant: ANSI ``corr`` would raise there.
+    One pass: ``covar_pop`` / ``var_pop`` are Spark's numerically stable
+    (centred, mergeable) moment aggregates, so no separate mean pass is
+    needed.  NULL when a column is constant, where ANSI ``corr`` would raise.
     """
     xs = {c: F.col(c).cast("double") for c in cols}
-    means = df.agg(*[F.avg(xs[c]).alias(c) for c in cols])
-    m = {c: means.select(c).scalar() for c in cols}   # merged into one subquery by Catalyst
-    d = {c: xs[c] - m[c] for c in cols}
-    aggs = [F.sum(d[c] * d[c]).alias(f"ss__{c}") for c in cols]
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    aggs += [F.sum(d[a] * d[b]).alias(f"sp__{a}__{b}") for a, b in pairs]
+    aggs = [F.var_pop(xs[c]).alias(f"v__{c}") for c in cols]
+    aggs += [F.covar_pop(xs[a], xs[b]).alias(f"c__{a}__{b}") for a, b in pairs]
     row = df.agg(*aggs)
     parts = [row.select(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                        F.round(F.col(f"sp__{a}__{b}") /
-                                F.nullif(F.sqrt(F.col(f"ss__{a}")) * F.sqrt(F.col(f"ss__{b}")), F.lit(0.0)),
+                        F.round(F.col(f"c__{a}__{b}") /
+                                F.nullif(F.sqrt(F.col(f"v__{a}") * F.col(f"v__{b}")), F.lit(0.0)),
                                 ROUND).alias("corr"))
              for a, b in pairs]
     out = parts[0]

@@ -26,6 +26,7 @@ from vireo.functions.stopwords import ENGLISH
 from vireo.functions.text import NUMERIC_FEATURES
 from vireo.operators.features import SummaryFeatures, TextFeatures, unique_word_ratio_stage
 from vireo.operators.joins import join_group_table, materialize
+from vireo.operators.parallel import spread
 
 # Fixed value: sklearn's default token rule "\b\w\w+\b" with \w spelled as
 # letters, digits and underscore, so Java regex and RE2 agree.
@@ -67,35 +68,34 @@ def fit_idf(df: DataFrame, col: str = "raw_tf", out: str = "tfidf", min_doc_freq
     return IDF(inputCol=col, outputCol=out, minDocFreq=min_doc_freq).fit(df)
 
 
-def term_counts(df: DataFrame, id_col: str, tokens: Column) -> DataFrame:
-    """``(id, term, tf)`` from a token-array expression; empty tokens dropped.
-    The (id, term) count is partially aggregated inside each map task."""
-    ex = df.select(F.col(id_col), F.explode(tokens).alias("term")).where(F.col("term") != "")
-    return ex.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+def term_counts(df: DataFrame, id_col: str, tokens: Column,
+                languages: tuple[str, ...] | None = ("english",)) -> DataFrame:
+    """``(id, term, tf)`` from a token-array expression; empty tokens and
+    stop words dropped after the explode (a hash-set ``InSet`` test per
+    token).  The (id, term) count is partially aggregated inside each map
+    task, so a term repeated in a document is one row before the shuffle."""
+    ex = spread(df).select(F.col(id_col), F.explode(tokens).alias("term"))
+    cond = F.col("term") != ""
+    if languages:
+        cond = cond & ~F.col("term").isin(stop_words(languages))
+    return ex.where(cond).groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def spark_tokens(text: Column, languages: tuple[str, ...] | None = ("english",)) -> Column:
-    """Tokenizer + StopWordsRemover as one array expression (same tokens)."""
-    toks = F.split(F.lower(text), JAVA_SPACE)
-    if languages:
-        sw = F.array(*[F.lit(w) for w in stop_words(languages)])
-        toks = F.filter(toks, lambda t: ~F.array_contains(sw, t))
-    return toks
+def spark_tokens(text: Column) -> Column:
+    """The Tokenizer's tokens as an array expression (lower, split on each
+    whitespace character)."""
+    return F.split(F.lower(text), JAVA_SPACE)
 
 
-def word_tokens(text: Column, languages: tuple[str, ...] | None = ("english",)) -> Column:
+def word_tokens(text: Column) -> Column:
     """sklearn-style tokens: lower-cased runs of 2+ word characters."""
-    toks = F.regexp_extract_all(F.lower(text), F.lit(WORD_TOKEN), 0)
-    if languages:
-        sw = F.array(*[F.lit(w) for w in stop_words(languages)])
-        toks = F.filter(toks, lambda t: ~F.array_contains(sw, t))
-    return toks
+    return F.regexp_extract_all(F.lower(text), F.lit(WORD_TOKEN), 0)
 
 
 def term_stats(df: DataFrame, id_col: str, text_col: str, min_doc_freq: int = 0,
                languages: tuple[str, ...] | None = ("english",)) -> DataFrame:
     """``(id, term, tf, df, idf, tfidf)`` with Spark IDF semantics."""
-    tf = term_counts(df, id_col, spark_tokens(F.col(text_col), languages))
+    tf = term_counts(df, id_col, spark_tokens(F.col(text_col)), languages)
     n_docs = df.agg(F.count(F.lit(1)).cast("double")).scalar()
     dfs = materialize(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
     rows = join_group_table(tf, dfs, ["term"], how="inner")
@@ -114,7 +114,7 @@ def vocab_tfidf(df: DataFrame, id_col: str, text_col: str, max_features: int = 5
     row L2-normalised over its kept terms.  The vocabulary is bounded by
     ``max_features``, which is what makes broadcasting it safe.
     """
-    tf = term_counts(df, id_col, word_tokens(F.col(text_col), languages))
+    tf = term_counts(df, id_col, word_tokens(F.col(text_col)), languages)
     n_docs = df.agg(F.count(F.lit(1)).cast("double")).scalar()
     per_term = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
     kept = per_term.where((F.col("df") >= min_df) & (F.col("df") <= n_docs * max_df))
