@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vireo.functions.hashing import key_hash32, poisson1_weight, stream_uniform
+from vireo.functions.rows import rows_from
 from vireo.operators.cumulative import DEFAULT_BUCKETS, below_sums
 
 ROUND = 6
@@ -45,12 +46,13 @@ def metrics_from_cells(cells: DataFrame, by: list[str] | None = None) -> DataFra
     precision, weighted recall, weighted F1 (0 for an empty class)."""
     by = by or []
     n = F.col("n").cast("double")
-    as_label = cells.select(*by, F.col("label").cast("double").alias("cls"), n.alias("a"), F.lit(0.0).alias("h"),
-                            F.when(F.col("label") == F.col("prediction"), n).otherwise(0.0).alias("tp"))
-    as_pred = cells.select(*by, F.col("prediction").cast("double").alias("cls"), F.lit(0.0).alias("a"),
-                           n.alias("h"), F.lit(0.0).alias("tp"))
-    per_class = as_label.unionByName(as_pred).groupBy(*by, "cls").agg(
-        F.sum("a").alias("a"), F.sum("h").alias("h"), F.sum("tp").alias("tp"))
+    # each cell counts once for its label's class (a, tp) and once for its
+    # prediction's class (h): two rows from one, without a union
+    per_class = rows_from(cells, [
+        {"cls": F.col("label").cast("double"), "a": n, "h": F.lit(0.0),
+         "tp": F.when(F.col("label") == F.col("prediction"), n).otherwise(0.0)},
+        {"cls": F.col("prediction").cast("double"), "a": F.lit(0.0), "h": n, "tp": F.lit(0.0)},
+    ], keep=by).groupBy(*by, "cls").agg(F.sum("a").alias("a"), F.sum("h").alias("h"), F.sum("tp").alias("tp"))
     total = F.sum("a").over(Window.partitionBy(*by)) if by else F.sum("a").over(Window.partitionBy())
     per_class = per_class.withColumn("N", total)
     share = F.col("a") / F.col("N")
@@ -136,13 +138,13 @@ def bootstrap_ci(df: DataFrame, key: str, label: str = "label", prediction: str
     per_rep = metrics_from_cells(cells, ["rep"])
     lo, hi = (1.0 - ci) / 2.0, 1.0 - (1.0 - ci) / 2.0
     point = metrics_from_cells(confusion(df, label, prediction))
-    parts = []
-    for m in ("accuracy", "f1"):
-        agg = per_rep.agg(F.avg(m).alias("mean"), F.percentile(m, F.lit(lo)).alias("lower"),
-                          F.percentile(m, F.lit(hi)).alias("upper"))
-        parts.append(agg.select(F.lit(m).alias("metric"), F.round(point.select(m).scalar(), ROUND).alias("point"),
-                                *[F.round(c, ROUND).alias(c) for c in ("mean", "lower", "upper")]))
-    return parts[0].unionByName(parts[1])
+    ms = ("accuracy", "f1")
+    agg = per_rep.agg(*[a for m in ms for a in (
+        F.avg(m).alias(f"{m}_mean"), F.percentile(m, F.lit(lo)).alias(f"{m}_lower"),
+        F.percentile(m, F.lit(hi)).alias(f"{m}_upper"))])
+    return rows_from(agg, [{"metric": F.lit(m), "point": F.round(point.select(m).scalar(), ROUND),
+                            "mean": F.round(f"{m}_mean", ROUND), "lower": F.round(f"{m}_lower", ROUND),
+                            "upper": F.round(f"{m}_upper", ROUND)} for m in ms])
 
 
 def bootstrap_replicates(df: DataFrame, key: str, label: str = "label", prediction: str = "prediction",
@@ -162,13 +164,10 @@ def stability(df: DataFrame, key: str, label: str = "label", prediction: str = "
         return F.when(u < F.lit(float(fraction)), F.lit(1)).otherwise(F.lit(0))
     cells = _replicate_cells(df, key, label, prediction, runs, keep, seed, 1_000_000)
     per_run = metrics_from_cells(cells, ["rep"])
-    parts = [per_run.agg(F.lit(m).alias("metric"), F.round(F.avg(m), ROUND).alias("mean"),
-                         F.round(F.stddev_pop(m), ROUND).alias("std"))
-             for m in ("accuracy", "precision", "f1")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    ms = ("accuracy", "precision", "f1")
+    agg = per_run.agg(*[a for m in ms for a in (F.avg(m).alias(f"{m}_mean"), F.stddev_pop(m).alias(f"{m}_std"))])
+    return rows_from(agg, [{"metric": F.lit(m), "mean": F.round(f"{m}_mean", ROUND),
+                            "std": F.round(f"{m}_std", ROUND)} for m in ms])
 
 
 def stability_grade(stab: DataFrame, metric: str = "f1") -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vireo.functions.rows import rows_from
 from vireo.operators.label import activity_threshold, group_activity
 
 ROUND = 6
@@ -120,18 +121,15 @@ def describe_numeric(df: DataFrame, cols: list[str], quartiles: bool = True,
         if quartiles:
             aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias(f"{c}__q"))
     row = df.agg(*aggs)
-    parts = []
+    rows = []
     for c in cols:
-        sel = [F.lit(c).alias("column"), F.col(f"{c}__count").cast("bigint").alias("count"),
-               F.round(f"{c}__mean", ROUND).alias("mean"), F.round(f"{c}__stddev", ROUND).alias("stddev"),
-               F.col(f"{c}__min").alias("min"), F.col(f"{c}__max").alias("max")]
+        r = {"column": F.lit(c), "count": F.col(f"{c}__count").cast("bigint"),
+             "mean": F.round(f"{c}__mean", ROUND), "stddev": F.round(f"{c}__stddev", ROUND),
+             "min": F.col(f"{c}__min"), "max": F.col(f"{c}__max")}
         if quartiles:
-            sel += [F.col(f"{c}__q")[i].alias(n) for i, n in enumerate(["q1", "median", "q3"])]
-        parts.append(row.select(*sel))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            r.update({n: F.col(f"{c}__q")[i] for i, n in enumerate(["q1", "median", "q3"])})
+        rows.append(r)
+    return rows_from(row, rows)
 
 
 def group_distribution(df: DataFrame, group: str, k: int | None = 30) -> DataFrame:
@@ -214,15 +212,11 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     aggs = [F.var_pop(xs[c]).alias(f"v__{c}") for c in cols]
     aggs += [F.covar_pop(xs[a], xs[b]).alias(f"c__{a}__{b}") for a, b in pairs]
     row = df.agg(*aggs)
-    parts = [row.select(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                        F.round(F.col(f"c__{a}__{b}") /
-                                F.nullif(F.sqrt(F.col(f"v__{a}") * F.col(f"v__{b}")), F.lit(0.0)),
-                                ROUND).alias("corr"))
-             for a, b in pairs]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return rows_from(row, [{"col_a": F.lit(a), "col_b": F.lit(b),
+                            "corr": F.round(F.col(f"c__{a}__{b}") /
+                                            F.nullif(F.sqrt(F.col(f"v__{a}") * F.col(f"v__{b}")), F.lit(0.0)),
+                                            ROUND)}
+                           for a, b in pairs])
 
 
 def class_profile(df: DataFrame, label: str, cols: list[str],
@@ -257,15 +251,11 @@ def quality_funnel(df: DataFrame, steps: list[tuple[str, object]]) -> DataFrame:
             cond = cond & F.coalesce(step, F.lit(False))
             aggs.append(F.count_if(cond).alias(f"s{i}"))
     row = df.agg(*aggs)
-    parts = [row.select(F.lit(i).alias("step_no"), F.lit(n).alias("step"),
-                        F.col(f"s{i - 1}").cast("bigint").alias("rows_before"),
-                        F.col(f"s{i}").cast("bigint").alias("rows_after"),
-                        (F.col(f"s{i - 1}") - F.col(f"s{i}")).cast("bigint").alias("removed"))
-             for i, n in enumerate(names, start=1)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return rows_from(row, [{"step_no": F.lit(i), "step": F.lit(n),
+                            "rows_before": F.col(f"s{i - 1}").cast("bigint"),
+                            "rows_after": F.col(f"s{i}").cast("bigint"),
+                            "removed": (F.col(f"s{i - 1}") - F.col(f"s{i}")).cast("bigint")}
+                           for i, n in enumerate(names, start=1)])
 
 
 def schema_info(df: DataFrame, roles: dict[str, str] | None = None) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vireo.functions.hashing import key_hash32, key_uniform, unit_from_hash
+from vireo.functions.rows import rows_from
 
 U = "__u"
 # Ranks inside a class are computed per bucket of the 32-bit hash; 2^16
@@ -98,12 +99,8 @@ def nested_fractions(df: DataFrame, key: str, fractions: list[float], seed: int
     """``(fraction, rows)`` for every fraction in one pass."""
     u = key_uniform(F.col(key), seed)
     row = df.agg(*[F.count_if(u < F.lit(float(f))).alias(f"f{i}") for i, f in enumerate(fractions)])
-    parts = [row.select(F.lit(float(f)).alias("fraction"), F.col(f"f{i}").cast("bigint").alias("rows"))
-             for i, f in enumerate(fractions)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return rows_from(row, [{"fraction": F.lit(float(f)), "rows": F.col(f"f{i}").cast("bigint")}
+                           for i, f in enumerate(fractions)])
 
 
 def fold_column(key: str, k: int, seed: int = 42):

@@ -22,6 +22,7 @@ from pyspark.ml.feature import (HashingTF, IDF, StandardScaler, StopWordsRemover
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vireo.functions.rows import rows_from
 from vireo.functions.stopwords import ENGLISH
 from vireo.functions.text import NUMERIC_FEATURES
 from vireo.operators.features import SummaryFeatures, TextFeatures, unique_word_ratio_stage
@@ -231,13 +232,9 @@ def feature_catalog(assembled: DataFrame, vector_col: str = "raw_features") -> D
     named = [(i, n) for i, n in slots if n in info]
     stats = assembled.agg(*[F.avg(n).alias(f"m{i}") for i, n in named],
                           *[F.stddev_samp(n).alias(f"s{i}") for i, n in named])
-    parts = [stats.select(F.lit(i).alias("index"), F.lit(n).alias("name"), F.lit(info[n][0]).alias("category"),
-                          F.lit(info[n][1]).alias("description"), F.round(f"m{i}", 6).alias("mean"),
-                          F.round(f"s{i}", 6).alias("stddev")) for i, n in named]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return rows_from(stats, [{"index": F.lit(i), "name": F.lit(n), "category": F.lit(info[n][0]),
+                              "description": F.lit(info[n][1]), "mean": F.round(f"m{i}", 6),
+                              "stddev": F.round(f"s{i}", 6)} for i, n in named])
 
 
 def width_of(vec: Column) -> Column:
