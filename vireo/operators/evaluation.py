@@ -126,15 +126,46 @@ def _replicate_cells(df: DataFrame, key: str, label: str, prediction: str, repli
     return x.groupBy("rep", "label", "prediction").agg(F.sum(w).alias("n"))
 
 
+def _cell_poisson_cells(df: DataFrame, label: str, prediction: str, replicates: int, seed: int) -> DataFrame:
+    """Replicate cells drawn per cell: the sum of n independent Poisson(1)
+    row weights is Poisson(n), so a replicate's cell total can be drawn
+    directly -- work O(replicates x cells) after one confusion count, with
+    the same distribution as per-row weights."""
+    import numpy as np
+    import pandas as pd
+
+    def draw(n, rep, y, p):
+        out = [np.random.default_rng([seed, int(r), int(a) + 2, int(b) + 2]).poisson(float(m))
+               for m, r, a, b in zip(n, rep, y, p)]
+        return pd.Series(out, dtype="int64")
+
+    # real (not postponed) annotations: they tell Spark this is a Series UDF
+    draw.__annotations__ = {"n": pd.Series, "rep": pd.Series, "y": pd.Series, "p": pd.Series,
+                            "return": pd.Series}
+    poisson_total = F.pandas_udf(draw, "long")
+
+    cells = confusion(df, label, prediction)
+    reps = cells.withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
+    return reps.select("rep", "label", "prediction",
+                       poisson_total("n", "rep", "label", "prediction").alias("n"))
+
+
 def bootstrap_ci(df: DataFrame, key: str, label: str = "label", prediction: str = "prediction",
-                 replicates: int = 100, ci: float = 0.95, seed: int = 42) -> DataFrame:
+                 replicates: int = 100, ci: float = 0.95, seed: int = 42, method: str = "rows") -> DataFrame:
     """H5: ``(metric, point, mean, lower, upper)`` for accuracy and weighted F1.
 
-    Poisson(1) bootstrap: each row gets an independent Poisson(1) weight per
-    replicate, a pure function of (seed, key, replicate).  A replicate's
-    size equals the row count only on average.
+    Poisson(1) bootstrap.  ``method='rows'``: each row gets an independent
+    Poisson(1) weight per replicate, a pure function of (seed, key,
+    replicate), summed map-side into cells (SQL-reproducible; O(rows x
+    replicates) cheap integer work).  ``method='cells'``: the same
+    distribution drawn per (replicate, cell) -- O(replicates x cells), for
+    very large inputs.  A replicate's size equals the row count only on
+    average.
     """
-    cells = _replicate_cells(df, key, label, prediction, replicates, poisson1_weight, seed, 0)
+    if method == "cells":
+        cells = _cell_poisson_cells(df, label, prediction, replicates, seed)
+    else:
+        cells = _replicate_cells(df, key, label, prediction, replicates, poisson1_weight, seed, 0)
     per_rep = metrics_from_cells(cells, ["rep"])
     lo, hi = (1.0 - ci) / 2.0, 1.0 - (1.0 - ci) / 2.0
     point = metrics_from_cells(confusion(df, label, prediction))

@@ -6,7 +6,8 @@ it would use one core no matter how many the cluster has.  ``spread`` adds a
 repartition only when the input has fewer partitions than the session's
 default parallelism -- on a large table (thousands of splits) it is a no-op
 and costs nothing, on an under-split input it buys every core for the price
-of one shuffle of the input columns.
+of one shuffle of the input columns.  Inputs that already went through a
+shuffle are left alone (their partition count is the shuffle's).
 """
 
 from __future__ import annotations
@@ -19,6 +20,11 @@ def spread(df: DataFrame, min_partitions: int | None = None, by: str | None = No
     cluster's default parallelism).  With ``by`` the rows are hash-partitioned
     on that column (deterministic under task retries without a sort)."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= target:
+    if df.isStreaming:
+        return df
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # Input that is already shuffled has shuffle-sized partitions; and asking
+    # an adaptive or subquery-bearing plan for its RDD would run its stages.
+    if "Exchange" in plan or "Subquery" in plan or df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, by) if by else df.repartition(target)

@@ -98,6 +98,9 @@ def term_stats(df: DataFrame, id_col: str, text_col: str, min_doc_freq: int = 0,
     """``(id, term, tf, df, idf, tfidf)`` with Spark IDF semantics."""
     tf = term_counts(df, id_col, spark_tokens(F.col(text_col)), languages)
     n_docs = df.agg(F.count(F.lit(1)).cast("double")).scalar()
+    # only the per-term table (one row per distinct term) is materialised and
+    # counted; re-tokenising for the join is cheaper than writing (doc, term)
+    # rows through a checkpoint
     dfs = materialize(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
     rows = join_group_table(tf, dfs, ["term"], how="inner")
     idf = F.when(F.col("df") >= min_doc_freq,

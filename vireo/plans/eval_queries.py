@@ -104,6 +104,12 @@ def q_bootstrap_ci(spark, sf):
     return ev.bootstrap_ci(scored_labels(spark, sf), "doc_id", replicates=100, ci=0.95, seed=42)
 
 
+@query("bootstrap_ci_cells")
+def q_bootstrap_ci_cells(spark, sf):
+    """The per-cell Poisson draw (numpy inside tasks): rows-only."""
+    return ev.bootstrap_ci(scored_labels(spark, sf), "doc_id", replicates=100, ci=0.95, seed=42, method="cells")
+
+
 def _stability_sql(runs: int = 10, frac: float = 0.8) -> str:
     u = stream_unit("h", "rep + 1000000")
     parts = [f"""SELECT '{m}' AS metric, {rnd(f"avg({m})")} AS mean, {rnd(f"stddev_pop({m})")} AS std FROM m"""
