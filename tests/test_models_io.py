@@ -89,3 +89,14 @@ def test_partition_filter_and_pushdown_in_plan(spark):
     scan = docs.where(F.col("n_chars") > 100).select("doc_id")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(n_chars), GreaterThan(n_chars,100)]" in scan
     assert "ReadSchema: struct<doc_id:bigint,n_chars:bigint>" in scan
+
+
+def test_write_predictions_roundtrip(spark, planted):
+    pipe = vec.build_pipeline("text", "summary", "group", num_features=64, min_doc_freq=1)
+    _, train, test = md.prepare(planted, pipe, "id", "y")
+    pred = md.logistic(max_iter=10).fit(train).transform(test)
+    path = os.path.join(tempfile.mkdtemp(prefix="vireo-pred-"), "p")
+    files.write_predictions(pred.withColumnRenamed("id", "doc_id"), path)
+    back = spark.read.parquet(path)
+    assert set(back.columns) == {"doc_id", "label", "prediction", "probability", "rawPrediction"}
+    assert back.count() == test.count()

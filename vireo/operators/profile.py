@@ -43,8 +43,7 @@ def schema_check(df: DataFrame, expected: list[str]) -> DataFrame:
 def missing_profile(df: DataFrame) -> DataFrame:
     """B2: null-or-blank count and percentage per column, one pass, by pct desc."""
     fields = df.schema.fields
-    aggs = [F.sum(F.when(_blank_or_null(f.name, f.dataType), 1).otherwise(0)).cast("bigint").alias(f.name)
-            for f in fields]
+    aggs = [F.count_if(_blank_or_null(f.name, f.dataType)).alias(f.name) for f in fields]
     row = df.agg(F.count(F.lit(1)).alias("__rows"), *aggs)
     long = row.unpivot(["__rows"], [f.name for f in fields], "column", "missing")
     return (long.select("column", "missing",
