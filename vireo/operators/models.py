@@ -69,6 +69,25 @@ def prepare(df: DataFrame, pipeline: Pipeline, key: str, label: str, test_fracti
     return model, out(train_raw), out(tagged.where(F.col("__part") == 1))
 
 
+def cache_for_fit(df: DataFrame, rows_per_partition: int = 50_000) -> DataFrame:
+    """Persist a training frame sized for iterative fitting.
+
+    Every optimiser iteration or tree level is one Spark job over the
+    training frame: the frame is re-split into balanced partitions -- one
+    per core at least (tree learners aggregate histograms per partition), and
+    ceil(rows / ``rows_per_partition``) on large inputs -- and persisted, so
+    fits never re-run the feature pipeline.  The count also fills the cache.
+    """
+    import math
+
+    n = df.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    target = max(cores, math.ceil(n / rows_per_partition))
+    out = df.repartition(target).persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
+    return out
+
+
 def score(model, df: DataFrame) -> DataFrame:
     """Raw scores, probability, prediction and the positive score."""
     return ev.positive_score(model.transform(df), "probability", "score")
@@ -78,7 +97,7 @@ def train_all(train: DataFrame, test: DataFrame, estimators: dict, key: str = "i
     """Fit each estimator (timed), score the test part, and return
     ``(fitted, metrics)`` where metrics has one row per model with
     accuracy, precision, recall, f1, auc and train_seconds."""
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train = cache_for_fit(train)
     fitted, rows, timings = {}, [], []
     try:
         for name, est in estimators.items():
@@ -105,7 +124,7 @@ def tune(estimator, grid: dict, train: DataFrame, key: str, folds: int = 3, para
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=builder.build(),
                         evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0),
                         numFolds=folds, foldCol="__fold", parallelism=parallelism, seed=seed)
-    data = train.withColumn("__fold", fold_column(key, folds, seed)).persist(StorageLevel.MEMORY_AND_DISK)
+    data = cache_for_fit(train.withColumn("__fold", fold_column(key, folds, seed)))
     try:
         return cv.fit(data)
     finally:
