@@ -52,6 +52,12 @@ def activity_threshold(df: DataFrame, group: str, q: float = 0.8,
     return sizes.agg(threshold_expr("n", q, method).cast("double").alias("threshold"))
 
 
+def _activity_table(sizes: DataFrame, q: float, method: str, label_col: str) -> DataFrame:
+    thr = sizes.agg(threshold_expr("n", q, method).cast("double")).scalar()
+    return (sizes.withColumn("threshold", thr)
+                 .withColumn(label_col, (F.col("n") >= F.col("threshold")).cast("int")))
+
+
 def group_activity(df: DataFrame, group: str, q: float = 0.8, method: str = "element",
                    label_col: str = "is_active") -> DataFrame:
     """C8 table: ``(group, n, threshold, label)`` for every non-null group.
@@ -59,10 +65,7 @@ def group_activity(df: DataFrame, group: str, q: float = 0.8, method: str = "ele
     The threshold is a scalar subquery over the same sizes, so the plan stays
     lazy and no value travels through Python.
     """
-    sizes = group_sizes(df, group)
-    thr = activity_threshold(df, group, q, method).scalar()
-    return (sizes.withColumn("threshold", thr)
-                 .withColumn(label_col, (F.col("n") >= F.col("threshold")).cast("int")))
+    return _activity_table(group_sizes(df, group), q, method, label_col)
 
 
 def active_groups(df: DataFrame, group: str, q: float = 0.8, method: str = "element",
@@ -81,11 +84,13 @@ def activity_label(df: DataFrame, group: str, q: float = 0.8, method: str = "ele
     """``df`` plus ``label_col`` = 1 when its group's size >= threshold.
 
     Rows with a null group, which never enter the group table, get 0.
-    The group table is materialised once (checkpoint) so the size check, the
-    threshold subquery and the join all reuse it.
+    The group sizes are materialised once (checkpoint), so the size check,
+    the threshold and the join all read the stored table instead of
+    re-aggregating the rows.
     """
-    table = materialize(group_activity(df, group, q, method, label_col))
+    sizes = materialize(group_sizes(df, group))        # the one full pass over the rows
+    table = _activity_table(sizes, q, method, label_col)  # threshold from the stored sizes
     cols = [group, label_col] + (["n"] if keep_size else [])
     joined = join_group_table(df, table.select(*cols), [group], how="left",
-                              max_broadcast_rows=max_broadcast_rows)
+                              max_broadcast_rows=max_broadcast_rows, table_rows=sizes.count())
     return joined.withColumn(label_col, F.coalesce(F.col(label_col), F.lit(0)))
