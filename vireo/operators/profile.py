@@ -174,16 +174,24 @@ def histogram(df: DataFrame, col: str, bins: int = 50, upper: float | None = Non
                          F.round(lo + (F.col("bin") + 1) * width, ROUND).alias("hi"), "n")
 
 
-def box_stats(df: DataFrame, by: str, col: str, upper: float | None = None) -> DataFrame:
-    """Per class q1, median, q3 (linear), 1.5-IQR fences, whisker ends and
-    outlier count.  With ``upper`` the values are bounded, which also bounds
-    the exact-percentile buffer (one entry per distinct value)."""
+def box_stats(df: DataFrame, by: str, col: str, upper: float | None = None,
+              exact: bool = True, accuracy: int = 10_000) -> DataFrame:
+    """Per class q1, median, q3, 1.5-IQR fences, whisker ends and
+    outlier count.
+
+    ``exact=True`` interpolates linearly like the plotting library did; its
+    buffer holds one entry per distinct value, which a count-like column
+    capped by ``upper`` bounds.  For continuous columns at scale use
+    ``exact=False`` (a ``percentile_approx`` sketch of fixed size).
+    """
     x = F.col(col).cast("double")
     kept = df.select(F.col(by), x.alias("x")).where(F.col("x").isNotNull())
     if upper is not None:
         kept = kept.where(F.col("x") < upper)
-    q = kept.groupBy(by).agg(F.count(F.lit(1)).alias("n"),
-                             F.percentile("x", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
+    probs = [0.25, 0.5, 0.75]
+    quart = (F.percentile("x", F.array(*[F.lit(p) for p in probs])) if exact
+             else F.percentile_approx("x", probs, accuracy))
+    q = kept.groupBy(by).agg(F.count(F.lit(1)).alias("n"), quart.alias("q"))
     q = q.select(by, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     q = q.withColumn("lower_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
          .withColumn("upper_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
