@@ -43,8 +43,8 @@ def q_confusion(spark, sf):
 
 
 @query("confusion_wide", f"""
-SELECT count_if(label = 1 AND prediction = 1) AS tp, count_if(label <> 1 AND prediction <> 1) AS tn,
-       count_if(label <> 1 AND prediction = 1) AS fp, count_if(label = 1 AND prediction <> 1) AS fn
+SELECT count_if(label = 1 AND prediction = 1)::BIGINT AS tp, count_if(label <> 1 AND prediction <> 1)::BIGINT AS tn,
+       count_if(label <> 1 AND prediction = 1)::BIGINT AS fp, count_if(label = 1 AND prediction <> 1)::BIGINT AS fn
 FROM {SCORED_SQL}""")
 def q_confusion_wide(spark, sf):
     return ev.confusion_wide(scored_labels(spark, sf))

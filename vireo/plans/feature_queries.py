@@ -66,7 +66,7 @@ def q_eda_features(spark, sf):
 
 
 @query("has_url", """
-SELECT page_id, CASE WHEN regexp_matches(coalesce(html, ''), 'https?://\\S+') THEN 1.0 ELSE 0.0 END AS has_url
+SELECT page_id, CAST(CASE WHEN regexp_matches(coalesce(html, ''), 'https?://\\S+') THEN 1.0 ELSE 0.0 END AS DOUBLE) AS has_url
 FROM pages""")
 def q_has_url(spark, sf):
     p = table(spark, sf, "pages")

@@ -205,7 +205,7 @@ q AS (SELECT quality, count(*) AS n, quantile_cont(x, 0.25) AS q1, quantile_cont
 f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lower_fence, q3 + 1.5 * (q3 - q1) AS upper_fence FROM q),
 w AS (SELECT k.quality, min(CASE WHEN x >= lower_fence AND x <= upper_fence THEN x END) AS whisker_low,
              max(CASE WHEN x >= lower_fence AND x <= upper_fence THEN x END) AS whisker_high,
-             count_if(NOT (x >= lower_fence AND x <= upper_fence)) AS outliers
+             count_if(NOT (x >= lower_fence AND x <= upper_fence))::BIGINT AS outliers
       FROM k JOIN f ON k.quality = f.quality GROUP BY k.quality)
 SELECT f.quality, n, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
        round(lower_fence, 6) AS lower_fence, round(upper_fence, 6) AS upper_fence,

@@ -25,7 +25,7 @@ def q_strong_scaling(spark, sf):
 
 @query("weak_scaling", f"""
 SELECT job, cores, time, round(time / arg_min(time, cores) OVER (PARTITION BY job), 6) AS relative_time,
-  1.0 AS ideal FROM {RUNS_SQL}""")
+  CAST(1.0 AS DOUBLE) AS ideal FROM {RUNS_SQL}""")
 def q_weak_scaling(spark, sf):
     return sc.weak_scaling(_runs(spark, sf))
 

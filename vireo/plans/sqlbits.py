@@ -36,7 +36,7 @@ def features_sql(text: str, summary: str, mode: str = "ref") -> list[str]:
             "question_count": f"CAST({cc} - length(replace({t}, '?', '')) AS DOUBLE)",
             "exclamation_count": f"CAST({cc} - length(replace({t}, '!', '')) AS DOUBLE)",
             "uppercase_ratio": f"CASE WHEN {cc} > 0 THEN length(regexp_replace({t}, '[^A-Z]', '', 'g')) / {cc} ELSE 0.0 END",
-            "has_url": f"CASE WHEN regexp_matches({t}, 'https?://\\S+') THEN 1.0 ELSE 0.0 END",
+            "has_url": f"CAST(CASE WHEN regexp_matches({t}, 'https?://\\S+') THEN 1.0 ELSE 0.0 END AS DOUBLE)",
             "paragraph_count": f"CAST(len(string_split({t}, {NL2})) AS DOUBLE)",
             "summary_length": f"CAST({sl} AS DOUBLE)",
             "summary_word_count": f"CAST(len(string_split_regex({s}, '\\s+')) AS DOUBLE)",
@@ -59,7 +59,7 @@ def features_sql(text: str, summary: str, mode: str = "ref") -> list[str]:
             "question_count": f"CAST(len(string_split_regex({t}, '\\?')) - 1 AS DOUBLE)",
             "exclamation_count": f"CAST(len(string_split_regex({t}, '!')) - 1 AS DOUBLE)",
             "uppercase_ratio": f"CASE WHEN length({t}) > 0 THEN {up} / length({t}) ELSE 0.0 END",
-            "has_url": f"CASE WHEN contains({t}, 'http') THEN 1.0 ELSE 0.0 END",
+            "has_url": f"CAST(CASE WHEN contains({t}, 'http') THEN 1.0 ELSE 0.0 END AS DOUBLE)",
             "paragraph_count": f"CAST(len(string_split({t}, {NL2})) AS DOUBLE)",
             "summary_length": f"CAST(length({s}) AS DOUBLE)",
             "summary_word_count": f"CAST(len(string_split_regex({s}, '\\s+')) AS DOUBLE)",
@@ -84,7 +84,7 @@ def features_sql(text: str, summary: str, mode: str = "ref") -> list[str]:
             "question_count": f"CAST({cc} - length(replace({t}, '?', '')) AS DOUBLE)",
             "exclamation_count": f"CAST({cc} - length(replace({t}, '!', '')) AS DOUBLE)",
             "uppercase_ratio": f"length(regexp_replace({t}, '\\P{{Lu}}', '', 'g')) / {den}",
-            "has_url": f"CASE WHEN contains({t}, 'http') THEN 1.0 ELSE 0.0 END",
+            "has_url": f"CAST(CASE WHEN contains({t}, 'http') THEN 1.0 ELSE 0.0 END AS DOUBLE)",
             "paragraph_count": f"CAST(len(string_split({t}, {NL2})) AS DOUBLE)",
             "summary_length": f"CAST(length({s}) AS DOUBLE)",
             "summary_word_count": f"CAST(len({_py_tokens(s)}) AS DOUBLE)",
