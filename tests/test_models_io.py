@@ -100,3 +100,20 @@ def test_write_predictions_roundtrip(spark, planted):
     back = spark.read.parquet(path)
     assert set(back.columns) == {"doc_id", "label", "prediction", "probability", "rawPrediction"}
     assert back.count() == test.count()
+
+
+def test_inferred_csv_counts_bad_rows(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="vireo-bad-"), "t.csv")
+    with open(path, "w") as f:
+        f.write("id,score\n1,2.5\n2,3.5\n3,oops\n")
+    df = files.read_csv_inferred(spark, path, multi_line=False)
+    # the first pass infers score as string because of the bad value; with a
+    # numeric schema the bad line is caught
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("score", T.DoubleType()),
+                           T.StructField("_corrupt_record", T.StringType())])
+    strict = (spark.read.option("header", True).schema(schema).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", "_corrupt_record").csv(path))
+    counts = files.bad_row_count(strict).first()
+    assert (counts["rows"], counts["bad_rows"]) == (3, 1)
+    assert "_corrupt_record" in df.columns and df.count() == 3
