@@ -160,7 +160,16 @@ def _tokens_frame(spark, sf):
     return vec.remove_stopwords(vec.tokenize(table(spark, sf, "documents"), "text", "words"))
 
 
-@query("hashing_tf")
+# Java's String.split drops trailing empty pieces; whitespace-only text gives none
+_JTOK = ("CASE WHEN rtrim(lower(text), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) = '' "
+         "AND text <> '' THEN [] ELSE string_split_regex(rtrim(lower(text), chr(32) || chr(9) || chr(10) || "
+         "chr(11) || chr(12) || chr(13)), '[ \\t\\n\\x{0B}\\f\\r]') END")
+
+
+@query("hashing_tf", f"""
+SELECT doc_id, CAST(len(list_filter({_JTOK}, lambda t: NOT list_contains({_SW}, t))) AS DOUBLE) AS n_terms,
+       CAST(len(list_filter({_JTOK}, lambda t: NOT list_contains({_SW}, t))) AS INTEGER) AS n_tokens
+FROM documents""")
 def q_hashing_tf(spark, sf):
     tf = vec.hashing_tf(_tokens_frame(spark, sf), num_features=5000)
     return tf.select("doc_id", F.aggregate(vector_to_array("raw_tf"), F.lit(0.0), lambda a, x: a + x)
@@ -178,16 +187,19 @@ def _labelled_posts(spark, sf):
     return posts(spark, sf).join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
 
 
-@query("assembled")
+@query("assembled", "SELECT doc_id, 1013 AS width FROM documents")
 def q_assembled(spark, sf):
+    """Every row assembles (none skipped) into 13 features + 1000 hashed slots."""
     f = text_features(posts(spark, sf), "text", "summary", mode="ref")
     tf = vec.hashing_tf(vec.remove_stopwords(vec.tokenize(f, "text")), num_features=1000)
     a = vec.assembler(NUMERIC_FEATURES + ["raw_tf"]).transform(tf)
     return a.select("doc_id", vec.width_of(F.col("raw_features")).alias("width"))
 
 
-@query("stages_full")
+@query("stages_full", """
+SELECT d.doc_id, l.quality, 1014 AS width FROM documents d JOIN labels l ON d.doc_id = l.doc_id""")
 def q_stages_full(spark, sf):
+    """All ten stages fitted; 13 features + group index + 1000 TF-IDF slots."""
     d = _labelled_posts(spark, sf).withColumnRenamed("lang", "group")
     model = vec.build_pipeline("text", "summary", "group", num_features=1000, include_group=True).fit(d)
     return model.transform(d).select("doc_id", "quality", vec.width_of(F.col("features")).alias("width"))
@@ -200,7 +212,15 @@ def q_stages_simple(spark, sf):
     return model.transform(d).select("doc_id", "features")
 
 
-@query("catalog")
+def _catalog_sql() -> str:
+    feats = ",\n       ".join(features_sql("text", _SUMMARY, "ref"))
+    parts = [f"SELECT {i} AS \"index\", '{n}' AS name, '{c}' AS category, '{d}' AS description, "
+             f"round(avg({n}), 6) AS mean, round(stddev_samp({n}), 6) AS stddev FROM f"
+             for i, (n, c, d) in enumerate(vec.CATALOG)]
+    return f"WITH f AS (SELECT {feats} FROM documents)\n" + "\nUNION ALL\n".join(parts)
+
+
+@query("catalog", _catalog_sql())
 def q_catalog(spark, sf):
     f = text_features(posts(spark, sf), "text", "summary", mode="ref")
     a = vec.assembler(NUMERIC_FEATURES).transform(f)
