@@ -46,3 +46,23 @@ def test_broadcast_in_plan(spark):
     df = _groups(spark, [3, 2, 1])
     plan = label.activity_label(df, "grp")._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" in plan
+
+
+def test_hot_key_salting_equals_broadcast(spark):
+    from vireo.operators.joins import join_group_table
+    df = _groups(spark, [400, 5, 5, 7, 1, 2, 3, 50])
+    sizes = label.group_sizes(df, "grp")
+    a = join_group_table(df, sizes, ["grp"], "left")
+    b = join_group_table(df, sizes, ["grp"], "left", max_broadcast_rows=0, size_col="n", hot_rows=40)
+    c = join_group_table(df, sizes, ["grp"], "left", max_broadcast_rows=0, size_col="n")
+    want = sorted(a.groupBy("grp", "n").count().collect())
+    assert sorted(b.groupBy("grp", "n").count().collect()) == want
+    assert sorted(c.groupBy("grp", "n").count().collect()) == want
+    assert b.count() == df.count()
+
+
+def test_keep_size_column(spark):
+    df = _groups(spark, [3, 1])
+    out = label.activity_label(df, "grp", keep_size=True)
+    assert "n" in out.columns and "__size" not in out.columns
+    assert "__size" not in label.activity_label(df, "grp").columns

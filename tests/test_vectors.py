@@ -55,3 +55,10 @@ def test_scale_columns_zero_variance(spark):
     sd = math.sqrt(sum((x - 7 / 3) ** 2 for x in (1, 2, 4)) / 2)
     assert [r["a"] for r in out] == pytest.approx([1 / sd, 2 / sd, 4 / sd])
     assert all(r["b"] == 0.0 for r in out)
+
+
+def test_term_stats_salted_join_equals_broadcast(docs):
+    a = vec.term_stats(docs, "doc_id", "text").select("doc_id", "term", "tf", "df")
+    b = vec.term_stats(docs, "doc_id", "text", max_broadcast_rows=0).select("doc_id", "term", "tf", "df")
+    assert a.count() == b.count()
+    assert a.exceptAll(b).count() == 0

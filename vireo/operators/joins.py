@@ -7,9 +7,13 @@ third of all rows.  Strategy:
 * materialise the group table once (reliable checkpoint in the shared
   checkpoint folder), count it, and broadcast it only when the count is below
   ``max_broadcast_rows`` -- a proven bound, not an estimate;
-* otherwise do a shuffle join with the big side salted over ``salt_buckets``
-  and the group table replicated per salt, so a hot key is spread over
-  ``salt_buckets`` tasks instead of landing in one.
+* otherwise a shuffle join on (key, salt).  When the table carries each
+  key's row count (``size_col``), only *hot* keys -- those holding at least
+  ``total / (4 x parallelism)`` rows -- are salted: their rows are spread
+  over ``salt_buckets`` tasks and their table row is replicated per salt.
+  There are at most ``4 x parallelism`` hot keys, so the hot-key list is
+  broadcast with a proven bound, and the cold keys join once, unsalted.
+  Without sizes, every key is salted (the table is replicated per salt).
 """
 
 from __future__ import annotations
@@ -22,7 +26,9 @@ from vireo.session import cut_lineage
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 DEFAULT_SALT_BUCKETS = 64
+HOT_SHARE_DIVISOR = 4
 _SALT = "__vireo_salt"
+_HOT = "__vireo_hot"
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -34,13 +40,36 @@ def materialize(df: DataFrame) -> DataFrame:
 def join_group_table(big: DataFrame, table: DataFrame, keys: list[str], how: str = "left",
                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                      salt_buckets: int = DEFAULT_SALT_BUCKETS,
-                     table_rows: int | None = None) -> DataFrame:
-    """``big ⋈ table`` on ``keys`` where ``table`` is unique on ``keys``."""
+                     table_rows: int | None = None, size_col: str | None = None,
+                     hot_rows: int | None = None) -> DataFrame:
+    """``big ⋈ table`` on ``keys`` where ``table`` is unique on ``keys``.
+
+    ``size_col`` names the column of ``table`` holding each key's row count
+    in ``big``; with it only hot keys are salted (``hot_rows`` overrides the
+    hot threshold).  The size column is not added to the output unless it
+    is already part of ``table``'s selected columns.
+    """
     if how not in ("left", "inner"):
         raise ValueError("only left and inner joins keep the big side whole")
     n = table.count() if table_rows is None else table_rows
     if n <= max_broadcast_rows:
         return big.join(F.broadcast(table), on=keys, how=how)
-    salted_big = big.withColumn(_SALT, salt([F.col(c) for c in big.columns], salt_buckets))
-    replicated = table.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    return salted_big.join(replicated, on=keys + [_SALT], how=how).drop(_SALT)
+    row_hash = salt([F.col(c) for c in big.columns], salt_buckets)
+    if size_col is None:
+        salted_big = big.withColumn(_SALT, row_hash)
+        replicated = table.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+        return salted_big.join(replicated, on=keys + [_SALT], how=how).drop(_SALT)
+
+    if hot_rows is None:
+        total = table.agg(F.sum(size_col)).first()[0] or 0
+        parallelism = big.sparkSession.sparkContext.defaultParallelism
+        hot_rows = max(1, total // (HOT_SHARE_DIVISOR * parallelism))
+    # at most total / hot_rows = 4 x parallelism keys: a bounded broadcast
+    hot = table.where(F.col(size_col) >= hot_rows).select(*keys).withColumn(_HOT, F.lit(True))
+    tagged = big.join(F.broadcast(hot), on=keys, how="left")
+    salted_big = tagged.withColumn(_SALT, F.when(F.col(_HOT), row_hash).otherwise(F.lit(0))).drop(_HOT)
+    side = table.join(F.broadcast(hot), on=keys, how="left")
+    side = side.withColumn(_SALT, F.explode(
+        F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))
+    )).drop(_HOT)
+    return salted_big.join(side, on=keys + [_SALT], how=how).drop(_SALT)

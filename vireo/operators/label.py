@@ -90,7 +90,8 @@ def activity_label(df: DataFrame, group: str, q: float = 0.8, method: str = "ele
     """
     sizes = materialize(group_sizes(df, group))        # the one full pass over the rows
     table = _activity_table(sizes, q, method, label_col)  # threshold from the stored sizes
-    cols = [group, label_col] + (["n"] if keep_size else [])
-    joined = join_group_table(df, table.select(*cols), [group], how="left",
-                              max_broadcast_rows=max_broadcast_rows, table_rows=sizes.count())
-    return joined.withColumn(label_col, F.coalesce(F.col(label_col), F.lit(0)))
+    side = table.select(group, label_col, F.col("n").alias("__size"))
+    joined = join_group_table(df, side, [group], how="left", max_broadcast_rows=max_broadcast_rows,
+                              table_rows=sizes.count(), size_col="__size")
+    joined = joined.withColumn(label_col, F.coalesce(F.col(label_col), F.lit(0)))
+    return joined.withColumnRenamed("__size", "n") if keep_size else joined.drop("__size")

@@ -26,7 +26,7 @@ from vireo.functions.rows import rows_from
 from vireo.functions.stopwords import ENGLISH
 from vireo.functions.text import NUMERIC_FEATURES
 from vireo.operators.features import SummaryFeatures, TextFeatures, unique_word_ratio_stage
-from vireo.operators.joins import join_group_table, materialize
+from vireo.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, join_group_table, materialize
 from vireo.operators.parallel import spread
 
 # Fixed value: sklearn's default token rule "\b\w\w+\b" with \w spelled as
@@ -94,7 +94,8 @@ def word_tokens(text: Column) -> Column:
 
 
 def term_stats(df: DataFrame, id_col: str, text_col: str, min_doc_freq: int = 0,
-               languages: tuple[str, ...] | None = ("english",)) -> DataFrame:
+               languages: tuple[str, ...] | None = ("english",),
+               max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """``(id, term, tf, df, idf, tfidf)`` with Spark IDF semantics."""
     tf = term_counts(df, id_col, spark_tokens(F.col(text_col)), languages)
     n_docs = df.agg(F.count(F.lit(1)).cast("double")).scalar()
@@ -102,7 +103,8 @@ def term_stats(df: DataFrame, id_col: str, text_col: str, min_doc_freq: int = 0,
     # counted; re-tokenising for the join is cheaper than writing (doc, term)
     # rows through a checkpoint
     dfs = materialize(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
-    rows = join_group_table(tf, dfs, ["term"], how="inner")
+    rows = join_group_table(tf, dfs, ["term"], how="inner", size_col="df",
+                            max_broadcast_rows=max_broadcast_rows)
     idf = F.when(F.col("df") >= min_doc_freq,
                  F.log((n_docs + 1.0) / (F.col("df") + 1.0))).otherwise(F.lit(0.0))
     return rows.select(id_col, "term", "tf", "df", idf.alias("idf"), (F.col("tf") * idf).alias("tfidf"))
