@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vireo.functions.hashing import key_uniform
+from vireo.functions.hashing import key_uniform, salt
 
 # Fixed value: the post schema of the source CSV (8 nullable strings).
 POST_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in
@@ -87,11 +87,19 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, by: list[str] | str) -> None:
-    """Parquet partitioned by ``by``.  Rows are first clustered by the
-    partition columns so each task writes few files per partition value."""
+def write_partitioned(df: DataFrame, path: str, by: list[str] | str, files_per_value: int = 16,
+                      max_records_per_file: int = 5_000_000) -> None:
+    """Parquet partitioned by ``by``.
+
+    Rows are clustered by the partition columns plus a row-hash salt, so each
+    partition value is written by up to ``files_per_value`` tasks: few files
+    per value, and a value holding a third of the table is not one task.
+    ``max_records_per_file`` bounds file size within a task.
+    """
     cols = [by] if isinstance(by, str) else list(by)
-    (df.repartition(*cols).write.mode("overwrite").option("compression", "snappy")
+    spread_key = salt([F.col(c) for c in df.columns], files_per_value)
+    (df.repartition(*[F.col(c) for c in cols], spread_key).write.mode("overwrite")
+       .option("compression", "snappy").option("maxRecordsPerFile", max_records_per_file)
        .partitionBy(*cols).parquet(path))
 
 
