@@ -82,3 +82,12 @@ def test_feature_plan_has_no_python(spark):
     for mode in ("ref", "script", "words"):
         plan = text_features(df, "text", None, mode)._jdf.queryExecution().executedPlan().toString()
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_notebook_mode(spark):
+    df = spark.createDataFrame([(1, "A! B? C...D\n\nE", "x y"), (2, "", "")], "id int, text string, s string")
+    r = {x["id"]: x for x in text_features(df, "text", "s", "notebook").collect()}
+    assert r[1]["sentence_count"] == 3.0          # runs of [.!?]
+    assert r[1]["paragraph_count"] == 2.0         # blank lines + 1
+    assert r[1]["word_count"] == 4.0 and r[1]["summary_word_count"] == 2.0
+    assert r[2]["word_count"] == 0.0 and r[2]["avg_word_length"] == 0.0

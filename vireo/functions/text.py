@@ -11,6 +11,8 @@ Python worker.  Three modes reproduce the three published variants:
               (the original ran these two as Python UDFs), nulls to 0.0.
 ``words``  -- the pandas variant: Python ``str.split()`` tokens, true mean
               word length, non-blank sentence pieces.
+``notebook`` -- the comparison notebook's pandas variant: runs of sentence
+              marks, blank-line count + 1, ASCII upper case, URL prefix.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ NUMERIC_FEATURES = [
     "summary_length", "summary_word_count", "content_density",
 ]
 
-MODES = ("ref", "script", "words")
+MODES = ("ref", "script", "words", "notebook")
 
 
 def _d(c: Column) -> Column:
@@ -160,6 +162,34 @@ def feature_stages(text: Column, summary: Column, mode: str = "ref") -> list[dic
         }
         final = {k: F.coalesce(v, F.lit(0.0)) for k, v in final.items()}
         return [pre, base, counts, final]
+    if mode == "notebook":
+        t = F.coalesce(text, F.lit(""))
+        s = F.coalesce(summary, F.lit(""))
+        pre = {"__trim": F.regexp_replace(t, EDGE_WHITESPACE, ""),
+               "__strim": F.regexp_replace(s, EDGE_WHITESPACE, "")}
+        base = {
+            "__cc": char_count(t), "__toks": _py_split(c("__trim")),
+            "__ltoks": _py_split(F.lower(c("__trim"))),
+            "__sent": F.regexp_count(t, F.lit(SENTENCE_SPLIT)),
+            "__q": char_occurrences(t, "?"), "__e": char_occurrences(t, "!"),
+            "__up": ascii_upper_count(t), "__url": t.rlike(EDA_URL_PATTERN),
+            "__pc": F.regexp_count(t, F.lit(PARAGRAPH_SPLIT)) + 1, "__sl": F.length(s),
+            "__swc": F.size(_py_split(c("__strim"))),
+        }
+        counts = {"__wc": F.size(c("__toks")), "__nuniq": F.size(F.array_distinct(c("__ltoks")))}
+        final = {
+            "char_count": _d(c("__cc")), "word_count": _d(c("__wc")),
+            "sentence_count": _d(c("__sent")),
+            "avg_word_length": ratio_den_floor1(c("__cc"), c("__wc")),
+            "unique_word_ratio": ratio_den_floor1(c("__nuniq"), c("__wc")),
+            "question_count": _d(c("__q")), "exclamation_count": _d(c("__e")),
+            "uppercase_ratio": ratio_den_floor1(c("__up"), c("__cc")),
+            "has_url": F.when(c("__url"), 1.0).otherwise(0.0),
+            "paragraph_count": _d(c("__pc")), "summary_length": _d(c("__sl")),
+            "summary_word_count": _d(c("__swc")),
+            "content_density": ratio_den_floor1(c("__sl"), c("__cc")),
+        }
+        return [pre, base, counts, final]
     # words
     t = F.coalesce(text, F.lit(""))
     s = F.coalesce(summary, F.lit(""))

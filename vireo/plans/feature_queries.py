@@ -23,7 +23,7 @@ def _features_query(mode: str):
     return f"SELECT doc_id,\n       {feats}\nFROM documents", run
 
 
-for _mode in ("ref", "script", "words"):
+for _mode in ("ref", "script", "words", "notebook"):
     _sql, _fn = _features_query(_mode)
     query(f"text_features_{_mode}", _sql)(_fn)
 

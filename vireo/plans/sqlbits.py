@@ -66,6 +66,28 @@ def features_sql(text: str, summary: str, mode: str = "ref") -> list[str]:
             "content_density": f"length({s}) / CAST(CASE WHEN {cc} > 0 THEN {cc} ELSE 1 END AS DOUBLE)",
         }
         e = {k: f"coalesce({v}, 0.0)" for k, v in e.items()}
+    elif mode == "notebook":
+        t, s = f"coalesce({text}, '')", f"coalesce({summary}, '')"
+        toks = _py_tokens(t)
+        wc = f"len({toks})"
+        cc = f"length({t})"
+        den = f"CAST(CASE WHEN {cc} > 0 THEN {cc} ELSE 1 END AS DOUBLE)"
+        wden = f"CAST(CASE WHEN {wc} > 0 THEN {wc} ELSE 1 END AS DOUBLE)"
+        e = {
+            "char_count": f"CAST({cc} AS DOUBLE)",
+            "word_count": f"CAST({wc} AS DOUBLE)",
+            "sentence_count": f"CAST(len(regexp_extract_all({t}, '[.!?]+')) AS DOUBLE)",
+            "avg_word_length": f"{cc} / {wden}",
+            "unique_word_ratio": f"len(list_distinct(list_transform({toks}, lambda w: lower(w)))) / {wden}",
+            "question_count": f"CAST({cc} - length(replace({t}, '?', '')) AS DOUBLE)",
+            "exclamation_count": f"CAST({cc} - length(replace({t}, '!', '')) AS DOUBLE)",
+            "uppercase_ratio": f"length(regexp_replace({t}, '[^A-Z]', '', 'g')) / {den}",
+            "has_url": f"CAST(CASE WHEN regexp_matches({t}, 'https?://') THEN 1.0 ELSE 0.0 END AS DOUBLE)",
+            "paragraph_count": f"CAST(len(regexp_extract_all({t}, {NL2})) + 1 AS DOUBLE)",
+            "summary_length": f"CAST(length({s}) AS DOUBLE)",
+            "summary_word_count": f"CAST(len({_py_tokens(s)}) AS DOUBLE)",
+            "content_density": f"length({s}) / {den}",
+        }
     else:
         t, s = f"coalesce({text}, '')", f"coalesce({summary}, '')"
         toks = _py_tokens(t)
