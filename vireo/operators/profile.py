@@ -104,12 +104,14 @@ def dataset_overview(df: DataFrame, group: str, q: float = 0.8, method: str = "e
 
 
 def describe_numeric(df: DataFrame, cols: list[str], quartiles: bool = True,
-                     accuracy: int = 1_000_000) -> DataFrame:
+                     accuracy: int = 1_000_000, method: str = "approx") -> DataFrame:
     """``(column, count, mean, stddev, min, max[, q1, median, q3])``.
 
-    Quartiles use ``percentile_approx`` (a bounded-size sketch) so they stay
-    cheap on continuous columns at any scale; at the default accuracy they are
-    exact elements on tables of up to ~1e6 rows.
+    ``method='approx'``: quartiles from ``percentile_approx`` (a bounded-size
+    sketch), cheap on continuous columns at any scale and exact elements on
+    tables of up to ~1e6 rows at the default accuracy.  ``method='linear'``:
+    interpolated like pandas' describe, via exact ``percentile`` -- its buffer
+    holds one entry per distinct value, so keep it for bounded columns.
     """
     aggs = []
     for c in cols:
@@ -118,7 +120,10 @@ def describe_numeric(df: DataFrame, cols: list[str], quartiles: bool = True,
                  F.stddev_samp(x).alias(f"{c}__stddev"), F.min(x).alias(f"{c}__min"),
                  F.max(x).alias(f"{c}__max")]
         if quartiles:
-            aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias(f"{c}__q"))
+            probs = [0.25, 0.5, 0.75]
+            q = (F.percentile(x, F.array(*[F.lit(p) for p in probs])) if method == "linear"
+                 else F.percentile_approx(x, probs, accuracy))
+            aggs.append(q.alias(f"{c}__q"))
     row = df.agg(*aggs)
     rows = []
     for c in cols:

@@ -83,6 +83,20 @@ def q_describe_numeric(spark, sf):
     return profile.describe_numeric(table(spark, sf, "customer"), CUST_NUM)
 
 
+@query("describe_linear", union_all([f"""
+SELECT '{c}' AS "column", count({c})::BIGINT AS count, {rnd(f"avg({c})")} AS mean,
+       {rnd(f"stddev_samp({c})")} AS stddev, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,
+       {rnd(f"quantile_cont({c}, 0.25)")} AS q1, {rnd(f"quantile_cont({c}, 0.5)")} AS median,
+       {rnd(f"quantile_cont({c}, 0.75)")} AS q3
+FROM lineitem""" for c in ["l_quantity", "l_discount"]]))
+def q_describe_linear(spark, sf):
+    """Interpolated quartiles like pandas' describe (exact percentile, on
+    columns with few distinct values: quantities and discounts)."""
+    out = profile.describe_numeric(table(spark, sf, "lineitem"), ["l_quantity", "l_discount"], method="linear")
+    return out.select("column", "count", "mean", "stddev", "min", "max",
+                      *[F.round(c, 6).alias(c) for c in ("q1", "median", "q3")])
+
+
 @query("dataset_overview", f"""
 WITH g AS (SELECT lang, count(*) AS n FROM documents WHERE lang IS NOT NULL GROUP BY lang),
 t AS (SELECT CAST(quantile_disc(n, 0.8) AS DOUBLE) AS thr FROM g),
