@@ -1,8 +1,8 @@
 """Column expressions for the 13 hand-made text features.
 
-All are JVM built-ins (split/size/length/regexp/higher-order functions), so a
+All are JVM built-ins (split/size/length/regexp), without lambdas, so a
 feature projection stays inside whole-stage codegen and never starts a
-Python worker.  Three modes reproduce the three published variants:
+Python worker.  Four modes reproduce the published variants:
 
 ``ref``    -- the pipeline transformer (features computed on the text with
               nulls filled by '' first; regex ``\\s+`` split keeps edge blanks).
@@ -27,7 +27,6 @@ PY_WHITESPACE_CLASS = (
     r"\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 )
 PY_WHITESPACE_RUN = PY_WHITESPACE_CLASS + "+"
-NON_WHITESPACE = PY_WHITESPACE_CLASS[0] + "^" + PY_WHITESPACE_CLASS[1:]
 
 # Patterns of the reference features.
 WORD_SPLIT = r"\s+"
@@ -73,11 +72,6 @@ def unicode_upper_count(t: Column) -> Column:
     return F.length(F.regexp_replace(t, r"\P{IsUppercase}", ""))
 
 
-def py_tokens(t: Column) -> Column:
-    """Python ``str.split()``: whitespace runs, no empty tokens."""
-    return F.filter(F.split(t, PY_WHITESPACE_RUN), lambda w: F.length(w) > 0)
-
-
 def ratio_or_zero(num: Column, den: Column) -> Column:
     return F.when(den > 0, _d(num) / _d(den)).otherwise(F.lit(0.0))
 

@@ -1,8 +1,9 @@
-"""Text features as one projection, plus the pipeline-stage wrappers.
+"""Text features as staged projections, plus the pipeline-stage wrappers.
 
-``text_features`` emits all 13 features in a single ``select`` of built-in
-expressions, so the whole thing is one codegen'd projection fused with the
-scan -- no Python worker, no chain of ``withColumn`` plan nodes.
+``text_features`` emits all 13 features through a few ``select``s of
+built-in expressions (each costly intermediate -- a regex split, a distinct
+count -- computed once and referenced by name), fused with the scan in one
+codegen stage: no Python worker, no chain of ``withColumn`` plan nodes.
 """
 
 from __future__ import annotations
