@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vireo.functions.rows import rows_from
+from vireo.operators.joins import join_group_table, materialize
 from vireo.operators.label import activity_threshold, group_activity
 
 ROUND = 6
@@ -200,8 +201,11 @@ def box_stats(df: DataFrame, by: str, col: str, upper: float | None = None,
     q = q.select(by, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     q = q.withColumn("lower_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
          .withColumn("upper_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    # one row per class: broadcasting it is bounded by the number of classes
-    j = kept.join(F.broadcast(q.select(by, "lower_fence", "upper_fence")), by)
+    # one row per class, stored once; joined back by broadcast when the
+    # counted table is small, with hot classes salted otherwise
+    q = materialize(q)
+    j = join_group_table(kept, q.select(by, "lower_fence", "upper_fence", F.col("n").alias("__size")),
+                         [by], how="inner", size_col="__size").drop("__size")
     inside = (F.col("x") >= F.col("lower_fence")) & (F.col("x") <= F.col("upper_fence"))
     w = j.groupBy(by).agg(F.min(F.when(inside, F.col("x"))).alias("whisker_low"),
                           F.max(F.when(inside, F.col("x"))).alias("whisker_high"),
