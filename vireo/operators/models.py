@@ -11,7 +11,7 @@ from __future__ import annotations
 import time
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -65,6 +65,27 @@ def base_models(script: bool = False) -> dict:
             "decision_tree": decision_tree(), "gbt": gbt()}
 
 
+def fit_pipeline(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
+    """``pipeline.fit`` that persists the stage input in front of each
+    estimator while fitting, so the feature and token stages run once for
+    the whole fit instead of once per estimator (indexer, IDF, scaler).
+    The persisted frames are released before returning; the result is the
+    same ``PipelineModel`` with every stage."""
+    stages, held, cur = [], [], df
+    try:
+        for st in pipeline.getStages():
+            if isinstance(st, Estimator):
+                cur = cur.persist(StorageLevel.MEMORY_AND_DISK)
+                held.append(cur)
+                st = st.fit(cur)
+            stages.append(st)
+            cur = st.transform(cur)
+    finally:
+        for h in held:
+            h.unpersist()
+    return PipelineModel(stages=stages)
+
+
 def prepare(df: DataFrame, pipeline: Pipeline, key: str, label: str, test_fraction: float = 0.2,
             seed: int = 42):
     """Split ``df`` by key hash, fit ``pipeline`` on the training part only,
@@ -72,7 +93,7 @@ def prepare(df: DataFrame, pipeline: Pipeline, key: str, label: str, test_fracti
     part = split_column(key, [1.0 - test_fraction, test_fraction], seed)
     tagged = df.withColumn("__part", part).withColumn("label", F.col(label).cast("double"))
     train_raw = tagged.where(F.col("__part") == 0)
-    model = pipeline.fit(train_raw)
+    model = fit_pipeline(pipeline, train_raw)
     def out(d):
         return model.transform(d).select(key, "label", "features")
     return model, out(train_raw), out(tagged.where(F.col("__part") == 1))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vireo.functions.text import NUMERIC_FEATURES
 from vireo.operators import vectors as vec
+from vireo.operators.models import fit_pipeline
 from vireo.operators.features import eda_features, summary_features, text_features, unique_word_ratio_stage
 from vireo.plans.registry import posts, query, table
 from vireo.plans.sqlbits import features_sql, rnd
@@ -201,14 +202,14 @@ SELECT d.doc_id, l.quality, 1014 AS width FROM documents d JOIN labels l ON d.do
 def q_stages_full(spark, sf):
     """All ten stages fitted; 13 features + group index + 1000 TF-IDF slots."""
     d = _labelled_posts(spark, sf).withColumnRenamed("lang", "group")
-    model = vec.build_pipeline("text", "summary", "group", num_features=1000, include_group=True).fit(d)
+    model = fit_pipeline(vec.build_pipeline("text", "summary", "group", num_features=1000, include_group=True), d)
     return model.transform(d).select("doc_id", "quality", vec.width_of(F.col("features")).alias("width"))
 
 
 @query("stages_simple")
 def q_stages_simple(spark, sf):
     d = table(spark, sf, "documents")
-    model = vec.build_simple_pipeline("text", num_features=1000).fit(d)
+    model = fit_pipeline(vec.build_simple_pipeline("text", num_features=1000), d)
     return model.transform(d).select("doc_id", "features")
 
 
