@@ -117,3 +117,10 @@ def test_inferred_csv_counts_bad_rows(spark):
     counts = files.bad_row_count(strict).first()
     assert (counts["rows"], counts["bad_rows"]) == (3, 1)
     assert "_corrupt_record" in df.columns and df.count() == 3
+
+
+def test_fit_pipeline_equals_pipeline_fit(planted):
+    pipe = vec.build_pipeline("text", "summary", "group", num_features=64, min_doc_freq=1, include_group=True)
+    a = pipe.fit(planted).transform(planted).select("id", vector_to_array("features").alias("f"))
+    b = md.fit_pipeline(pipe, planted).transform(planted).select("id", vector_to_array("features").alias("f"))
+    assert sorted(a.collect()) == sorted(b.collect())
