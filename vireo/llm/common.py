@@ -160,6 +160,20 @@ def word_hashes(column: pa.Array, lower: bool = False, prefixes: tuple[int, ...]
     return np.concatenate(hashes), counts, *[np.concatenate(x) for x in short]
 
 
+def word_counts(column: pa.Array) -> np.ndarray:
+    """Words per text."""
+    raw, off = text_buffers(column)
+    edge = np.zeros(len(raw) + 1, dtype=bool)
+    edge[off] = True
+    starts = [np.zeros(0, np.int64)]
+    for lo, hi in _cuts(raw, SLICE_BYTES):
+        white = _IS_SPACE[raw[lo:hi]]
+        first = ~white
+        first[1:] &= white[:-1] | edge[lo + 1:hi]
+        starts.append(np.flatnonzero(first) + lo)
+    return np.diff(np.searchsorted(np.concatenate(starts), off))
+
+
 def within(counts: np.ndarray) -> np.ndarray:
     """For group sizes, the index of every member inside its group."""
     ends = np.cumsum(counts)
