@@ -27,6 +27,7 @@ only the named ones are read.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vireo.llm.common import mix64, stored, word_counts
+from vireo.llm.common import WORD, mix64, stored, word_counts
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE, MOST = 1.5, 2.0
@@ -44,6 +45,7 @@ SHARD_SLOTS = 65_536
 CHUNK_DOCS = 4096
 MAX_SOURCES = 1_000_000
 SEED = 11
+_WORD = re.compile(WORD)
 
 
 def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, with_text: bool = False) -> DataFrame:
@@ -182,3 +184,46 @@ def mix_digest(docs: DataFrame) -> DataFrame:
              .agg(F.sum(F.coalesce("times", F.lit(0)) * F.col("words")).alias("taken")))
     facts = docs.sparkSession.createDataFrame([(i, int(r.size_), float(r.target)) for i, r in enumerate(sources.rename(columns={"size": "size_"}).itertuples())] or [(-1, 0, 0.0)], "source_id int, source_size long, target double")
     return taken.join(facts, "source_id").select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+def _cut_words(text: str, ranges: list[tuple[int, int]]) -> str:
+    """The words [a, b) of ``text`` for sorted ranges; neighbours merge, and a merged run keeps its white space."""
+    merged: list[list[int]] = []
+    for a, n in ranges:
+        if merged and merged[-1][1] == a:
+            merged[-1][1] = a + n
+        else:
+            merged.append([a, a + n])
+    spans = [m.span() for m in _WORD.finditer(text)]
+    return "\n".join(text[spans[a][0]:spans[b - 1][1]] for a, b in merged)
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                    weights=WEIGHTS, share: float = SHARE, most: float = MOST, block: int = BLOCK, seed: int = SEED) -> DataFrame:
+    """The mix as documents: for every pass over a source, each document that has blocks taken in it gives one row.
+
+    A document whose blocks are all taken keeps its text as it is; else the text is
+    its taken words in order.  Other columns stay; rows without words give nothing.
+    """
+    schema = docs.schema
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pa.array(word_counts(batch.column(batch.schema.get_field_index(text_col)).cast(pa.string())))
+            yield pa.RecordBatch.from_arrays([*batch.columns, sizes], [*batch.schema.names, "__mix_size"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    kept = stored(docs.mapInArrow(count, f"{fields}, __mix_size long").withColumn("__mix_row", F.monotonically_increasing_id()), "mix-documents")
+    rows = kept.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.col("__mix_size").alias("size"), F.col("__mix_row").alias("row"))
+    sources = source_table(rows, weights, share, most, block)
+    _, pieces = placed_blocks(rows, sources, block)
+    slots = slot_table(docs.sparkSession, sources, seed)
+    taken = (slots.join(pieces.where("words > 0"), ["source_id", "block"]).groupBy(F.col("row").alias("__mix_row"), "pass")
+             .agg(F.array_sort(F.collect_list(F.struct("from_word", "words"))).alias("__mix_ranges"), F.sum("words").alias("__mix_taken")))
+
+    @F.udf("string")
+    def cut(text, ranges):
+        return _cut_words(text, [(r["from_word"], r["words"]) for r in ranges])
+
+    text = F.when(F.col("__mix_taken") == F.col("__mix_size"), F.col(text_col)).otherwise(cut(F.col(text_col).cast("string"), F.col("__mix_ranges")))
+    return kept.join(taken, "__mix_row").withColumn(text_col, text).select(*docs.columns)
