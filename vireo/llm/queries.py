@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vireo.llm import mixing, near_dup, packing, secrets, zstd_quality
+from vireo.llm import ann_blocks, collision, mixing, near_dup, packing, secrets, zstd_quality
 from vireo.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,11 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@query
+def op1_block_matrix_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_blocks.nearest(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op2_bagminhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicate_classes(table(spark, sf_dir, "documents"))
@@ -28,6 +33,11 @@ def op4_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_collision_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collision.vector_classes(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op10_block_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
