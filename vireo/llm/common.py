@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -53,6 +55,12 @@ def crc_remainder(value, modulus: int) -> int:
     return zlib.crc32(b"" if value is None else str(value).encode()) % modulus
 
 
+def worker_cache() -> dict:
+    """A dictionary that lives as long as the Python worker, for what is dear to build (a loaded tokenizer)."""
+    holder = sys.modules.setdefault("_vireo_llm_worker", types.ModuleType("_vireo_llm_worker"))
+    return holder.__dict__.setdefault("cache", {})
+
+
 # ---------------------------------------------------------------- integer mixing
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -119,8 +127,8 @@ def _cuts(raw: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
         at = end
 
 
-def word_hashes(column: pa.Array, lower: bool = False, prefixes: tuple[int, ...] = ()):
-    """(hash of every word, words per text[, hash of each word's first k bytes for k in ``prefixes``]).
+def word_hashes(column: pa.Array, lower: bool = False, prefixes: tuple[int, ...] = (), suffixes: tuple[int, ...] = ()):
+    """(hash of every word, words per text[, hashes of each word's first or last k bytes for ``prefixes``, ``suffixes``]).
 
     A word is a run of bytes other than white space; with ``lower`` A-Z count
     as a-z.  Hashes are 64-bit polynomial hashes over random byte values,
@@ -129,7 +137,7 @@ def word_hashes(column: pa.Array, lower: bool = False, prefixes: tuple[int, ...]
     """
     raw, off = text_buffers(column)
     values = _BYTE_LOWER if lower else _BYTE
-    hashes, starts_all, short = [], [], [[] for _ in prefixes]
+    hashes, starts_all, short = [], [], [[] for _ in (*prefixes, *suffixes)]
     texts = len(off) - 1
     edge = np.zeros(len(raw) + 1, dtype=bool)
     edge[off] = True
@@ -151,10 +159,13 @@ def word_hashes(column: pa.Array, lower: bool = False, prefixes: tuple[int, ...]
             for k, into in zip(prefixes, short):
                 cut = np.minimum(s + k, e)
                 into.append(mix64((total[cut] - total[s]) * back + np.uint64(1_000_003 * (k + 1))))
+            for k, into in zip(suffixes, short[len(prefixes):]):
+                cut = np.maximum(e - k, s)
+                into.append(mix64((total[e] - total[cut]) * _power(_STEP_INVERSE, n)[cut] + np.uint64(2_000_003 * (k + 1))))
         starts_all.append(s + lo)
     if not hashes:
         empty = np.zeros(0, np.uint64)
-        return empty, np.zeros(texts, np.int64), *[empty for _ in prefixes]
+        return empty, np.zeros(texts, np.int64), *[empty for _ in short]
     starts = np.concatenate(starts_all)
     counts = np.diff(np.searchsorted(starts, off))
     return np.concatenate(hashes), counts, *[np.concatenate(x) for x in short]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vireo.llm import ann_blocks, collision, mixing, near_dup, packing, secrets, zstd_quality
+from vireo.llm import ann_blocks, collision, hmm, mixing, near_dup, packing, secrets, zstd_quality
 from vireo.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,11 @@ def op10_block_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_hmm_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.language_model_scores(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(table(spark, sf_dir, "documents"))
