@@ -38,7 +38,7 @@ def test_null_group_gets_zero(spark):
 def test_salted_path_equals_broadcast_path(spark):
     df = _groups(spark, [300, 5, 5, 7, 1, 2, 3, 50])
     a = label.activity_label(df, "grp").groupBy("grp", "is_active").count()
-    b = label.activity_label(df, "grp", max_broadcast_rows=0).groupBy("grp", "is_active").count()
+    b = label.activity_label(df, "grp", max_broadcast_bytes=0).groupBy("grp", "is_active").count()
     assert sorted(a.collect()) == sorted(b.collect())
 
 
@@ -53,8 +53,8 @@ def test_hot_key_salting_equals_broadcast(spark):
     df = _groups(spark, [400, 5, 5, 7, 1, 2, 3, 50])
     sizes = label.group_sizes(df, "grp")
     a = join_group_table(df, sizes, ["grp"], "left")
-    b = join_group_table(df, sizes, ["grp"], "left", max_broadcast_rows=0, size_col="n", hot_rows=40)
-    c = join_group_table(df, sizes, ["grp"], "left", max_broadcast_rows=0, size_col="n")
+    b = join_group_table(df, sizes, ["grp"], "left", max_broadcast_bytes=0, size_col="n", hot_rows=40)
+    c = join_group_table(df, sizes, ["grp"], "left", max_broadcast_bytes=0, size_col="n")
     want = sorted(a.groupBy("grp", "n").count().collect())
     assert sorted(b.groupBy("grp", "n").count().collect()) == want
     assert sorted(c.groupBy("grp", "n").count().collect()) == want

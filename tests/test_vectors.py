@@ -59,6 +59,6 @@ def test_scale_columns_zero_variance(spark):
 
 def test_term_stats_salted_join_equals_broadcast(docs):
     a = vec.term_stats(docs, "doc_id", "text").select("doc_id", "term", "tf", "df")
-    b = vec.term_stats(docs, "doc_id", "text", max_broadcast_rows=0).select("doc_id", "term", "tf", "df")
+    b = vec.term_stats(docs, "doc_id", "text", max_broadcast_bytes=0).select("doc_id", "term", "tf", "df")
     assert a.count() == b.count()
     assert a.exceptAll(b).count() == 0

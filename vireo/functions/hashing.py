@@ -3,8 +3,9 @@
 ``Dataframe.sample``/``randomSplit`` draw per partition, so the same row can
 land in a different sample after a repartition or an executor retry.  Here a
 row's draw is a pure function of (seed, key): md5 once per row, then a cheap
-32-bit integer mixer for further streams (bootstrap replicates, runs).  Every
-step is plain bigint arithmetic, so DuckDB computes the same numbers.
+integer mixer for further streams (bootstrap replicates, runs).  Every
+step is plain bigint arithmetic, so DuckDB computes the same numbers.  Streams
+start from 64 bits of the digest and end in 53-bit uniforms.
 """
 
 from __future__ import annotations
@@ -45,26 +46,46 @@ def mix32(x: Column) -> Column:
     return x.bitwiseXOR(F.shiftright(x, 16))
 
 
-def stream_uniform(h: Column, stream: Column) -> Column:
-    """A further uniform for ``stream`` (1, 2, ...) derived from row hash ``h``."""
-    return unit_from_hash(mix32((h + stream.cast("bigint") * F.lit(STREAM_STEP)).bitwiseAND(F.lit(MASK32))))
+def key_hash64(key: Column, seed: int | str = 42) -> Column:
+    """The first 64 bits of md5('<seed>:<key>') as a struct of two 32-bit halves (hi, lo)."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
+    half = lambda at: F.conv(F.substring(digest, at, 8), 16, 10).cast("bigint")
+    return F.struct(half(1).alias("hi"), half(9).alias("lo"))
 
 
-def poisson1_cdf(kmax: int = 6) -> list[float]:
-    """Cumulative P(X <= k) of Poisson(1) for k = 0..kmax-1."""
-    out, acc, term = [], 0.0, math.exp(-1.0)
-    for k in range(kmax):
-        if k > 0:
-            term /= k
-        acc += term
+def stream_uniform(h: Column, stream: Column) -> Column:
+    """A further uniform with 53 bits for ``stream`` (1, 2, ...) of a row's ``key_hash64``.
+
+    Three Feistel rounds keyed by the stream: for one stream the map of 64-bit
+    hashes is one to one, and streams are not shifts of each other.
+    """
+    def keyed(x: Column, r: int) -> Column:
+        return mix32((x + (stream.cast("bigint") * 4 + r) * F.lit(STREAM_STEP)).bitwiseAND(F.lit(MASK32)))
+
+    a = h["hi"].bitwiseXOR(keyed(h["lo"], 1))
+    b = h["lo"].bitwiseXOR(keyed(a, 2))
+    c = a.bitwiseXOR(keyed(b, 3))
+    return (c * F.lit(1 << 21) + F.shiftright(b, 11)).cast("double") / F.lit(float(1 << 53))
+
+
+def poisson1_cdf() -> list[float]:
+    """Cumulative P(X <= k) of Poisson(1) for k = 0, 1, ... until the tail is below 2^-53."""
+    out, acc, term, k = [], 0.0, math.exp(-1.0), 0
+    while not out or out[-1] < 1.0 - 2.0 ** -53:
+        acc = min(acc + term, 1.0)
+        if out and acc <= out[-1]:
+            break
         out.append(acc)
+        k += 1
+        term /= k
     return out
 
 
-def poisson1_weight(u: Column, kmax: int = 6) -> Column:
-    """Inverse-CDF Poisson(1) draw from u, capped at ``kmax`` (P(X>6) ~ 8e-5)."""
-    expr = F.lit(kmax)
-    for k, c in reversed(list(enumerate(poisson1_cdf(kmax)))):
+def poisson1_weight(u: Column) -> Column:
+    """Inverse-CDF Poisson(1) draw from a 53-bit uniform; the table reaches as far as such a uniform can."""
+    cdf = poisson1_cdf()
+    expr = F.lit(len(cdf))
+    for k, c in reversed(list(enumerate(cdf))):
         expr = F.when(u < F.lit(c), F.lit(k)).otherwise(expr)
     return expr
 

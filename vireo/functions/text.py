@@ -27,6 +27,9 @@ PY_WHITESPACE_CLASS = (
     r"\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 )
 PY_WHITESPACE_RUN = PY_WHITESPACE_CLASS + "+"
+# the same characters as a plain string, for ``btrim`` (linear, unlike an edge regex)
+PY_WHITESPACE_CHARS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                                        0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 # Patterns of the reference features.
 WORD_SPLIT = r"\s+"
@@ -35,6 +38,7 @@ PARAGRAPH_SPLIT = "\n\n"
 URL_PATTERN = r"https?://\S+"
 EDA_URL_PATTERN = r"https?://"
 
+# The reference's feature names, in its order.
 NUMERIC_FEATURES = [
     "char_count", "word_count", "sentence_count", "avg_word_length",
     "unique_word_ratio", "question_count", "exclamation_count",
@@ -81,9 +85,14 @@ def ratio_den_floor1(num: Column, den: Column) -> Column:
     return _d(num) / _d(F.when(den > 0, den).otherwise(F.lit(1)))
 
 
-# a maximal run between sentence marks that holds a non-whitespace character
-NON_BLANK_PIECE = "[^.!?]*?[^.!?" + PY_WHITESPACE_CLASS[1:-1] + "][^.!?]*"
-EDGE_WHITESPACE = "^" + PY_WHITESPACE_RUN + "|" + PY_WHITESPACE_RUN + "$"
+# Between sentence marks, a piece holds ink exactly if it isn't empty once the
+# white space is deleted: counting runs of the remaining text is linear.
+INK_PIECE = "[^.!?]+"
+
+
+def _trimmed(t: Column) -> Column:
+    """``t`` without white space at its edges."""
+    return F.btrim(t, F.lit(PY_WHITESPACE_CHARS))
 
 
 def _py_split(trimmed: Column) -> Column:
@@ -129,7 +138,7 @@ def feature_stages(text: Column, summary: Column, mode: str = "ref") -> list[dic
         return [base, final]
     if mode == "script":
         t, s = text, summary
-        pre = {"__low": F.regexp_replace(F.lower(t), EDGE_WHITESPACE, "")}
+        pre = {"__low": _trimmed(F.lower(t))}
         base = {
             "__cc": char_count(t), "__wc": split_count(t, WORD_SPLIT),
             "__sent": split_count(t, SENTENCE_SPLIT) - 1,
@@ -159,8 +168,8 @@ def feature_stages(text: Column, summary: Column, mode: str = "ref") -> list[dic
     if mode == "notebook":
         t = F.coalesce(text, F.lit(""))
         s = F.coalesce(summary, F.lit(""))
-        pre = {"__trim": F.regexp_replace(t, EDGE_WHITESPACE, ""),
-               "__strim": F.regexp_replace(s, EDGE_WHITESPACE, "")}
+        pre = {"__trim": _trimmed(t),
+               "__strim": _trimmed(s)}
         base = {
             "__cc": char_count(t), "__toks": _py_split(c("__trim")),
             "__ltoks": _py_split(F.lower(c("__trim"))),
@@ -187,14 +196,14 @@ def feature_stages(text: Column, summary: Column, mode: str = "ref") -> list[dic
     # words
     t = F.coalesce(text, F.lit(""))
     s = F.coalesce(summary, F.lit(""))
-    pre = {"__trim": F.regexp_replace(t, EDGE_WHITESPACE, ""),
-           "__strim": F.regexp_replace(s, EDGE_WHITESPACE, "")}
+    pre = {"__trim": _trimmed(t),
+           "__strim": _trimmed(s), "__inked": F.regexp_replace(t, PY_WHITESPACE_CLASS, "")}
     base = {
         "__cc": char_count(t),
         "__toks": _py_split(c("__trim")),
         "__ltoks": _py_split(F.lower(c("__trim"))),
-        "__ink": F.length(F.regexp_replace(t, PY_WHITESPACE_CLASS, "")),
-        "__sent": F.regexp_count(t, F.lit(NON_BLANK_PIECE)),
+        "__ink": F.length(c("__inked")),
+        "__sent": F.regexp_count(c("__inked"), F.lit(INK_PIECE)),
         "__q": char_occurrences(t, "?"), "__e": char_occurrences(t, "!"),
         "__up": unicode_upper_count(t), "__url": t.contains("http"),
         "__pc": split_count(t, PARAGRAPH_SPLIT), "__sl": F.length(s),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vireo.operators.joins import materialize
+
 
 def drop_missing(df: DataFrame, cols: list[str]) -> DataFrame:
     """Drop rows with a null in any of ``cols``."""
@@ -14,17 +16,25 @@ def drop_missing(df: DataFrame, cols: list[str]) -> DataFrame:
 def dedup(df: DataFrame, keys: list[str], order_by: str) -> DataFrame:
     """One row per ``keys`` -- the one with the smallest ``order_by``.
 
-    ``min(struct(order_by, rest...))`` is an ordinary aggregate, so Spark
-    pre-reduces every key inside each map task before the shuffle; a key
-    with a third of all rows (exact copies of one text) costs one partial
-    row per task, where a ``row_number`` window would sort that whole group
-    in one task.  Deterministic, unlike ``dropDuplicates``.
+    Only a digest of the keys and ``order_by`` are aggregated, pre-reduced in every map task, so a
+    text with a third of all rows costs a few short rows per task; the winners then select the rows by
+    a semi-join, and full rows meet only where several share the winning ``order_by`` (any of them stays).
     """
-    rest = [c for c in df.columns if c not in keys and c != order_by]
-    best = F.min(F.struct(F.col(order_by).alias(order_by), *[F.col(c) for c in rest])).alias("__best")
-    out = df.groupBy(*keys).agg(best)
-    return out.select(*[F.col(k) for k in keys],
-                      *[F.col(f"__best.{c}").alias(c) for c in [order_by] + rest]).select(*df.columns)
+    digest = key_digest(keys)
+    counts = df.groupBy(digest.alias("__key"), F.col(order_by).alias("__at")).agg(F.count(F.lit(1)).alias("__n"))
+    best = materialize(counts.groupBy("__key").agg(F.min(F.struct("__at", "__n")).alias("b")).select("__key", "b.__at", "b.__n"))
+    on = (F.col("__digest") == F.col("__key")) & F.col(order_by).eqNullSafe(F.col("__at"))
+    rows = df.withColumn("__digest", digest)
+    out = rows.join(best.where("__n = 1"), on, "left_semi")
+    if not best.where("__n > 1").isEmpty():
+        out = out.unionByName(rows.join(best.where("__n > 1"), on, "left_semi").dropDuplicates(["__digest"]))
+    return out.drop("__digest")
+
+
+def key_digest(keys: list[str]):
+    """A 256-bit digest of key columns that tells null from any value and keeps values apart."""
+    parts = [F.coalesce(F.concat(F.length(F.col(k).cast("string")).cast("string"), F.lit(":"), F.col(k).cast("string")), F.lit("-")) for k in keys]
+    return F.sha2(F.concat_ws("|", *parts), 256)
 
 
 def fill_text(df: DataFrame, cols: list[str], value: str = "") -> DataFrame:

@@ -4,7 +4,7 @@ Everything reduces the rows to tiny tables before anything global happens:
 
 * class metrics need only the confusion cells (label x prediction counts);
 * AUC and ROC need only one row per distinct score, and the running sums
-  over scores use the bucketed scheme in ``cumulative.py``;
+  over scores use the range scheme in ``cumulative.py``;
 * bootstrap and stability draw per-row Poisson / Bernoulli weights from the
   row's key hash for every replicate inside the scan, and sum them map-side
   into ``replicates x cells`` rows -- the rows are never copied or shuffled.
@@ -15,9 +15,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vireo.functions.hashing import key_hash32, poisson1_weight, stream_uniform
+from vireo.functions.hashing import key_hash64, poisson1_weight, stream_uniform
 from vireo.functions.rows import rows_from
-from vireo.operators.cumulative import DEFAULT_BUCKETS, below_sums
+from vireo.operators.cumulative import below_sums
+from vireo.operators.joins import materialize
 
 ROUND = 6
 
@@ -74,38 +75,44 @@ def class_metrics(df: DataFrame, label: str = "label", prediction: str = "predic
 
 # ------------------------------------------------------------- ranking
 
-def score_table(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """One row per distinct score: positives ``p`` and negatives ``n``."""
+def score_table(df: DataFrame, label: str = "label", score: str = "score", by: list[str] | None = None) -> DataFrame:
+    """One row per distinct score (and group): positives ``p`` and negatives ``n``.
+
+    Rows without a label or a score can't be ranked and take no part; ``unranked`` counts them.
+    """
     y = F.col(label).cast("double")
-    return df.groupBy(F.col(score).cast("double").alias("s")).agg(
-        F.sum(y).alias("p"), F.sum(1.0 - y).alias("n"))
+    ranked = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
+    return ranked.groupBy(*(by or []), F.col(score).cast("double").alias("s")).agg(F.sum(y).alias("p"), F.sum(1.0 - y).alias("n"))
 
 
-def auc_roc(df: DataFrame, label: str = "label", score: str = "score",
-            buckets: int = DEFAULT_BUCKETS, digits: int | None = ROUND) -> DataFrame:
-    """H3: exact area under ROC (ties count half), ``(auc)``.
+def unranked(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """``(rows, unranked)``: how many rows lack a label or a score."""
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(label).isNull() | F.col(score).isNull()).alias("unranked"))
+
+
+def _auc(table: DataFrame, by: list[str]) -> DataFrame:
+    """``(by..., auc)`` of a stored score table: sum_s p(s) * (negatives below s + n(s)/2) / (P * N)."""
+    t = below_sums(table, "s", ["n"], by)
+    agg = t.groupBy(*by).agg(F.sum(F.col("p") * (F.col("below_n") + F.lit(0.5) * F.col("n"))).alias("num"),
+                             F.sum("p").alias("all_p"), F.sum("n").alias("all_n"))
+    return agg.select(*by, (F.col("num") / F.nullif(F.col("all_p") * F.col("all_n"), F.lit(0.0))).alias("auc"))
 
-    AUC = sum_s p(s) * (negatives below s + n(s)/2) / (P * N).
-    """
-    t = below_sums(score_table(df, label, score), "s", ["n"], buckets)
-    agg = t.agg(F.sum(F.col("p") * (F.col("below_n") + F.lit(0.5) * F.col("n"))).alias("num"),
-                F.sum("p").alias("P"), F.sum("n").alias("N"))
-    auc = F.col("num") / F.nullif(F.col("P") * F.col("N"), F.lit(0.0))
-    return agg.select((auc if digits is None else F.round(auc, digits)).alias("auc"))
 
+def auc_roc(df: DataFrame, label: str = "label", score: str = "score", digits: int | None = ROUND) -> DataFrame:
+    """H3: exact area under ROC (ties count half), ``(auc)``; the input is read once."""
+    auc = _auc(materialize(score_table(df, label, score)), [])
+    return auc if digits is None else auc.select(F.round("auc", digits).alias("auc"))
 
-def roc_points(df: DataFrame, label: str = "label", score: str = "score",
-               buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+
+def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """H4: ``(threshold, fpr, tpr)`` for "score >= threshold" at every
-    distinct score, plus the (inf, 0, 0) start point."""
-    t = below_sums(score_table(df, label, score), "s", ["p", "n"], buckets)
-    P = t.agg(F.sum("p")).scalar()
-    N = t.agg(F.sum("n")).scalar()
-    pts = t.select(F.col("s").alias("threshold"),
-                   F.round((N - F.col("below_n")) / F.nullif(N, F.lit(0.0)), ROUND).alias("fpr"),
-                   F.round((P - F.col("below_p")) / F.nullif(P, F.lit(0.0)), ROUND).alias("tpr"))
-    start = t.limit(1).select(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"),
-                              F.lit(0.0).alias("tpr"))
+    distinct score, plus the (inf, 0, 0) start point; the input is read once."""
+    table = materialize(score_table(df, label, score))
+    t = below_sums(table, "s", ["p", "n"])
+    totals = table.agg(F.sum("p").alias("all_p"), F.sum("n").alias("all_n"))  # one row
+    share = lambda total, below: F.round((F.col(total) - F.col(below)) / F.nullif(F.col(total), F.lit(0.0)), ROUND)
+    pts = t.crossJoin(totals).select(F.col("s").alias("threshold"), share("all_n", "below_n").alias("fpr"), share("all_p", "below_p").alias("tpr"))
+    start = totals.where(F.col("all_p").isNotNull()).select(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return pts.unionByName(start)
 
 
@@ -119,53 +126,23 @@ def positive_score(df: DataFrame, probability: str = "probability", out: str = "
 
 def _replicate_cells(df: DataFrame, key: str, label: str, prediction: str, replicates: int,
                      weight_of, seed: int, stream_offset: int) -> DataFrame:
-    h = key_hash32(F.col(key), seed)
+    h = key_hash64(F.col(key), seed)
     x = df.select(h.alias("__h"), F.col(label).alias("label"), F.col(prediction).alias("prediction"))
     x = x.withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
-    w = weight_of(stream_uniform(F.col("__h"), F.col("rep") + F.lit(stream_offset)))
-    return x.groupBy("rep", "label", "prediction").agg(F.sum(w).alias("n"))
-
-
-def _cell_poisson_cells(df: DataFrame, label: str, prediction: str, replicates: int, seed: int) -> DataFrame:
-    """Replicate cells drawn per cell: the sum of n independent Poisson(1)
-    row weights is Poisson(n), so a replicate's cell total can be drawn
-    directly -- work O(replicates x cells) after one confusion count, with
-    the same distribution as per-row weights."""
-    import numpy as np
-    import pandas as pd
-
-    def draw(n, rep, y, p):
-        out = [np.random.default_rng([seed, int(r), int(a) + 2, int(b) + 2]).poisson(float(m))
-               for m, r, a, b in zip(n, rep, y, p)]
-        return pd.Series(out, dtype="int64")
-
-    # real (not postponed) annotations: they tell Spark this is a Series UDF
-    draw.__annotations__ = {"n": pd.Series, "rep": pd.Series, "y": pd.Series, "p": pd.Series,
-                            "return": pd.Series}
-    poisson_total = F.pandas_udf(draw, "long")
-
-    cells = confusion(df, label, prediction)
-    reps = cells.withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
-    return reps.select("rep", "label", "prediction",
-                       poisson_total("n", "rep", "label", "prediction").alias("n"))
+    # the uniform is a column of its own, so the weight's table look-up does not repeat the mixing
+    x = x.withColumn("__u", stream_uniform(F.col("__h"), F.col("rep") + F.lit(stream_offset)))
+    return x.groupBy("rep", "label", "prediction").agg(F.sum(weight_of(F.col("__u"))).alias("n"))
 
 
 def bootstrap_ci(df: DataFrame, key: str, label: str = "label", prediction: str = "prediction",
-                 replicates: int = 100, ci: float = 0.95, seed: int = 42, method: str = "rows") -> DataFrame:
+                 replicates: int = 100, ci: float = 0.95, seed: int = 42) -> DataFrame:
     """H5: ``(metric, point, mean, lower, upper)`` for accuracy and weighted F1.
 
-    Poisson(1) bootstrap.  ``method='rows'``: each row gets an independent
-    Poisson(1) weight per replicate, a pure function of (seed, key,
-    replicate), summed map-side into cells (SQL-reproducible; O(rows x
-    replicates) cheap integer work).  ``method='cells'``: the same
-    distribution drawn per (replicate, cell) -- O(replicates x cells), for
-    very large inputs.  A replicate's size equals the row count only on
-    average.
+    Poisson(1) bootstrap: each row gets an independent Poisson(1) weight per
+    replicate, a pure function of (seed, key, replicate), summed map-side into
+    cells.  A replicate's size equals the row count only on average.
     """
-    if method == "cells":
-        cells = _cell_poisson_cells(df, label, prediction, replicates, seed)
-    else:
-        cells = _replicate_cells(df, key, label, prediction, replicates, poisson1_weight, seed, 0)
+    cells = _replicate_cells(df, key, label, prediction, replicates, poisson1_weight, seed, 0)
     per_rep = metrics_from_cells(cells, ["rep"])
     lo, hi = (1.0 - ci) / 2.0, 1.0 - (1.0 - ci) / 2.0
     point = metrics_from_cells(confusion(df, label, prediction))
@@ -210,29 +187,39 @@ def stability_grade(stab: DataFrame, metric: str = "f1") -> DataFrame:
 
 # --------------------------------------------------------- comparisons
 
-def model_metrics(df: DataFrame, model: str, label: str = "label", prediction: str = "prediction",
-                  score: str = "score") -> DataFrame:
-    """One row ``(model, accuracy, precision, recall, f1, auc)`` at 4 dp.
+def compare_models_long(df: DataFrame, model: str = "model", label: str = "label", prediction: str = "prediction",
+                        score: str = "score") -> DataFrame:
+    """H8 on rows tagged with their model: ``(model, accuracy, precision, recall, f1, auc)`` at 4 dp.
 
-    The class metrics and the AUC are two one-row aggregates; they are
-    stacked and folded by model instead of joined.
+    One pass reduces the rows to counts per (model, score, label, prediction); the cells and the
+    score table of all models come from that stored table.
     """
+    counts = materialize(df.groupBy(F.col(model).alias("model"), F.col(score).cast("double").alias("score"), F.col(label).alias("label"),
+                                    F.col(prediction).alias("prediction")).agg(F.count(F.lit(1)).alias("w")))
+    cells = counts.groupBy("model", "label", "prediction").agg(F.sum("w").alias("n"))
+    y = F.col("label").cast("double")
+    scores = (counts.where(F.col("label").isNotNull() & F.col("score").isNotNull()).groupBy("model", F.col("score").alias("s"))
+              .agg(F.sum(y * F.col("w")).alias("p"), F.sum((1.0 - y) * F.col("w")).alias("n")))
     names = ["accuracy", "precision", "recall", "f1", "auc"]
-    none = F.lit(None).cast("double")
-    m = metrics_from_cells(confusion(df, label, prediction)).select(
-        F.lit(model).alias("model"), *[F.col(c) for c in names[:4]], none.alias("auc"))
-    a = auc_roc(df, label, score, digits=None).select(F.lit(model).alias("model"), *[none.alias(c) for c in names[:4]],
-                                         F.col("auc"))
-    return m.unionByName(a).groupBy("model").agg(*[F.round(F.max(c), 4).alias(c) for c in names])
-
-
-def compare_models(frames: dict[str, DataFrame], **cols) -> DataFrame:
-    """H8: one row per model."""
-    rows = [model_metrics(df, name, **cols) for name, df in frames.items()]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    both = metrics_from_cells(cells, ["model"]).join(_auc(scores, ["model"]), "model", "left")
+    return both.select("model", *[F.round(c, 4).alias(c) for c in names])
+
+
+def model_metrics(df: DataFrame, model: str, label: str = "label", prediction: str = "prediction",
+                  score: str = "score") -> DataFrame:
+    """One row ``(model, accuracy, precision, recall, f1, auc)`` at 4 dp."""
+    return compare_models_long(df.withColumn("__model", F.lit(model)), "__model", label, prediction, score)
+
+
+def compare_models(frames: dict[str, DataFrame], label: str = "label", prediction: str = "prediction",
+                   score: str = "score") -> DataFrame:
+    """H8: one row per model, each given as a frame of its own; all are evaluated in one pass."""
+    long = None
+    for name, df in frames.items():
+        part = df.select(F.lit(name).alias("__model"), F.col(label).cast("double").alias("label"),
+                         F.col(prediction).cast("double").alias("prediction"), F.col(score).cast("double").alias("score"))
+        long = part if long is None else long.unionByName(part)
+    return compare_models_long(long, "__model")
 
 
 def best_model(table: DataFrame, metric: str = "f1", model_col: str = "model") -> DataFrame:

@@ -100,7 +100,9 @@ class TextFeatures(Transformer, HasInputCol, HasOutputCol,
         self._set(**self._input_kwargs)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        return text_features(df, self.getInputCol(), None, self.getOrDefault(self.mode),
+        col = self.getInputCol()
+        filled = df.withColumn(col, F.coalesce(F.col(col), F.lit("")))  # later stages read it too
+        return text_features(filled, col, None, self.getOrDefault(self.mode),
                              self.getOrDefault(self.float32), features=BODY_FEATURES)
 
 
@@ -116,4 +118,5 @@ class SummaryFeatures(Transformer, HasInputCol, HasOutputCol,
         self._set(**self._input_kwargs)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        return summary_features(df, self.getInputCol())
+        col = self.getInputCol()
+        return summary_features(df.withColumn(col, F.coalesce(F.col(col), F.lit(""))), col)

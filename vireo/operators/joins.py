@@ -1,19 +1,18 @@
 """Joining a per-group table back onto the rows it was aggregated from.
 
 The group table has one row per key, so its size is the number of groups,
-not the number of rows -- but that can still be large, and one key may hold a
-third of all rows.  Strategy:
+not the number of rows -- but that can still be large, keys may be long, and one
+key (or the null key) may hold a third of all rows.  Strategy:
 
-* materialise the group table once (reliable checkpoint in the shared
-  checkpoint folder), count it, and broadcast it only when the count is below
-  ``max_broadcast_rows`` -- a proven bound, not an estimate;
-* otherwise a shuffle join on (key, salt).  When the table carries each
-  key's row count (``size_col``), only *hot* keys -- those holding at least
-  ``total / (4 x parallelism)`` rows -- are salted: their rows are spread
-  over ``salt_buckets`` tasks and their table row is replicated per salt.
-  There are at most ``4 x parallelism`` hot keys, so the hot-key list is
-  broadcast with a proven bound, and the cold keys join once, unsalted.
-  Without sizes, every key is salted (the table is replicated per salt).
+* the group table is stored once; its bytes are summed, and it is broadcast
+  only if they are within ``max_broadcast_bytes``;
+* otherwise a shuffle join on (key, salt).  When the table carries each key's
+  row count (``size_col``), a key with more than ``hot_rows`` rows gets
+  ceil(rows / hot_rows) salts: its rows are dealt to them by a number that is
+  different for every row, and its table row is replicated per salt.  There are
+  at most total / hot_rows hot keys, so with the default threshold their list is
+  bounded by 4 x parallelism; cold keys join once, unsalted.  Rows with a null
+  key match nothing and are dealt over all tasks.
 """
 
 from __future__ import annotations
@@ -21,14 +20,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vireo.functions.hashing import salt
 from vireo.session import cut_lineage
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-DEFAULT_SALT_BUCKETS = 64
+MAX_BROADCAST_BYTES = 64 << 20
 HOT_SHARE_DIVISOR = 4
-_SALT = "__vireo_salt"
-_HOT = "__vireo_hot"
+_SALT, _SALTS = "__vireo_salt", "__vireo_salts"
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -37,39 +33,40 @@ def materialize(df: DataFrame) -> DataFrame:
     return cut_lineage(df, eager=True)
 
 
+def table_bytes(table: DataFrame) -> int:
+    """Bytes of a stored table's values: text by its length, 16 for anything else."""
+    sizes = [F.coalesce(F.octet_length(F.col(c)), F.lit(0)) if t in ("string", "binary") else F.lit(16) for c, t in table.dtypes]
+    return table.agg(F.sum(sum(sizes[1:], sizes[0]).cast("long") + 16)).first()[0] or 0
+
+
 def join_group_table(big: DataFrame, table: DataFrame, keys: list[str], how: str = "left",
-                     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                     salt_buckets: int = DEFAULT_SALT_BUCKETS,
-                     table_rows: int | None = None, size_col: str | None = None,
-                     hot_rows: int | None = None) -> DataFrame:
-    """``big ⋈ table`` on ``keys`` where ``table`` is unique on ``keys``.
+                     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+                     size_col: str | None = None, hot_rows: int | None = None) -> DataFrame:
+    """``big ⋈ table`` on ``keys`` where ``table`` is stored and unique on ``keys``.
 
     ``size_col`` names the column of ``table`` holding each key's row count
-    in ``big``; with it only hot keys are salted (``hot_rows`` overrides the
-    hot threshold).  The size column is not added to the output unless it
-    is already part of ``table``'s selected columns.
+    in ``big``; it stays in the output.  Without it, skew is left to adaptive execution.
     """
     if how not in ("left", "inner"):
         raise ValueError("only left and inner joins keep the big side whole")
-    n = table.count() if table_rows is None else table_rows
-    if n <= max_broadcast_rows:
+    if table_bytes(table) <= max_broadcast_bytes:
         return big.join(F.broadcast(table), on=keys, how=how)
-    row_hash = salt([F.col(c) for c in big.columns], salt_buckets)
     if size_col is None:
-        salted_big = big.withColumn(_SALT, row_hash)
-        replicated = table.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-        return salted_big.join(replicated, on=keys + [_SALT], how=how).drop(_SALT)
-
+        return big.join(table, on=keys, how=how)
+    parallelism = big.sparkSession.sparkContext.defaultParallelism
     if hot_rows is None:
         total = table.agg(F.sum(size_col)).first()[0] or 0
-        parallelism = big.sparkSession.sparkContext.defaultParallelism
         hot_rows = max(1, total // (HOT_SHARE_DIVISOR * parallelism))
-    # at most total / hot_rows = 4 x parallelism keys: a bounded broadcast
-    hot = table.where(F.col(size_col) >= hot_rows).select(*keys).withColumn(_HOT, F.lit(True))
+    salts = F.ceil(F.col(size_col) / F.lit(hot_rows)).cast("int")
+    # at most total / hot_rows keys
+    hot = table.where(F.col(size_col) > hot_rows).select(*keys, salts.alias(_SALTS))
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | F.col(k).isNull()
+    row = F.monotonically_increasing_id()
     tagged = big.join(F.broadcast(hot), on=keys, how="left")
-    salted_big = tagged.withColumn(_SALT, F.when(F.col(_HOT), row_hash).otherwise(F.lit(0))).drop(_HOT)
+    spread_over = F.when(missing, F.lit(HOT_SHARE_DIVISOR * parallelism)).otherwise(F.coalesce(F.col(_SALTS), F.lit(1)))
+    salted = tagged.withColumn(_SALT, F.pmod(F.xxhash64(row), spread_over).cast("int")).drop(_SALTS)
     side = table.join(F.broadcast(hot), on=keys, how="left")
-    side = side.withColumn(_SALT, F.explode(
-        F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))
-    )).drop(_HOT)
-    return salted_big.join(side, on=keys + [_SALT], how=how).drop(_SALT)
+    side = side.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1))).drop(_SALTS)
+    return salted.join(side, on=keys + [_SALT], how=how).drop(_SALT)

@@ -4,7 +4,7 @@ Plan shape (one full scan of the rows for the counts, one for the join):
 
     rows --partial count--> shuffle(group) --> group table (one row per group)
     group table --exact percentile over sizes--> threshold (scalar subquery)
-    rows ⋈ group table  (broadcast when the counted table is small,
+    rows ⋈ group table  (broadcast when the table's bytes are few,
                          salted shuffle join otherwise; see joins.py)
 
 The percentile runs over the group table, whose exact-percentile buffer holds
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vireo.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, join_group_table, materialize
+from vireo.operators.joins import MAX_BROADCAST_BYTES, join_group_table, materialize
 
 METHODS = ("element", "linear")
 
@@ -79,7 +79,7 @@ def active_groups(df: DataFrame, group: str, q: float = 0.8, method: str = "elem
 
 def activity_label(df: DataFrame, group: str, q: float = 0.8, method: str = "element",
                    label_col: str = "is_active",
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                   max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
                    keep_size: bool = False) -> DataFrame:
     """``df`` plus ``label_col`` = 1 when its group's size >= threshold.
 
@@ -91,7 +91,6 @@ def activity_label(df: DataFrame, group: str, q: float = 0.8, method: str = "ele
     sizes = materialize(group_sizes(df, group))        # the one full pass over the rows
     table = _activity_table(sizes, q, method, label_col)  # threshold from the stored sizes
     side = table.select(group, label_col, F.col("n").alias("__size"))
-    joined = join_group_table(df, side, [group], how="left", max_broadcast_rows=max_broadcast_rows,
-                              table_rows=sizes.count(), size_col="__size")
+    joined = join_group_table(df, side, [group], how="left", max_broadcast_bytes=max_broadcast_bytes, size_col="__size")
     joined = joined.withColumn(label_col, F.coalesce(F.col(label_col), F.lit(0)))
     return joined.withColumnRenamed("__size", "n") if keep_size else joined.drop("__size")

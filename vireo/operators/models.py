@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vireo.operators import evaluation as ev
+from vireo.operators.joins import materialize
 from vireo.operators.sampling import fold_column, split_column
 
 
@@ -65,73 +66,79 @@ def base_models(script: bool = False) -> dict:
             "decision_tree": decision_tree(), "gbt": gbt()}
 
 
-def fit_pipeline(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
-    """``pipeline.fit`` that persists the stage input in front of each
-    estimator while fitting, so the feature and token stages run once for
-    the whole fit instead of once per estimator (indexer, IDF, scaler).
-    The persisted frames are released before returning; the result is the
-    same ``PipelineModel`` with every stage."""
+def _fit_stages(pipeline: Pipeline, df: DataFrame, training=None):
+    """Fit every stage in turn; returns the model and ``df`` after all stages.
+
+    The frame in front of each estimator is persisted, so the stages before it run once for all of ``df``;
+    estimators see the rows where ``training`` holds.  Also returns the persisted frames, for their release.
+    """
     stages, held, cur = [], [], df
-    try:
-        for st in pipeline.getStages():
-            if isinstance(st, Estimator):
-                cur = cur.persist(StorageLevel.MEMORY_AND_DISK)
-                held.append(cur)
-                st = st.fit(cur)
-            stages.append(st)
-            cur = st.transform(cur)
-    finally:
-        for h in held:
-            h.unpersist()
-    return PipelineModel(stages=stages)
+    for st in pipeline.getStages():
+        if isinstance(st, Estimator):
+            cur = cur.persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(cur)
+            st = st.fit(cur if training is None else cur.where(training))
+        stages.append(st)
+        cur = st.transform(cur)
+    return PipelineModel(stages=stages), cur, held
+
+
+def fit_pipeline(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
+    """``pipeline.fit`` with each stage in front of an estimator run once; the same ``PipelineModel``."""
+    model, _, held = _fit_stages(pipeline, df)
+    for h in held:
+        h.unpersist()
+    return model
 
 
 def prepare(df: DataFrame, pipeline: Pipeline, key: str, label: str, test_fraction: float = 0.2,
             seed: int = 42):
     """Split ``df`` by key hash, fit ``pipeline`` on the training part only,
-    and return ``(model, train, test)`` with ``features`` and ``label``."""
+    and return ``(model, train, test)`` with ``features`` and ``label``.
+
+    Both parts go through the stages together, once, while the estimators are fitted; the finished
+    vectors are stored, so fits, scores and counts never run a feature stage again.
+    """
     part = split_column(key, [1.0 - test_fraction, test_fraction], seed)
     tagged = df.withColumn("__part", part).withColumn("label", F.col(label).cast("double"))
-    train_raw = tagged.where(F.col("__part") == 0)
-    model = fit_pipeline(pipeline, train_raw)
-    def out(d):
-        return model.transform(d).select(key, "label", "features")
-    return model, out(train_raw), out(tagged.where(F.col("__part") == 1))
+    model, out, held = _fit_stages(pipeline, tagged, F.col("__part") == 0)
+    names = {f.name: f.metadata for f in out.schema.fields}
+    stored = materialize(out.select(key, "label", "features", "__part"))
+    for h in held:
+        h.unpersist()
+    # a checkpoint drops column metadata; slot names are read from it
+    stored = stored.withColumn("features", F.col("features").alias("features", metadata=names["features"]))
+    return model, stored.where("__part = 0").drop("__part"), stored.where("__part = 1").drop("__part")
 
 
-def cache_for_fit(df: DataFrame, rows_per_partition: int = 50_000) -> DataFrame:
-    """Persist a training frame sized for iterative fitting.
+#: Vector slots (rows x width) that one training partition aims at.
+CELLS_PER_PARTITION = 50_000_000
 
-    Every optimiser iteration or tree level is one Spark job over the
-    training frame: the frame is re-split into balanced partitions -- one
-    per core at least (tree learners aggregate histograms per partition), and
-    ceil(rows / ``rows_per_partition``) on large inputs -- and persisted, so
-    fits never re-run the feature pipeline.  The count also fills the cache.
-    """
-    import math
 
-    n = df.count()
+def _partitions_for(df: DataFrame, rows: int) -> int:
+    """Training partitions by rows and vector width."""
+    first = df.select("features").first()
+    width = len(first[0]) if first is not None else 1
+    return max(1, -(-rows * max(width, 1) // CELLS_PER_PARTITION))
+
+
+def cache_for_fit(df: DataFrame) -> DataFrame:
+    """Persist a training frame sized for iterative fitting: every optimiser iteration or tree level is
+    one job over it, so it gets balanced partitions, one per core at least and more by rows and width."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    target = max(cores, math.ceil(n / rows_per_partition))
-    out = df.repartition(target).persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.repartition(max(cores, _partitions_for(df, df.count()))).persist(StorageLevel.MEMORY_AND_DISK)
     out.count()
     return out
 
 
-def fit(estimator, train: DataFrame, rows_per_partition: int = 50_000):
+def fit(estimator, train: DataFrame):
     """Fit on a frame prepared by ``cache_for_fit``.
 
-    Tree learners use every partition (one per core at least).  A linear
-    model's iteration is one light aggregation whose cost on small data is
-    task scheduling, so it reads the cached partitions through
-    ``coalesce(ceil(rows / rows_per_partition))`` -- no shuffle, and on large
-    data the same partitioning as before.
+    Tree learners use every partition.  A linear model's iteration is one light aggregation whose cost on
+    small data is task scheduling, so it reads the cached partitions coalesced by rows and width.
     """
-    import math
-
     if isinstance(estimator, LogisticRegression):
-        n = train.count()
-        train = train.coalesce(max(1, math.ceil(n / rows_per_partition)))
+        train = train.coalesce(_partitions_for(train, train.count()))
     return estimator.fit(train)
 
 
@@ -143,24 +150,36 @@ def score(model, df: DataFrame) -> DataFrame:
 def train_all(train: DataFrame, test: DataFrame, estimators: dict, key: str = "id"):
     """Fit each estimator (timed), score the test part, and return
     ``(fitted, metrics)`` where metrics has one row per model with
-    accuracy, precision, recall, f1, auc and train_seconds."""
+    accuracy, precision, recall, f1, auc and train_seconds.  All models' test scores are evaluated in one pass."""
     train = cache_for_fit(train)
-    fitted, rows, timings = {}, [], []
+    fitted, timings = {}, []
     try:
         for name, est in estimators.items():
             t0 = time.perf_counter()
             fitted[name] = fit(est, train)
             timings.append((name, time.perf_counter() - t0))
-            rows.append(ev.model_metrics(score(fitted[name], test), name))
     finally:
         train.unpersist()
-    metrics = rows[0]
-    for r in rows[1:]:
-        metrics = metrics.unionByName(r)
+    metrics = ev.compare_models({name: score(model, test) for name, model in fitted.items()})
     times = train.sparkSession.createDataFrame(timings, "model string, train_seconds double")
     return fitted, metrics.join(times, "model")
 
 
+# The published tuning grids of the batch run and of the tuning notebook.
+GRIDS = {
+    "batch": {
+        "logistic_regression": {"regParam": [0.001, 0.01, 0.1], "elasticNetParam": [0.0, 0.5], "maxIter": [50, 100]},
+        "random_forest": {"numTrees": [30, 50], "maxDepth": [8, 12]},
+        "gbt": {"maxIter": [30, 50], "maxDepth": [5, 8], "stepSize": [0.05, 0.1]},
+    },
+    "notebook": {
+        "logistic_regression": {"regParam": [0.001, 0.01, 0.1], "elasticNetParam": [0.0, 0.5, 1.0], "maxIter": [50, 100]},
+        "random_forest": {"numTrees": [50, 100, 200], "maxDepth": [5, 10, 15], "minInstancesPerNode": [1, 5]},
+        "gbt": {"maxIter": [30, 50, 100], "maxDepth": [3, 5, 7], "stepSize": [0.05, 0.1, 0.2]},
+    },
+}
+
+
 def tune(estimator, grid: dict, train: DataFrame, key: str, folds: int = 3, parallelism: int = 2,
          seed: int = 42):
     """K-fold cross-validation over ``grid`` ({param: [values]}) with

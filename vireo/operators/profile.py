@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vireo.functions.rows import rows_from
+from vireo.operators.clean import key_digest
+from vireo.operators.cumulative import exact_quantiles, row_numbers
 from vireo.operators.joins import join_group_table, materialize
 from vireo.operators.label import activity_threshold, group_activity
 
 ROUND = 6
+MAX_CLASSES = 1000
 
 
 def _blank_or_null(c: str, dtype: T.DataType) -> Column:
@@ -68,16 +71,12 @@ def null_profile(df: DataFrame, warn_pct: float = 5.0) -> DataFrame:
 def duplicate_count(df: DataFrame, key: str) -> DataFrame:
     """Rows, distinct keys (a null key counts once) and duplicates.
 
-    ``count(distinct)`` is planned as a two-level aggregate (group by key
-    with partial aggregation, then count), so a hot key is pre-reduced on
-    the map side before the shuffle.
+    Distinct keys are counted by a 256-bit digest, so long texts are not shuffled; the
+    count is a two-level aggregate, so a hot key is pre-reduced on the map side.
     """
-    k = F.col(key)
-    agg = df.agg(F.count(F.lit(1)).alias("rows"),
-                 (F.countDistinct(k) + F.max(k.isNull().cast("int"))).alias("distinct_keys"))
-    return agg.select(F.col("rows").cast("bigint").alias("rows"),
-                      F.coalesce(F.col("distinct_keys"), F.lit(0)).cast("bigint").alias("distinct_keys"),
-                      (F.col("rows") - F.coalesce(F.col("distinct_keys"), F.lit(0))).cast("bigint").alias("duplicates"))
+    agg = df.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct(key_digest([key])).alias("distinct_keys"))
+    return agg.select(F.col("rows").cast("bigint").alias("rows"), F.col("distinct_keys").cast("bigint").alias("distinct_keys"),
+                      (F.col("rows") - F.col("distinct_keys")).cast("bigint").alias("duplicates"))
 
 
 def dataset_overview(df: DataFrame, group: str, q: float = 0.8, method: str = "element") -> DataFrame:
@@ -105,36 +104,41 @@ def dataset_overview(df: DataFrame, group: str, q: float = 0.8, method: str = "e
 
 
 def describe_numeric(df: DataFrame, cols: list[str], quartiles: bool = True,
-                     accuracy: int = 1_000_000, method: str = "approx") -> DataFrame:
+                     accuracy: int = 10_000, method: str = "element") -> DataFrame:
     """``(column, count, mean, stddev, min, max[, q1, median, q3])``.
 
-    ``method='approx'``: quartiles from ``percentile_approx`` (a bounded-size
-    sketch), cheap on continuous columns at any scale and exact elements on
-    tables of up to ~1e6 rows at the default accuracy.  ``method='linear'``:
-    interpolated like pandas' describe, via exact ``percentile`` -- its buffer
-    holds one entry per distinct value, so keep it for bounded columns.
+    Quartiles are exact at any size: ``method='element'`` gives the smallest value whose cumulative
+    share reaches the quartile, ``'linear'`` interpolates like pandas' describe; both rank distinct values over
+    range partitions (``cumulative.exact_quantiles``).  ``'sketch'`` is ``percentile_approx`` with relative
+    rank error 1 / ``accuracy``, for one pass over huge continuous columns.
     """
+    if method not in ("element", "linear", "sketch"):
+        raise ValueError(f"unknown quartile method {method!r}")
+    probs = [0.25, 0.5, 0.75]
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__stddev"), F.min(x).alias(f"{c}__min"),
                  F.max(x).alias(f"{c}__max")]
-        if quartiles:
-            probs = [0.25, 0.5, 0.75]
-            q = (F.percentile(x, F.array(*[F.lit(p) for p in probs])) if method == "linear"
-                 else F.percentile_approx(x, probs, accuracy))
-            aggs.append(q.alias(f"{c}__q"))
-    row = df.agg(*aggs)
+        if quartiles and method == "sketch":
+            aggs.append(F.percentile_approx(x, probs, accuracy).alias(f"{c}__q"))
     rows = []
     for c in cols:
         r = {"column": F.lit(c), "count": F.col(f"{c}__count").cast("bigint"),
              "mean": F.round(f"{c}__mean", ROUND), "stddev": F.round(f"{c}__stddev", ROUND),
              "min": F.col(f"{c}__min"), "max": F.col(f"{c}__max")}
-        if quartiles:
-            r.update({n: F.col(f"{c}__q")[i] for i, n in enumerate(["q1", "median", "q3"])})
+        if quartiles and method == "sketch":
+            r["q"] = F.col(f"{c}__q")
         rows.append(r)
-    return rows_from(row, rows)
+    out = rows_from(df.agg(*aggs), rows)
+    if not quartiles:
+        return out
+    if method != "sketch":
+        values = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "__col", "__v")
+        q = exact_quantiles(values, "__v", probs, ["__col"], linear=method == "linear").select("__col", "q")
+        out = out.join(q, F.col("column") == F.col("__col"), "left").drop("__col")
+    return out.select(*[c for c in out.columns if c != "q"], *[F.col("q")[i].alias(n) for i, n in enumerate(["q1", "median", "q3"])])
 
 
 def group_distribution(df: DataFrame, group: str, k: int | None = 30) -> DataFrame:
@@ -142,16 +146,19 @@ def group_distribution(df: DataFrame, group: str, k: int | None = 30) -> DataFra
 
     ``orderBy(...).limit(k)`` plans as a distributed top-k
     (TakeOrderedAndProject): each task keeps k rows, the driver merges them.
+    Without ``k`` all groups are ranked over range partitions.
     """
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
+    orders = [F.desc("n"), F.asc_nulls_last(group)]
+    if k is None:
+        sizes = materialize(sizes)
+        total = sizes.agg(F.count(F.lit(1))).scalar()
+        ranked = row_numbers(sizes, orders, "rank")
+        return ranked.select(group, "n", F.col("rank").cast("int").alias("rank"), total.alias("total_groups"))
     total = sizes.agg(F.count(F.lit(1))).scalar()
-    ordered = sizes.orderBy(F.desc("n"), F.asc_nulls_last(group))
-    if k is not None:
-        ordered = ordered.limit(k)
     # rank over the (at most k) kept rows only
-    w = Window.orderBy(F.desc("n"), F.asc_nulls_last(group))
-    return ordered.select(group, "n", F.row_number().over(w).alias("rank"),
-                          total.alias("total_groups"))
+    return sizes.orderBy(*orders).limit(k).select(group, "n", F.row_number().over(Window.orderBy(*orders)).alias("rank"),
+                                                  total.alias("total_groups"))
 
 
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
@@ -183,21 +190,20 @@ def histogram(df: DataFrame, col: str, bins: int = 50, upper: float | None = Non
 def box_stats(df: DataFrame, by: str, col: str, upper: float | None = None,
               exact: bool = True, accuracy: int = 10_000) -> DataFrame:
     """Per class q1, median, q3, 1.5-IQR fences, whisker ends and
-    outlier count.
+    outlier count, over the values below ``upper``.
 
-    ``exact=True`` interpolates linearly like the plotting library did; its
-    buffer holds one entry per distinct value, which a count-like column
-    capped by ``upper`` bounds.  For continuous columns at scale use
-    ``exact=False`` (a ``percentile_approx`` sketch of fixed size).
+    ``exact=True`` interpolates linearly like the plotting library did, ranking distinct values over
+    range partitions, so no task holds a class; ``exact=False`` takes a ``percentile_approx`` sketch of fixed size.
     """
     x = F.col(col).cast("double")
     kept = df.select(F.col(by), x.alias("x")).where(F.col("x").isNotNull())
     if upper is not None:
         kept = kept.where(F.col("x") < upper)
     probs = [0.25, 0.5, 0.75]
-    quart = (F.percentile("x", F.array(*[F.lit(p) for p in probs])) if exact
-             else F.percentile_approx("x", probs, accuracy))
-    q = kept.groupBy(by).agg(F.count(F.lit(1)).alias("n"), quart.alias("q"))
+    if exact:
+        q = exact_quantiles(kept, "x", probs, [by], linear=True)
+    else:
+        q = kept.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("x", probs, accuracy).alias("q"))
     q = q.select(by, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     q = q.withColumn("lower_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
          .withColumn("upper_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
@@ -235,17 +241,26 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
                            for a, b in pairs])
 
 
-def class_profile(df: DataFrame, label: str, cols: list[str],
-                  classes: tuple = (0, 1)) -> DataFrame:
+def class_profile(df: DataFrame, label: str, cols: list[str], classes: tuple | None = None) -> DataFrame:
     """``(feature, mean_<c>..., diff)`` -- mean per class and the
     difference last minus first.  One grouped pass; the unpivot/pivot act on
-    the tiny per-class table."""
-    per_class = df.groupBy(label).agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols])
+    the tiny per-class table.  The classes are those of the data, in order (rows
+    without a class are left out); given ``classes`` must cover them."""
+    per_class = materialize(df.where(F.col(label).isNotNull()).groupBy(label).agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]))
+    found = [r[0] for r in per_class.select(label).orderBy(label).limit(MAX_CLASSES + 1).collect()]
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes: a column per class is no use")
+    if classes is None:
+        classes = tuple(found)
+    elif not set(found) <= set(classes):
+        raise ValueError(f"{label} has classes outside {classes}: {sorted(set(found) - set(classes))}")
     long = per_class.unpivot([label], cols, "feature", "mean")
     wide = long.groupBy("feature").pivot(label, list(classes)).agg(F.first("mean"))
     names = [f"mean_{c}" for c in classes]
     for c, n in zip(classes, names):
         wide = wide.withColumnRenamed(str(c), n)
+    if not names:
+        return wide.select("feature", F.lit(None).cast("double").alias("diff"))
     return wide.select("feature", *[F.round(n, ROUND).alias(n) for n in names],
                        F.round(F.col(names[-1]) - F.col(names[0]), ROUND).alias("diff"))
 

@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 
 from vireo.functions.hashing import key_hash32, key_uniform, unit_from_hash
 from vireo.functions.rows import rows_from
+from vireo.operators.joins import materialize
 
 U = "__u"
-# Ranks inside a class are computed per bucket of the 32-bit hash; 2^16
-# buckets spread even a class holding a third of all rows over 65,536 tasks'
-# worth of work, while the bucket table stays tiny (classes x 65,536 rows).
+# Only the bucket of the 32-bit hash that holds a class's cut is ranked: with
+# 2^16 buckets that is about one row in 65,536 of the class.
 BUCKET_SHIFT = 16
 
 
@@ -57,30 +57,31 @@ def split(df: DataFrame, key: str, weights: list[float] = (0.8, 0.2), seed: int
 
 def stratified_split(df: DataFrame, label: str, key: str, test_fraction: float = 0.2,
                      seed: int = 42) -> DataFrame:
-    """``df`` plus ``is_test``; exactly ceil(test_fraction * n_c) rows of
-    each class c are test -- those with the smallest (hash, key).
-
-    The rank inside a class is computed without a class-wide window: rows are
-    bucketed by the top bits of their hash; a small table of per-(class,
-    bucket) counts gives each bucket's offset (a window over at most
-    classes x 2^16 rows), and a window inside each (class, bucket) gives the
-    local rank.
+    """``df`` plus ``is_test``; the ceil(test_fraction * n_c) rows of each
+    class c with the smallest (hash, key) are test.  A null label is a class of
+    its own; rows that share a key stay together in one part.
+
+    Rows are counted per (class, bucket of the hash's top bits).  Only the bucket
+    that holds a class's cut is ranked, about n_c / 2^16 rows; it gives the
+    (hash, key) of the last test row, and every row is compared with its
+    class's cut.  The full rows are joined with one row per class and not
+    shuffled unless there are very many classes.
     """
     h = key_hash32(F.col(key), seed)
-    x = df.withColumn("__h", h).withColumn("__b", F.shiftright(F.col("__h"), BUCKET_SHIFT))
-    counts = x.groupBy(label, "__b").agg(F.count(F.lit(1)).alias("__nb"))
-    wb = Window.partitionBy(label).orderBy("__b")
-    offsets = counts.select(label, "__b",
-                            (F.sum("__nb").over(wb.rowsBetween(Window.unboundedPreceding, -1))).alias("__off"),
-                            F.sum("__nb").over(Window.partitionBy(label)).alias("__nc"))
-    offsets = offsets.select(label, "__b", F.coalesce("__off", F.lit(0)).alias("__off"),
-                             F.ceil(F.col("__nc") * F.lit(float(test_fraction))).alias("__ntest"))
-    # bounded: (#classes x 2^16) rows
-    j = x.join(F.broadcast(offsets), [label, "__b"])
-    local = F.row_number().over(Window.partitionBy(label, "__b").orderBy("__h", key))
-    ranked = j.withColumn("__rank", F.col("__off") + local)
-    out = ranked.withColumn("is_test", (F.col("__rank") <= F.col("__ntest")).cast("int"))
-    return out.drop("__h", "__b", "__off", "__ntest", "__rank")
+    keys = df.select(F.col(label).alias("__c"), h.alias("__h"), F.col(key).alias("__k"))
+    counts = materialize(keys.groupBy("__c", F.shiftright("__h", BUCKET_SHIFT).alias("__b")).agg(F.count(F.lit(1)).alias("__n")))
+    w = Window.partitionBy("__c").orderBy("__b")
+    placed = counts.select("__c", "__b", "__n", (F.sum("__n").over(w) - F.col("__n")).alias("__before"),
+                           F.sum("__n").over(Window.partitionBy("__c")).alias("__all"))
+    tests = F.ceil(F.col("__all") * F.lit(float(test_fraction)))
+    cut = placed.where((F.col("__before") < tests) & (tests <= F.col("__before") + F.col("__n"))).select(
+        F.col("__c").alias("__cc"), F.col("__b").alias("__cb"), (tests - F.col("__before")).alias("__left"))
+    inside = keys.join(cut, F.col("__c").eqNullSafe(F.col("__cc")) & (F.shiftright("__h", BUCKET_SHIFT) == F.col("__cb")))
+    ranked = inside.withColumn("__rank", F.row_number().over(Window.partitionBy("__cc", "__cb").orderBy("__h", "__k")))
+    last = materialize(ranked.where(F.col("__rank") == F.col("__left")).select("__cc", F.col("__h").alias("__ch"), F.col("__k").alias("__ck")))
+    joined = df.withColumn("__h", h).join(last, F.col(label).eqNullSafe(F.col("__cc")), "left")
+    is_test = (F.col("__h") < F.col("__ch")) | ((F.col("__h") == F.col("__ch")) & (F.col(key) <= F.col("__ck")))
+    return joined.withColumn("is_test", F.coalesce(is_test, F.lit(False)).cast("int")).drop("__h", "__cc", "__ch", "__ck")
 
 
 def head(df: DataFrame, n: int, order_by: str) -> DataFrame:

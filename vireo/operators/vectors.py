@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from vireo.functions.rows import rows_from
 from vireo.functions.stopwords import ENGLISH
 from vireo.functions.text import NUMERIC_FEATURES
+from vireo.operators.cumulative import row_numbers
 from vireo.operators.features import SummaryFeatures, TextFeatures, unique_word_ratio_stage
-from vireo.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, join_group_table, materialize
-from vireo.operators.parallel import spread
+from vireo.operators.joins import MAX_BROADCAST_BYTES, join_group_table, materialize
 
 # Fixed value: sklearn's default token rule "\b\w\w+\b" with \w spelled as
 # letters, digits and underscore, so Java regex and RE2 agree.
@@ -48,8 +48,9 @@ def stop_words(languages: tuple[str, ...] = ("english",)) -> list[str]:
 
 
 def tokenize(df: DataFrame, col: str, out: str = "words") -> DataFrame:
-    """Lower-case and split on each whitespace character (Tokenizer)."""
-    return Tokenizer(inputCol=col, outputCol=out).transform(df)
+    """Lower-case and split on each whitespace character (Tokenizer); a null text counts as empty."""
+    filled = df.withColumn(col, F.coalesce(F.col(col), F.lit("")))
+    return Tokenizer(inputCol=col, outputCol=out).transform(filled)
 
 
 def remove_stopwords(df: DataFrame, col: str = "words", out: str = "filtered_words",
@@ -71,15 +72,17 @@ def fit_idf(df: DataFrame, col: str = "raw_tf", out: str = "tfidf", min_doc_freq
 
 def term_counts(df: DataFrame, id_col: str, tokens: Column,
                 languages: tuple[str, ...] | None = ("english",)) -> DataFrame:
-    """``(id, term, tf)`` from a token-array expression; empty tokens and
-    stop words dropped after the explode (a hash-set ``InSet`` test per
-    token).  The (id, term) count is partially aggregated inside each map
-    task, so a term repeated in a document is one row before the shuffle."""
-    ex = spread(df).select(F.col(id_col), F.explode(tokens).alias("term"))
+    """``(id, term, tf)`` from a token-array expression, stored; empty tokens and
+    stop words are dropped after the explode (a hash-set ``InSet`` test per token).
+
+    The documents are read and tokenised once, and dealt by id first, so the
+    (id, term) count needs no further shuffle; what follows reads the stored counts.
+    """
+    ex = df.select(F.col(id_col), tokens.alias("__tokens")).repartition(id_col).select(id_col, F.explode("__tokens").alias("term"))
     cond = F.col("term") != ""
     if languages:
         cond = cond & ~F.col("term").isin(stop_words(languages))
-    return ex.where(cond).groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+    return materialize(ex.where(cond).groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
 def spark_tokens(text: Column) -> Column:
@@ -95,16 +98,12 @@ def word_tokens(text: Column) -> Column:
 
 def term_stats(df: DataFrame, id_col: str, text_col: str, min_doc_freq: int = 0,
                languages: tuple[str, ...] | None = ("english",),
-               max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+               max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """``(id, term, tf, df, idf, tfidf)`` with Spark IDF semantics."""
     tf = term_counts(df, id_col, spark_tokens(F.col(text_col)), languages)
     n_docs = df.agg(F.count(F.lit(1)).cast("double")).scalar()
-    # only the per-term table (one row per distinct term) is materialised and
-    # counted; re-tokenising for the join is cheaper than writing (doc, term)
-    # rows through a checkpoint
     dfs = materialize(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
-    rows = join_group_table(tf, dfs, ["term"], how="inner", size_col="df",
-                            max_broadcast_rows=max_broadcast_rows)
+    rows = join_group_table(tf, dfs, ["term"], how="inner", size_col="df", max_broadcast_bytes=max_broadcast_bytes)
     idf = F.when(F.col("df") >= min_doc_freq,
                  F.log((n_docs + 1.0) / (F.col("df") + 1.0))).otherwise(F.lit(0.0))
     return rows.select(id_col, "term", "tf", "df", idf.alias("idf"), (F.col("tf") * idf).alias("tfidf"))
@@ -117,16 +116,16 @@ def vocab_tfidf(df: DataFrame, id_col: str, text_col: str, max_features: int = 5
 
     vocabulary: terms with ``min_df <= df <= max_df * N``, top ``max_features``
     by corpus count (ties by term); idf = ln((1+N)/(1+df)) + 1; each document
-    row L2-normalised over its kept terms.  The vocabulary is bounded by
-    ``max_features``, which is what makes broadcasting it safe.
+    row L2-normalised over its kept terms.  The vocabulary has at most
+    ``max_features`` rows, and its bytes decide whether it is broadcast.
     """
     tf = term_counts(df, id_col, word_tokens(F.col(text_col)), languages)
     n_docs = df.agg(F.count(F.lit(1)).cast("double")).scalar()
     per_term = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
     kept = per_term.where((F.col("df") >= min_df) & (F.col("df") <= n_docs * max_df))
     vocab = kept.orderBy(F.desc("cf"), F.asc("term")).limit(max_features)
-    vocab = vocab.select("term", (F.log((n_docs + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf"))
-    raw = tf.join(F.broadcast(vocab), "term").select(id_col, "term", (F.col("tf") * F.col("idf")).alias("w"))
+    vocab = materialize(vocab.select("term", (F.log((n_docs + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf")))
+    raw = join_group_table(tf, vocab, ["term"], how="inner").select(id_col, "term", (F.col("tf") * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
     return raw.select(id_col, "term", (F.col("w") / norm).alias("tfidf"))
 
@@ -134,11 +133,10 @@ def vocab_tfidf(df: DataFrame, id_col: str, text_col: str, max_features: int = 5
 def group_index_table(df: DataFrame, col: str) -> DataFrame:
     """E7 in table form: ``(group, n, index)``, frequency desc, ties by name;
     a null group gets the extra index after all named groups (``keep``)."""
-    sizes = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    sizes = materialize(df.groupBy(col).agg(F.count(F.lit(1)).alias("n")))
     named = sizes.where(F.col(col).isNotNull())
-    # one row per group: the window sorts the group table, not the rows
-    idx = named.select(col, "n", (F.row_number().over(Window.orderBy(F.desc("n"), F.asc(col))) - 1)
-                       .cast("double").alias("index"))
+    # ranked over range partitions of the group table
+    idx = row_numbers(named, [F.desc("n"), F.asc(col)], "__row").select(col, "n", (F.col("__row") - 1).cast("double").alias("index"))
     n_named = named.agg(F.count(F.lit(1)).cast("double")).scalar()
     nulls = sizes.where(F.col(col).isNull()).select(col, "n", n_named.alias("index"))
     return idx.unionByName(nulls)
@@ -174,17 +172,17 @@ def build_pipeline(text_col: str = "text", summary_col: str = "summary", group_c
                    num_features: int = 5000, min_doc_freq: int = 5, include_group: bool = False,
                    mode: str = "ref", languages: tuple[str, ...] = ("english",)) -> Pipeline:
     """Text -> summary -> index -> tokens -> stop words -> TF -> IDF ->
-    assemble -> scale.  The group index is computed but only assembled
-    when ``include_group`` (it leaks an activity label built from group size).
+    assemble -> scale.  The group index is fitted and assembled only with
+    ``include_group`` (it leaks an activity label built from group size).  Null
+    text and summaries count as empty in every stage.
     Fit it on the training part only."""
     stages = [TextFeatures(inputCol=text_col, mode=mode), SummaryFeatures(inputCol=summary_col)]
     inputs = list(NUMERIC_FEATURES)
-    if group_col:
+    if group_col and include_group:
         stages.append(index_group(group_col, "group_index"))
-        if include_group:
-            # strip the nominal metadata so tree learners do not need maxBins >= #groups
-            stages.append(_numeric_copy("group_index", "group_index_num"))
-            inputs.append("group_index_num")
+        # strip the nominal metadata so tree learners do not need maxBins >= #groups
+        stages.append(_numeric_copy("group_index", "group_index_num"))
+        inputs.append("group_index_num")
     stages += [Tokenizer(inputCol=text_col, outputCol="words"),
                StopWordsRemover(inputCol="words", outputCol="filtered_words", stopWords=stop_words(languages)),
                HashingTF(inputCol="filtered_words", outputCol="raw_tf", numFeatures=num_features),
@@ -194,6 +192,12 @@ def build_pipeline(text_col: str = "text", summary_col: str = "summary", group_c
     return Pipeline(stages=stages)
 
 
+def filled_column(col: str):
+    """A stage that puts '' for null in ``col``."""
+    from pyspark.ml.feature import SQLTransformer
+    return SQLTransformer(statement=f"SELECT * EXCEPT (`{col}`), coalesce(`{col}`, '') AS `{col}` FROM __THIS__")
+
+
 def _numeric_copy(col: str, out: str):
     from pyspark.ml.feature import SQLTransformer
     return SQLTransformer(statement=f"SELECT *, CAST(`{col}` AS DOUBLE) + 0.0 AS `{out}` FROM __THIS__")
@@ -203,13 +207,13 @@ def build_simple_pipeline(text_col: str = "text", num_features: int = 5000,
                           min_doc_freq: int = 5) -> Pipeline:
     """Tokens -> stop words -> hashed TF -> IDF."""
     return Pipeline(stages=[
-        Tokenizer(inputCol=text_col, outputCol="words"),
+        filled_column(text_col), Tokenizer(inputCol=text_col, outputCol="words"),
         StopWordsRemover(inputCol="words", outputCol="filtered_words", stopWords=stop_words()),
         HashingTF(inputCol="filtered_words", outputCol="raw_tf", numFeatures=num_features),
         IDF(inputCol="raw_tf", outputCol="features", minDocFreq=min_doc_freq)])
 
 
-# The feature catalogue (category and description per feature).
+# The feature catalogue: category and description per feature.
 CATALOG = [
     ("char_count", "length", "Total character count of the text"),
     ("word_count", "length", "Number of words"),

@@ -9,7 +9,7 @@ from vireo.functions.hashing import poisson1_cdf
 from vireo.operators import evaluation as ev
 from vireo.operators.joins import materialize
 from vireo.plans.registry import SCORED_SQL, query, scored_labels
-from vireo.plans.sqlbits import rnd, stream_unit, u32
+from vireo.plans.sqlbits import rnd, stream_columns, u64
 
 
 def metrics_sql(cells: str, by: list[str]) -> str:
@@ -76,23 +76,23 @@ def q_roc_points(spark, sf):
 
 
 def _poisson_case(u: str) -> str:
-    cdf = poisson1_cdf(6)
-    whens = " ".join(f"WHEN {u} < {c!r} THEN {k}" for k, c in enumerate(cdf))
-    return f"CASE {whens} ELSE 6 END"
+    cdf = poisson1_cdf()
+    whens = " ".join(f"WHEN {u} < {c!r}::DOUBLE THEN {k}" for k, c in enumerate(cdf))
+    return f"CASE {whens} ELSE {len(cdf)} END"
 
 
 def _bootstrap_sql(reps: int = 100, ci: float = 0.95) -> str:
     lo, hi = (1 - ci) / 2, 1 - (1 - ci) / 2
-    u = stream_unit("h", "rep")
+    hi_, lo_ = u64("doc_id")
     parts = []
     for m in ("accuracy", "f1"):
         parts.append(f"""SELECT '{m}' AS metric, (SELECT {rnd(m)} FROM m0) AS point, {rnd(f"avg({m})")} AS mean,
   {rnd(f"quantile_cont({m}, {lo!r})")} AS lower, {rnd(f"quantile_cont({m}, {hi!r})")} AS upper FROM m""")
     m0 = metrics_sql("cells0", []).replace("pc AS", "pc0 AS").replace("FROM pc)", "FROM pc0)") \
         .replace("pcn AS", "pcn0 AS").replace("FROM pcn ", "FROM pcn0 ").replace("m AS (", "m0 AS (")
-    return f"""WITH x AS (SELECT {u32("doc_id")} AS h, label, prediction FROM {SCORED_SQL}),
-r AS (SELECT h, label, prediction, unnest(range(1, {reps + 1})) AS rep FROM x),
-cells AS (SELECT rep, label, prediction, sum({_poisson_case(u)}) AS n FROM r GROUP BY ALL),
+    return f"""WITH x AS (SELECT {hi_} AS hi, {lo_} AS lo, label, prediction FROM {SCORED_SQL}),
+r AS (SELECT hi, lo, label, prediction, unnest(range(1, {reps + 1})) AS rep FROM x),
+cells AS (SELECT rep, label, prediction, sum({_poisson_case("u")}) AS n FROM {stream_columns("r", "rep", "rep, label, prediction")} GROUP BY ALL),
 cells0 AS (SELECT label, prediction, count(*) AS n FROM x GROUP BY ALL),
 {m0},
 {metrics_sql("cells", ["rep"])}
@@ -104,19 +104,14 @@ def q_bootstrap_ci(spark, sf):
     return ev.bootstrap_ci(scored_labels(spark, sf), "doc_id", replicates=100, ci=0.95, seed=42)
 
 
-@query("bootstrap_ci_cells")
-def q_bootstrap_ci_cells(spark, sf):
-    """The per-cell Poisson draw (numpy inside tasks): rows-only."""
-    return ev.bootstrap_ci(scored_labels(spark, sf), "doc_id", replicates=100, ci=0.95, seed=42, method="cells")
-
-
 def _stability_sql(runs: int = 10, frac: float = 0.8) -> str:
-    u = stream_unit("h", "rep + 1000000")
+    hi_, lo_ = u64("doc_id")
     parts = [f"""SELECT '{m}' AS metric, {rnd(f"avg({m})")} AS mean, {rnd(f"stddev_pop({m})")} AS std FROM m"""
              for m in ("accuracy", "precision", "f1")]
-    return f"""WITH x AS (SELECT {u32("doc_id")} AS h, label, prediction FROM {SCORED_SQL}),
-r AS (SELECT h, label, prediction, unnest(range(1, {runs + 1})) AS rep FROM x),
-cells AS (SELECT rep, label, prediction, sum(CASE WHEN {u} < {frac!r} THEN 1 ELSE 0 END) AS n FROM r GROUP BY ALL),
+    return f"""WITH x AS (SELECT {hi_} AS hi, {lo_} AS lo, label, prediction FROM {SCORED_SQL}),
+r AS (SELECT hi, lo, label, prediction, unnest(range(1, {runs + 1})) AS rep FROM x),
+cells AS (SELECT rep, label, prediction, sum(CASE WHEN u < {frac!r} THEN 1 ELSE 0 END) AS n
+          FROM {stream_columns("r", "rep + 1000000", "rep, label, prediction")} GROUP BY ALL),
 {metrics_sql("cells", ["rep"])}
 """ + "\nUNION ALL\n".join(parts)
 
@@ -142,17 +137,22 @@ _MODELS_SQL = ("(SELECT l.doc_id, l.quality AS label, 'long_text' AS model, CAST
                "CAST(d.n_chars <= 600 AS INTEGER) FROM labels l JOIN documents d ON l.doc_id = d.doc_id)")
 
 
-def _model_frames(spark, sf):
+def _model_rows(spark, sf):
+    """Both rules on every row, long form, from one read."""
     s = scored_labels(spark, sf)
-    short = s.select("doc_id", "label", (-F.col("score")).alias("score"),
-                     (F.col("score") <= 600).cast("int").alias("prediction"))
-    return {"long_text": s, "short_text": short}
+    rules = F.array(F.struct(F.lit("long_text").alias("model"), F.col("score").alias("score"), F.col("prediction").alias("prediction")),
+                    F.struct(F.lit("short_text").alias("model"), (-F.col("score")).alias("score"), (F.col("score") <= 600).cast("int").alias("prediction")))
+    return s.select("doc_id", "label", F.explode(rules).alias("r")).select("doc_id", "label", "r.*")
+
 
+def _compared(spark, sf):
+    return ev.compare_models_long(_model_rows(spark, sf))
 
-def _compare_sql() -> str:
+
+def _compare_sql(where: str = "WHERE model = '{name}'") -> str:
     parts = []
     for name in ("long_text", "short_text"):
-        sub = f"(SELECT * FROM {_MODELS_SQL} WHERE model = '{name}')"
+        sub = f"(SELECT * FROM {_MODELS_SQL} {where.format(name=name)})"
         parts.append(f"""(WITH cells AS (SELECT label, prediction, count(*) AS n FROM {sub} GROUP BY ALL),
 {metrics_sql("cells", [])}
 SELECT '{name}' AS model, round(accuracy, 4) AS accuracy, round(precision, 4) AS precision,
@@ -165,19 +165,19 @@ _COMPARE = _compare_sql()
 
 @query("compare_models", _COMPARE)
 def q_compare_models(spark, sf):
-    return ev.compare_models(_model_frames(spark, sf))
+    return _compared(spark, sf)
 
 
 @query("best_model", f"SELECT * FROM ({_COMPARE}) ORDER BY f1 DESC, model LIMIT 1")
 def q_best_model(spark, sf):
-    return ev.best_model(ev.compare_models(_model_frames(spark, sf)), "f1")
+    return ev.best_model(_compared(spark, sf), "f1")
 
 
 @query("metrics_long", f"""
 SELECT model, metric, score FROM (UNPIVOT ({_COMPARE}) ON accuracy, precision, recall, f1, auc
   INTO NAME metric VALUE score)""")
 def q_metrics_long(spark, sf):
-    return ev.metrics_long(ev.compare_models(_model_frames(spark, sf)), ["model"])
+    return ev.metrics_long(_compared(spark, sf), ["model"])
 
 
 @query("framework_union", f"""
@@ -185,23 +185,23 @@ SELECT model, accuracy, precision, recall, f1, auc, 'spark' AS framework FROM ({
 UNION ALL
 SELECT model, accuracy, NULL, NULL, NULL, auc, 'other' FROM ({_COMPARE})""")
 def q_framework_union(spark, sf):
-    cmp = ev.compare_models(_model_frames(spark, sf))
+    cmp = _compared(spark, sf)
     other = cmp.select(F.col("model").alias("Model"), F.col("accuracy").alias("Accuracy"),
                        F.col("auc").alias("AUC-ROC"))
     return ev.framework_union(cmp, other, "spark", "other",
                               rename_b={"Model": "model", "Accuracy": "accuracy", "AUC-ROC": "auc"})
 
 
+# the second framework of the pairs: the same rules as found on the even ids only
+_EVEN_SQL = _compare_sql("WHERE model = '{name}' AND doc_id % 2 = 0")
+
+
 @query("framework_pairs", f"""
 SELECT a.model, a.accuracy AS accuracy_a, a.auc AS auc_a, b.accuracy AS accuracy_b, b.auc AS auc_b
-FROM ({_COMPARE}) a JOIN (SELECT * FROM ({_COMPARE}) WHERE model <> 'none') b ON a.model = b.model""")
+FROM ({_COMPARE}) a JOIN ({_EVEN_SQL}) b ON a.model = b.model""")
 def q_framework_pairs(spark, sf):
-    # the metric table is tiny: checkpoint it so both sides read a plain
-    # table (Spark 4.1 fails to plan filters/joins over the same scalar
-    # subqueries on both sides)
-    a = materialize(ev.compare_models(_model_frames(spark, sf)))
-    b = a.where(F.col("model") != "none")
+    """Two runs side by side: all rows, and the rows with even ids."""
+    rows = _model_rows(spark, sf)
+    a = materialize(ev.compare_models_long(rows))
+    b = materialize(ev.compare_models_long(rows.where(F.col("doc_id") % 2 == 0)))
     return ev.framework_pairs(a, b, ["accuracy", "auc"])
-
-
-

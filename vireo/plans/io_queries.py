@@ -64,11 +64,15 @@ def q_partition_pruned_read(spark, sf):
     return files.read_partition(spark, path, F.col("lang") == "en")
 
 
-@query("storage_report")
+@query("storage_report", """
+SELECT lang, count(*) AS "rows", CAST(sum(strlen(coalesce(text, '')) + strlen(coalesce(source, ''))) AS BIGINT) AS text_bytes
+FROM documents GROUP BY lang""")
 def q_storage_report(spark, sf):
+    """Rows and text bytes per partition value; files and stored bytes depend on the writer and are checked for presence."""
     path = _fresh(spark, "documents-by-lang-report")
     files.write_partitioned(table(spark, sf, "documents"), path, "lang")
-    return files.storage_report(spark.read.parquet(path), ["lang"])
+    report = files.storage_report(spark.read.parquet(path), ["lang"])
+    return report.where("files > 0 AND bytes > 0").select("lang", "rows", F.col("text_bytes").cast("bigint").alias("text_bytes"))
 
 
 @query("mart_roundtrip", """

@@ -138,5 +138,17 @@ def mix32(x: str) -> str:
     return f"xor({b}, ({b} >> 16))"
 
 
-def stream_unit(h: str, stream: str) -> str:
-    return unit(mix32(f"(({h} + CAST({stream} AS BIGINT) * 2654435761) & 4294967295)"))
+def u64(key_sql: str, seed: int | str = 42) -> tuple[str, str]:
+    """DuckDB twin of ``key_hash64``: the two 32-bit halves."""
+    half = f"CAST(('0x' || substr(md5('{seed}:' || CAST({key_sql} AS VARCHAR)), %d, 8)) AS BIGINT)"
+    return half % 1, half % 9
+
+
+def stream_columns(rows: str, stream: str, keep: str) -> str:
+    """DuckDB twin of ``stream_uniform`` over ``rows`` with hi, lo: selects ``keep`` and ``u``."""
+    def keyed(x: str, r: int) -> str:
+        return mix32(f"(({x} + (CAST({stream} AS BIGINT) * 4 + {r}) * 2654435761) & 4294967295)")
+
+    return (f"(SELECT {keep}, CAST(c * 2097152 + (b >> 11) AS DOUBLE) / 9007199254740992.0 AS u FROM "
+            f"(SELECT *, xor(a, {keyed('b', 3)}) AS c FROM (SELECT *, xor(lo, {keyed('a', 2)}) AS b FROM "
+            f"(SELECT *, xor(hi, {keyed('lo', 1)}) AS a FROM {rows}))))")

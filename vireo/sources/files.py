@@ -7,22 +7,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vireo.functions.hashing import key_uniform, salt
+from vireo.functions.hashing import key_uniform
+from vireo.operators.joins import materialize
 
 # Fixed value: the post schema of the source CSV (8 nullable strings).
 POST_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in
                             ["author", "body", "normalizedBody", "subreddit", "subreddit_id", "id",
                              "content", "summary"]])
 
-MART_MAX_ROWS = 1_000_000
+ROWS_PER_FILE = 1_000_000
+# How CSV files written here mark a null; an empty string stays an empty string.
+CSV_NULL = "\\N"
+
+
+def _csv(spark: SparkSession, multi_line: bool):
+    return (spark.read.option("header", True).option("multiLine", multi_line).option("quote", '"').option("escape", '"')
+            .option("nullValue", CSV_NULL).option("emptyValue", ""))
 
 
 def read_posts_csv(spark: SparkSession, path: str, schema: T.StructType = POST_SCHEMA) -> DataFrame:
     """A1: header CSV with an explicit schema, embedded newlines, and '"' as
     both quote and escape.  A multi-line file is one task per file (not
     splittable): write many files upstream for parallelism."""
-    return (spark.read.option("header", True).option("multiLine", True)
-            .option("quote", '"').option("escape", '"').schema(schema).csv(path))
+    return _csv(spark, True).schema(schema).csv(path)
 
 
 def read_csv_inferred(spark: SparkSession, path: str, multi_line: bool = True,
@@ -31,8 +38,7 @@ def read_csv_inferred(spark: SparkSession, path: str, multi_line: bool = True,
     ``corrupt_col`` that holds the raw record of every row that does not fit
     the inferred schema (so bad rows are counted, not silently nulled).
     Inference is an extra pass over the data; prefer A1 in production."""
-    reader = (spark.read.option("header", True).option("multiLine", multi_line)
-              .option("quote", '"').option("escape", '"'))
+    reader = _csv(spark, multi_line)
     inferred = reader.option("inferSchema", True).csv(path).schema
     schema = T.StructType(inferred.fields + [T.StructField(corrupt_col, T.StringType(), True)])
     return (reader.schema(schema).option("mode", "PERMISSIVE")
@@ -56,18 +62,29 @@ def bad_row_count(df: DataFrame, corrupt_col: str = "_corrupt_record") -> DataFr
 
 
 def read_csv_lines(spark: SparkSession, path: str, schema: T.StructType = POST_SCHEMA,
-                   bad: str = "drop") -> DataFrame:
+                   bad: str = "drop", corrupt_col: str = "_corrupt_record") -> DataFrame:
     """A3: single-line records (splittable), malformed lines dropped
-    (``bad='drop'``) or kept with nulls (``bad='keep'``)."""
-    mode = {"drop": "DROPMALFORMED", "keep": "PERMISSIVE", "fail": "FAILFAST"}[bad]
-    return (spark.read.option("header", True).option("multiLine", False)
-            .option("quote", '"').option("escape", '"').option("mode", mode).schema(schema).csv(path))
+    (``bad='drop'``), kept with their raw text in ``corrupt_col`` (``'keep'``), or an error (``'fail'``).
+
+    Every record is parsed whole whatever columns are read later, so a line is malformed or not
+    independently of the query; ``bad_row_count`` on a ``'keep'`` read tells how many there are.
+    """
+    reader = _csv(spark, False).option("columnPruning", False)
+    if bad == "fail":
+        return reader.option("mode", "FAILFAST").schema(schema).csv(path)
+    whole = T.StructType([*schema.fields, T.StructField(corrupt_col, T.StringType(), True)])
+    rows = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_col).schema(whole).csv(path)
+    if bad == "keep":
+        return rows
+    # the condition reads every column, which keeps the scan from parsing less than the record
+    parsed = F.length(F.concat_ws("", *[F.col(f.name).cast("string") for f in schema.fields])) >= 0
+    return rows.where(parsed & F.col(corrupt_col).isNull()).drop(corrupt_col)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV writer that keeps values byte-exact (no whitespace trimming), with
-    the same quote/escape convention as A1."""
-    (df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
+    """CSV writer that keeps values byte-exact (no whitespace trimming; null is written
+    as ``CSV_NULL``, an empty string as ""), with the same quote/escape convention as A1."""
+    (df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').option("nullValue", CSV_NULL)
        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
@@ -87,20 +104,23 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, by: list[str] | str, files_per_value: int = 16,
-                      max_records_per_file: int = 5_000_000) -> None:
-    """Parquet partitioned by ``by``.
+def write_partitioned(df: DataFrame, path: str, by: list[str] | str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Parquet partitioned by ``by``, about ``rows_per_file`` rows to a file.
 
-    Rows are clustered by the partition columns plus a row-hash salt, so each
-    partition value is written by up to ``files_per_value`` tasks: few files
-    per value, and a value holding a third of the table is not one task.
-    ``max_records_per_file`` bounds file size within a task.
+    The rows of each partition value are counted first; a value is then written by
+    ceil(rows / ``rows_per_file``) tasks, its rows dealt by a number that differs for every row, so writers grow
+    with the table and a value (or the null value) with a third of all rows isn't one task.
     """
     cols = [by] if isinstance(by, str) else list(by)
-    spread_key = salt([F.col(c) for c in df.columns], files_per_value)
-    (df.repartition(*[F.col(c) for c in cols], spread_key).write.mode("overwrite")
-       .option("compression", "snappy").option("maxRecordsPerFile", max_records_per_file)
-       .partitionBy(*cols).parquet(path))
+    files = materialize(df.groupBy(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(cols)])
+                        .agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).cast("int").alias("__files")))
+    total = files.agg(F.sum("__files")).first()[0] or 1
+    on = F.lit(True)
+    for i, c in enumerate(cols):
+        on = on & F.col(c).eqNullSafe(F.col(f"__k{i}"))
+    dealt = df.join(files, on, "left").withColumn("__part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("__files")))
+    (dealt.repartition(max(total, 1), *[F.col(c) for c in cols], "__part").select(*df.columns).write.mode("overwrite")
+     .option("compression", "snappy").option("maxRecordsPerFile", 2 * rows_per_file).partitionBy(*cols).parquet(path))
 
 
 def read_partition(spark: SparkSession, path: str, where) -> DataFrame:
@@ -126,17 +146,17 @@ def storage_report(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     return out.withColumn("compression_ratio", F.round(F.col("text_bytes") / F.nullif(F.col("bytes"), F.lit(0)), 3))
 
 
-def write_mart(df: DataFrame, path: str, max_rows: int = MART_MAX_ROWS) -> None:
-    """A small result table as one header CSV.  ``coalesce(1)`` funnels
-    everything through one task, so the row count is checked first."""
-    n = df.count()
-    if n > max_rows:
-        raise ValueError(f"mart has {n} rows > {max_rows}; write it as a partitioned table instead")
-    write_csv(df.coalesce(1), path)
+def write_mart(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """A result table as header CSV: one file while it is small, else as many files as its rows need.
+
+    The plan runs once, into a stored table; only that is counted and dealt to files.
+    """
+    stored = materialize(df)
+    write_csv(stored.repartition(max(1, -(-stored.count() // rows_per_file))), path)
 
 
 def read_mart(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    r = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True)
+    r = _csv(spark, True)
     return r.schema(schema).csv(path) if schema is not None else r.option("inferSchema", True).csv(path)
 
 
