@@ -3,10 +3,10 @@
 A Parquet file is split by row group; a table stored as one large row group
 (or one small file) is a single scan task, so a regex-heavy projection over
 it would use one core no matter how many the cluster has.  ``spread`` adds a
-repartition only when the input has fewer partitions than the session's
-default parallelism -- on a large table (thousands of splits) it is a no-op
-and costs nothing, on an under-split input it buys every core for the price
-of one shuffle of the input columns.  Inputs that already went through a
+repartition only when the input has less than a quarter as many partitions as
+the session has cores: a table of many splits is left alone even where the
+cluster has more cores, an under-split input gets them for the price of one
+shuffle of the input columns.  Inputs that already went through a
 shuffle are left alone (their partition count is the shuffle's).
 """
 
@@ -14,10 +14,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+MUCH_FEWER = 4
+
 
 def spread(df: DataFrame, min_partitions: int | None = None, by: str | None = None) -> DataFrame:
-    """``df`` with at least ``min_partitions`` partitions (default: the
-    cluster's default parallelism).  With ``by`` the rows are hash-partitioned
+    """``df`` dealt to ``min_partitions`` partitions (default: the cluster's
+    default parallelism) if it has less than a quarter of them.  With ``by`` the rows are hash-partitioned
     on that column (deterministic under task retries without a sort)."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.isStreaming:
@@ -25,6 +27,6 @@ def spread(df: DataFrame, min_partitions: int | None = None, by: str | None = No
     plan = df._jdf.queryExecution().executedPlan().toString()
     # Input that is already shuffled has shuffle-sized partitions; and asking
     # an adaptive or subquery-bearing plan for its RDD would run its stages.
-    if "Exchange" in plan or "Subquery" in plan or df.rdd.getNumPartitions() >= target:
+    if "Exchange" in plan or "Subquery" in plan or df.rdd.getNumPartitions() * MUCH_FEWER > target:
         return df
     return df.repartition(target, by) if by else df.repartition(target)

@@ -188,28 +188,28 @@ def _labelled_posts(spark, sf):
     return posts(spark, sf).join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
 
 
-@query("assembled", "SELECT doc_id, 1013 AS width FROM documents")
+@query("assembled", "SELECT doc_id, 5013 AS width FROM documents")
 def q_assembled(spark, sf):
-    """Every row assembles (none skipped) into 13 features + 1000 hashed slots."""
+    """Every row assembles (none skipped) into 13 features + 5000 hashed slots."""
     f = text_features(posts(spark, sf), "text", "summary", mode="ref")
-    tf = vec.hashing_tf(vec.remove_stopwords(vec.tokenize(f, "text")), num_features=1000)
+    tf = vec.hashing_tf(vec.remove_stopwords(vec.tokenize(f, "text")), num_features=5000)
     a = vec.assembler(NUMERIC_FEATURES + ["raw_tf"]).transform(tf)
     return a.select("doc_id", vec.width_of(F.col("raw_features")).alias("width"))
 
 
 @query("stages_full", """
-SELECT d.doc_id, l.quality, 1014 AS width FROM documents d JOIN labels l ON d.doc_id = l.doc_id""")
+SELECT d.doc_id, l.quality, 5014 AS width FROM documents d JOIN labels l ON d.doc_id = l.doc_id""")
 def q_stages_full(spark, sf):
-    """All ten stages fitted; 13 features + group index + 1000 TF-IDF slots."""
+    """All ten stages fitted; 13 features + group index + 5000 TF-IDF slots."""
     d = _labelled_posts(spark, sf).withColumnRenamed("lang", "group")
-    model = fit_pipeline(vec.build_pipeline("text", "summary", "group", num_features=1000, include_group=True), d)
+    model = fit_pipeline(vec.build_pipeline("text", "summary", "group", num_features=5000, include_group=True), d)
     return model.transform(d).select("doc_id", "quality", vec.width_of(F.col("features")).alias("width"))
 
 
 @query("stages_simple")
 def q_stages_simple(spark, sf):
     d = table(spark, sf, "documents")
-    model = fit_pipeline(vec.build_simple_pipeline("text", num_features=1000), d)
+    model = fit_pipeline(vec.build_simple_pipeline("text", num_features=5000), d)
     return model.transform(d).select("doc_id", "features")
 
 

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from vireo.functions.text import NUMERIC_FEATURES
 from vireo.operators import profile
-from vireo.plans.registry import query, table
+from vireo.plans import marts
+from vireo.plans.registry import ORACLE, query, table
 from vireo.plans.sqlbits import features_sql
 from vireo.session import scratch_dir
 from vireo.sources import files
@@ -98,3 +99,18 @@ def q_stream_text_features(spark, sf):
     sink, ckpt = _fresh(spark, "stream-sink"), _fresh(spark, "stream-ckpt")
     run_feature_stream(spark, src, sink, ckpt, "text", None, mode="ref")
     return spark.read.parquet(sink).select("doc_id", *NUMERIC_FEATURES)
+
+
+# ------------------------------------------------ marts, written and read back
+
+def _mart(name: str, twin: str, build, schema: str):
+    def run(spark, sf):
+        path = _fresh(spark, name)
+        files.write_mart(build(spark, sf), path)
+        return files.read_mart(spark, path, schema)
+    query(name, ORACLE[twin])(run)
+
+
+_mart("mart_data_quality", "missing_profile", lambda s, sf: marts.data_quality_mart(s, sf)["missing"], "`column` string, missing bigint, pct double")
+_mart("mart_insights", "class_profile", lambda s, sf: marts.insight_mart(s, sf)["class_profile"], "feature string, mean_0 double, mean_1 double, diff double")
+_mart("mart_scaling", "strong_scaling", lambda s, sf: marts.scaling_mart(s, sf)["strong"], "job string, cores int, time double, speedup double, efficiency double, ideal double")

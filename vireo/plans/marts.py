@@ -1,7 +1,7 @@
 """Dashboard marts: compositions of the operators, each a
 small aggregated table written as one header CSV by ``write_mart``.
 
-    python -m vireo.plans.marts <sf_dir> <out_dir> [--models]
+    python -m vireo.plans.marts <sf_dir> <out_dir> [--tuning]
 """
 
 from __future__ import annotations
@@ -30,18 +30,21 @@ def data_quality_mart(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
             "schema": profile.schema_info(docs, {"doc_id": "id", "text": "text", "lang": "group"})}
 
 
-def model_mart(spark: SparkSession, sf: str, with_models: bool = False) -> dict[str, DataFrame]:
-    """Model comparison, metrics, bootstrap intervals [, tuning table]."""
-    scored = scored_labels(spark, sf)
-    out = {"comparison": ev.compare_models({"long_text": scored}),
-           "metrics": ev.class_metrics(scored),
-           "intervals": ev.bootstrap_ci(scored, "doc_id")}
-    if with_models:
-        from vireo.operators import models as md
-        d = posts(spark, sf).join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
-        _, train, _ = md.prepare(d, vec.build_pipeline("text", "summary", "lang", num_features=1000),
-                                 "doc_id", "quality")
-        out["tuning"] = md.cv_table(md.tune(md.logistic(max_iter=20), {"regParam": [0.01, 0.1]}, train, "doc_id"))
+def model_mart(spark: SparkSession, sf: str, models: dict | None = None, grids: dict | None = None) -> dict[str, DataFrame]:
+    """Model comparison, metrics and bootstrap intervals of fitted models [, tuning tables].
+
+    ``models`` are estimators by name (the four base models by default), ``grids`` tuning grids by model name.
+    """
+    from vireo.operators import models as md
+    d = posts(spark, sf).join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
+    _, train, test = md.prepare(d, vec.build_pipeline("text", "summary", "lang"), "doc_id", "quality")
+    models = md.base_models() if models is None else models
+    fitted, comparison = md.train_all(train, test, models, "doc_id")
+    best = max(fitted)  # one model's details: the last by name
+    scored = md.score(fitted[best], test)
+    out = {"comparison": comparison, "metrics": ev.class_metrics(scored), "intervals": ev.bootstrap_ci(scored, "doc_id")}
+    for name, grid in (grids or {}).items():
+        out[f"tuning_{name}"] = md.cv_table(md.tune(models[name], grid, train, "doc_id"))
     return out
 
 
@@ -75,13 +78,15 @@ def write_marts(marts: dict[str, dict[str, DataFrame]], out_dir: str) -> list[st
     return written
 
 
-def build_all(spark: SparkSession, sf: str, with_models: bool = False) -> dict[str, dict[str, DataFrame]]:
-    return {"data_quality": data_quality_mart(spark, sf), "models": model_mart(spark, sf, with_models),
+def build_all(spark: SparkSession, sf: str, with_tuning: bool = False, models: dict | None = None) -> dict[str, dict[str, DataFrame]]:
+    from vireo.operators.models import GRIDS
+    return {"data_quality": data_quality_mart(spark, sf),
+            "models": model_mart(spark, sf, models, GRIDS["batch"] if with_tuning else None),
             "insights": insight_mart(spark, sf), "scaling": scaling_mart(spark, sf)}
 
 
 if __name__ == "__main__":
     from vireo.session import local_session
     session = local_session()
-    for p in write_marts(build_all(session, sys.argv[1], "--models" in sys.argv), sys.argv[2]):
+    for p in write_marts(build_all(session, sys.argv[1], "--tuning" in sys.argv), sys.argv[2]):
         print(p)

@@ -3,7 +3,10 @@ checkpoint folder that cuts lineage on a cluster."""
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,15 +35,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset
-    (tests, a laptop) fall back to a fresh scratch folder."""
+    """Use the cluster's ``spark.checkpoint.dir``.  Unset, a ``local`` master (tests, a laptop) gets a fresh
+    scratch folder that goes when the process ends; a cluster gets an error, as no local folder is shared there."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="vireo-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
@@ -59,3 +65,15 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint root for intermediate tables."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, "vireo-tables", name)
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete the tables this library wrote under the checkpoint root, once no frame reads them any more.
+
+    Checkpoints themselves are Spark's: ``spark.cleaner.referenceTracking.cleanCheckpoints`` removes them
+    as their frames are released.
+    """
+    root = ensure_checkpoint_dir(spark)
+    for name in ("vireo-tables", "vireo-llm"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
