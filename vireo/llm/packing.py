@@ -30,12 +30,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vireo.llm.common import stored
+from vireo.llm.common import stored, worker_cache
 
 CAPACITY = 1024
 END_ID = 2
 #: Encoded words kept per Python worker.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 900_000
 #: New words that are encoded in one call.
 WORDS_AT_ONCE = 256
 _RANK_BITS = 44
@@ -50,10 +50,10 @@ def default_tokenizer() -> str:
 class Encoder:
     """Token ids (little-endian uint32 bytes) of whole texts, with a cache of encoded words.
 
-    The tokenizer's pre-tokenisation always starts a new piece at a single
-    space that a visible character follows, so text between such spaces can
-    be encoded apart and joined.  Texts where that doesn't hold (a space before
-    white space, special-token marks) are encoded in one go.
+    The tokenizer's pre-tokenisation always starts a new piece at a single space or
+    line end that a visible character follows, and between a letter and a closing
+    comma or stop, so such parts can be encoded apart and joined.  Texts where that
+    doesn't hold (runs of white space, special-token marks) are encoded in one go.
     """
 
     def __init__(self, path: str):
@@ -61,42 +61,50 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.cache: dict[str, bytes | None] = {}
-        # byte-level vocabularies write a leading space as U+0120
+        # byte-level vocabularies write a leading space as U+0120 and a line end as U+010A
         self.opens_word = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
-        self.opens_word[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith("\u0120")]] = True
+        self.opens_word[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith(("\u0120", "\u010a"))]] = True
+        self.closing = {c: self._whole(c) for c in ",."}
 
     def _whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        """Encode new words, many to a text: each starts with the one space that only first tokens can hold."""
-        plain = [w for w in words if w and (w[0].isalnum() or "!" <= w[0] <= "~")]
+        """Encode new words, many to a text: each starts with a space or line end, which only first tokens can hold."""
+        cache, plain, closed = self.cache, [], []
         for w in words:
-            self.cache[w] = None
-        groups = [plain[i:i + WORDS_AT_ONCE] for i in range(0, len(plain), WORDS_AT_ONCE)]
-        joined = self.tokenizer.encode_batch_fast(["".join(" " + w for w in g) for g in groups], add_special_tokens=False)
-        for group, e in zip(groups, joined):
-            ids = np.asarray(e.ids, dtype="<u4")
-            at = np.flatnonzero(self.opens_word[ids]).tolist()
-            if len(at) != len(group):  # not expected; such words go through whole texts
-                continue
-            data = ids.tobytes()
-            for w, a, b in zip(group, at, [*at[1:], len(ids)]):
-                self.cache[w] = data[4 * a:4 * b]
+            first = w[1:2] if w[:1] == "\n" else w[:1]
+            if not first or not (first.isalnum() or "!" <= first <= "~"):
+                cache[w] = None  # its text is encoded in one go
+            elif w[-1] in ",." and w[-2:-1].isalpha():
+                closed.append(w)
+            else:
+                plain.append(w)
+        plain += sorted({w[:-1] for w in closed}.difference(cache, plain))
+        for i in range(0, len(plain), WORDS_AT_ONCE * 64):
+            groups = [plain[j:j + WORDS_AT_ONCE] for j in range(i, min(i + WORDS_AT_ONCE * 64, len(plain)), WORDS_AT_ONCE)]
+            joined = self.tokenizer.encode_batch_fast(["".join([w if w[0] == "\n" else " " + w for w in g]) for g in groups], add_special_tokens=False)
+            for group, e in zip(groups, joined):
+                ids = np.array(e.ids, dtype="<u4")
+                at = np.flatnonzero(self.opens_word[ids]) * 4
+                data, at = ids.tobytes(), at.tolist()
+                same = len(at) == len(group)  # expected; else the words go through whole texts
+                cache.update(zip(group, [data[a:b] for a, b in zip(at, [*at[1:], len(data)])] if same else [None] * len(group)))
+        for w in closed:
+            base = cache[w[:-1]]
+            cache[w] = None if base is None else base + self.closing[w[-1]]
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
         if "<|" in text:
             return self._whole(text)
-        first, *words = text.split(" ")
-        if not first:
+        first, *words = text.replace("\n", " \n").split(" ")
+        if not first or not words:
             return self._whole(text)
-        if not words:
-            return self._whole(text)
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
         cache = self.cache
+        if len(cache) > CACHE_WORDS:
+            cache.clear()
         missing = set(words).difference(cache)
         if missing:
             self._learn(sorted(missing))
@@ -186,7 +194,10 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = Encoder(path), TaskContext.get().partitionId()
+        part = TaskContext.get().partitionId()
+        encoder = worker_cache().get(path)
+        if encoder is None:
+            encoder = worker_cache()[path] = Encoder(path)
         seen = np.zeros(capacity + 1, dtype=np.int64)
         end = struct.pack("<I", END_ID)
         for batch in batches:
