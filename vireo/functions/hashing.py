@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TWO32 = 4294967296.0
@@ -53,19 +53,23 @@ def key_hash64(key: Column, seed: int | str = 42) -> Column:
     return F.struct(half(1).alias("hi"), half(9).alias("lo"))
 
 
-def stream_uniform(h: Column, stream: Column) -> Column:
-    """A further uniform with 53 bits for ``stream`` (1, 2, ...) of a row's ``key_hash64``.
+def with_stream_uniform(df: DataFrame, h: str, stream: Column, out: str) -> DataFrame:
+    """``df`` plus ``out``: a further 53-bit uniform for ``stream`` (1, 2, ...) of the row's ``key_hash64`` column ``h``.
 
     Three Feistel rounds keyed by the stream: for one stream the map of 64-bit
-    hashes is one to one, and streams are not shifts of each other.
+    hashes is one to one, and streams are not shifts of each other.  Each round
+    is a projection of its own, so its result is computed once and not copied
+    into every use.
     """
     def keyed(x: Column, r: int) -> Column:
         return mix32((x + (stream.cast("bigint") * 4 + r) * F.lit(STREAM_STEP)).bitwiseAND(F.lit(MASK32)))
 
-    a = h["hi"].bitwiseXOR(keyed(h["lo"], 1))
-    b = h["lo"].bitwiseXOR(keyed(a, 2))
-    c = a.bitwiseXOR(keyed(b, 3))
-    return (c * F.lit(1 << 21) + F.shiftright(b, 11)).cast("double") / F.lit(float(1 << 53))
+    a, b, c = f"{out}__a", f"{out}__b", f"{out}__c"
+    df = df.withColumn(a, F.col(h)["hi"].bitwiseXOR(keyed(F.col(h)["lo"], 1)))
+    df = df.withColumn(b, F.col(h)["lo"].bitwiseXOR(keyed(F.col(a), 2)))
+    df = df.withColumn(c, F.col(a).bitwiseXOR(keyed(F.col(b), 3)))
+    u = (F.col(c) * F.lit(1 << 21) + F.shiftright(F.col(b), 11)).cast("double") / F.lit(float(1 << 53))
+    return df.withColumn(out, u).drop(a, b, c)
 
 
 def poisson1_cdf() -> list[float]:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vireo.functions.hashing import key_hash64, poisson1_weight, stream_uniform
+from vireo.functions.hashing import key_hash64, poisson1_weight, with_stream_uniform
 from vireo.functions.rows import rows_from
 from vireo.operators.cumulative import below_sums
 from vireo.operators.joins import materialize
@@ -130,7 +130,7 @@ def _replicate_cells(df: DataFrame, key: str, label: str, prediction: str, repli
     x = df.select(h.alias("__h"), F.col(label).alias("label"), F.col(prediction).alias("prediction"))
     x = x.withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
     # the uniform is a column of its own, so the weight's table look-up does not repeat the mixing
-    x = x.withColumn("__u", stream_uniform(F.col("__h"), F.col("rep") + F.lit(stream_offset)))
+    x = with_stream_uniform(x, "__h", F.col("rep") + F.lit(stream_offset), "__u")
     return x.groupBy("rep", "label", "prediction").agg(F.sum(weight_of(F.col("__u"))).alias("n"))
 
 

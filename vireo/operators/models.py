@@ -106,8 +106,8 @@ def prepare(df: DataFrame, pipeline: Pipeline, key: str, label: str, test_fracti
     stored = materialize(out.select(key, "label", "features", "__part"))
     for h in held:
         h.unpersist()
-    # a checkpoint drops column metadata; slot names are read from it
-    stored = stored.withColumn("features", F.col("features").alias("features", metadata=names["features"]))
+    # a checkpoint drops column metadata, and the scaler drops the slots' names, which keep their order
+    stored = stored.select(key, "label", F.col("features").alias("features", metadata=names.get("raw_features") or names["features"]), "__part")
     return model, stored.where("__part = 0").drop("__part"), stored.where("__part = 1").drop("__part")
 
 

@@ -145,7 +145,7 @@ def u64(key_sql: str, seed: int | str = 42) -> tuple[str, str]:
 
 
 def stream_columns(rows: str, stream: str, keep: str) -> str:
-    """DuckDB twin of ``stream_uniform`` over ``rows`` with hi, lo: selects ``keep`` and ``u``."""
+    """DuckDB twin of ``with_stream_uniform`` over ``rows`` with hi, lo: selects ``keep`` and ``u``."""
     def keyed(x: str, r: int) -> str:
         return mix32(f"(({x} + (CAST({stream} AS BIGINT) * 4 + {r}) * 2654435761) & 4294967295)")
 
