@@ -105,9 +105,15 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Arrow strings as (bytes, offsets), nulls as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("")
+    if not (pa.types.is_string(column.type) or pa.types.is_large_string(column.type)):
+        column = column.cast(pa.large_string())
+    if column.null_count:
+        column = column.fill_null("")
     _, offsets, data = column.buffers()
-    off = np.frombuffer(offsets, dtype=np.int64)[column.offset:column.offset + len(column) + 1]
+    width = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    if offsets is None or not len(column):
+        return np.zeros(0, np.uint8), np.zeros(len(column) + 1, np.int64)
+    off = np.frombuffer(offsets, dtype=width)[column.offset:column.offset + len(column) + 1].astype(np.int64)
     raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
     return raw[off[0]:off[-1]], off - off[0]
 
