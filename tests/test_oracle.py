@@ -8,6 +8,8 @@ import __spark_entry__ as se
 from conftest import SF_SMALL
 
 ORACLE = se.oracle_sql()
+# many fits each; the driver's SQL check and tools/check_oracle.py run them
+SLOW = {"tune_lr", "tune_rf", "tune_gbt", "train_gbt"}
 QUERIES = se.queries()
 
 
@@ -32,7 +34,7 @@ def test_entry_runs(spark):
     assert set(df.columns) == {"feature", "mean_0", "mean_1", "diff"}
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+@pytest.mark.parametrize("name", sorted(set(ORACLE) - SLOW))
 def test_query_matches_oracle(spark, duck, name):
     con = duck(SF_SMALL)
     df = QUERIES[name](spark, SF_SMALL)

@@ -17,6 +17,7 @@ from vireo.operators import label as lb
 from vireo.operators import models as md
 from vireo.operators import vectors as vec
 from vireo.operators.features import text_features
+from vireo.operators.joins import materialize
 from vireo.functions.text import NUMERIC_FEATURES
 from vireo.plans.registry import posts, query, table
 from vireo.plans.sqlbits import features_sql, rnd, u32, unit
@@ -181,7 +182,8 @@ def q_main_path(spark, sf):
     d = lb.activity_label(posts(spark, sf), "lang", q=0.8, label_col="is_active")
     pipe = vec.build_pipeline("text", "summary", None, num_features=N_HASH)
     _, train, test = md.prepare(d, pipe, "doc_id", "is_active")
-    scored = md.score(md.fit(md.logistic(), md.cache_for_fit(train)), test).select("doc_id", "label", "prediction", "score").checkpoint()
+    scored = md.score(md.fit(md.logistic(), md.cache_for_fit(train)), test).select("doc_id", "label", "prediction", "score")
+    scored = materialize(scored)
     cells = ev.confusion(scored)
     direct = scored.agg(F.round(F.avg((F.col("label") == F.col("prediction")).cast("double")), 6).alias("direct"))
     agree = ev.class_metrics(scored).crossJoin(direct).crossJoin(ev.auc_roc(scored)).select(
