@@ -146,7 +146,9 @@ def test_vectors_of_nothing(spark):
 
 # ------------------------------------------------------------------ components
 
-def test_components_of_paths_and_stars(spark):
+@pytest.mark.parametrize("task_links", [1_000_000, 20])
+def test_components_of_paths_and_stars(spark, monkeypatch, task_links):
+    monkeypatch.setattr(graph, "TASK_LINKS", task_links)
     links = [(i, i + 1) for i in range(0, 60)] + [(200, i) for i in range(201, 260)] + [(300, 301), (301, 300), (400, 400)]
     got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{i: 200 for i in range(200, 260)}, 300: 300, 301: 300}

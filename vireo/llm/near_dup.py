@@ -14,10 +14,12 @@ product.
 Equal texts collapse first to the smallest id.  Signatures are cut into bands;
 documents that share a band's key are candidates, and the multiset similarity of
 each candidate pair is computed from the whole texts.  Pairs are not expanded
-inside a bucket: first every member is compared with the bucket's smallest id;
-the links found give components, and only pairs of a bucket that are still in
-different components are compared after that.  Both rounds together compare or
-connect every pair that shares a bucket.
+inside a bucket: first every member is compared with the bucket's smallest id,
+and the links found give components.  A bucket that still holds several
+components is then compared in blocks: members outside its largest component
+with each other and with that component, a block pair at a time as a product of
+shingle incidence matrices, and a block pair returns a spanning forest of its
+links.  Both rounds together compare or connect every pair that shares a bucket.
 
 Defined cases: null text is empty; a text without words links with nothing, not
 even with its copies; rows that repeat an id are one document, linked through
@@ -39,10 +41,12 @@ from vireo.llm.common import byte_slices, mix64, stored, unit, within, word_hash
 from vireo.llm.graph import components
 
 WORDS, SIMILARITY = 5, 0.8
-#: At similarity 0.8 a pair shares a band with probability 1 - (1 - 0.8^5)^24 > 0.9999.
-BANDS, ROWS = 24, 5
+#: At similarity 0.8 a pair shares a band with probability 1 - (1 - 0.8^6)^26 > 0.9995.
+BANDS, ROWS = 26, 6
 #: Partners that are compared with one document in one group of a task.
 PARTNERS = 512
+#: Members and shingles that a block of an open bucket aims at, and columns of one incidence product.
+BLOCK_MEMBERS, BLOCK_SHINGLES, COLUMNS = 512, 200_000, 4096
 
 _STEPS = mix64(np.arange(64, dtype=np.uint64) + np.uint64(501)) | np.uint64(1)
 
@@ -167,7 +171,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int,
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in byte_slices(whole, "text", 4 << 20):
+            for batch in byte_slices(whole, "text", 2 << 20):
                 hashes, counts = word_hashes(batch.column("text"))
                 flat, per = shingles(hashes, counts, words)
                 keys = band_keys(signatures(*bags(flat, per), bands * rows), rows)
@@ -191,7 +195,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, least: float) -> D
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_id, held = None, []
         for whole in batches:
-            for batch in byte_slices(whole, "text", 4 << 20):
+            for batch in byte_slices(whole, "text", 2 << 20):
                 keys, weights, sizes = bags(*shingles(*word_hashes(batch.column("text")), words))
                 ends = np.cumsum(sizes)
                 found = []
@@ -209,6 +213,121 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, least: float) -> D
     return dealt.mapInArrow(compare, "a long, b long")
 
 
+def block_overlaps(x: list[tuple[np.ndarray, np.ndarray]], y: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Multiset overlaps sum(min) of all bags of ``x`` with all of ``y``.
+
+    A weight w stands for w occurrences, numbered; two bags share min(v, w) of them, so
+    the overlaps are a product of 0/1 incidence matrices, taken over columns in turn.
+    """
+    def incidence(bags):
+        row = np.repeat(np.arange(len(bags)), [int(w.sum()) for _, w in bags])
+        weight = np.concatenate([w for _, w in bags])
+        with np.errstate(over="ignore"):
+            return row, mix64(np.repeat(np.concatenate([k for k, _ in bags]), weight) + within(weight).astype(np.uint64) * np.uint64(0xE7037ED1A0B428DB))
+
+    (xr, xk), (yr, yk) = incidence(x), incidence(y)
+    shared = np.intersect1d(xk, yk)
+    out = np.zeros((len(x), len(y)), dtype=np.float32)
+    xc, yc = np.searchsorted(shared, xk), np.searchsorted(shared, yk)
+    keep = lambda c, k: (c < len(shared)) & (shared[np.minimum(c, len(shared) - 1)] == k) if len(shared) else np.zeros(len(k), bool)
+    xm, ym = keep(xc, xk), keep(yc, yk)
+    xr, xc, yr, yc = xr[xm], xc[xm], yr[ym], yc[ym]
+    for lo in range(0, len(shared), COLUMNS):
+        a, b = np.zeros((len(x), COLUMNS), np.float32), np.zeros((len(y), COLUMNS), np.float32)
+        i, j = (xc >= lo) & (xc < lo + COLUMNS), (yc >= lo) & (yc < lo + COLUMNS)
+        a[xr[i], xc[i] - lo] = 1
+        b[yr[j], yc[j] - lo] = 1
+        out += a @ b.T
+    return np.rint(out).astype(np.int64)
+
+
+def block_links(ids: np.ndarray, component: np.ndarray, second: np.ndarray, bags: list, same: bool, least: float) -> list[tuple[int, int]]:
+    """A spanning forest of the links between the block's two sides (``same``: among all) across components."""
+    xs, ys = (np.arange(len(ids)),) * 2 if same else (np.flatnonzero(~second), np.flatnonzero(second))
+    if not len(xs) or not len(ys):
+        return []
+    size = np.array([w.sum() for _, w in bags])
+    a, b = size[xs][:, None], size[ys][None, :]
+    open_ = (component[xs][:, None] != component[ys][None, :]) & (np.minimum(a, b) >= least * np.maximum(a, b))
+    if same:
+        open_ = np.triu(open_, 1)
+    if not open_.any():
+        return []
+    if open_.sum() <= 64:
+        found = [(i, j) for i, j in zip(*np.nonzero(open_)) if similarity(bags[xs[i]], bags[ys[j]]) >= least]
+    else:
+        shared = block_overlaps([bags[i] for i in xs], [bags[j] for j in ys])
+        found = list(zip(*np.nonzero(open_ & (shared >= least * (a + b - shared)))))
+    parent = {}
+
+    def root(c):
+        while (up := parent.get(c, c)) != c:
+            parent[c] = parent.get(up, up)
+            c = up
+        return c
+
+    out = []
+    for i, j in found:
+        x, y = root(component[xs[i]]), root(component[ys[j]])
+        if x != y:
+            parent[x] = y
+            out.append((int(ids[xs[i]]), int(ids[ys[j]])))
+    return out
+
+
+def _block_verified(blocks: DataFrame, words: int, least: float) -> DataFrame:
+    """Links (a, b) found inside each (key, kind, s, t) block of rows (id, component, second, text)."""
+    dealt = blocks.repartition("key", "kind", "s", "t").sortWithinPartitions("key", "kind", "s", "t")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+
+        def links():
+            ids, component, second = (np.concatenate([h[i] for h in held]) for i in range(3))
+            found = block_links(ids, component, second, [b for h in held for b in h[3]], key[1] == 0 and key[2] == key[3], least)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+
+        for whole in batches:
+            for batch in byte_slices(whole, "text", 2 << 20):
+                keys, weights, sizes = bags(*shingles(*word_hashes(batch.column("text")), words))
+                ends = np.cumsum(sizes)
+                each = [(keys[e - n:e], weights[e - n:e]) for e, n in zip(ends, sizes)]
+                at = [batch.column(c).to_numpy() for c in ("key", "kind", "s", "t")]
+                change = np.flatnonzero(np.any([c[1:] != c[:-1] for c in at], axis=0)) + 1
+                ids, component = batch.column("id").to_numpy(), batch.column("component").to_numpy()
+                second = batch.column("second").to_numpy(zero_copy_only=False)
+                for lo, hi in zip([0, *change], [*change, batch.num_rows]):
+                    now = tuple(int(c[lo]) for c in at)
+                    if now != key:
+                        if held:
+                            yield from links()
+                        key, held = now, []
+                    held.append((ids[lo:hi], component[lo:hi], second[lo:hi], each[lo:hi]))
+        if held:
+            yield from links()
+
+    return dealt.mapInArrow(compare, "a long, b long")
+
+
+def _open_blocks(shared: DataFrame, known: DataFrame) -> DataFrame:
+    """Members of buckets with several components, dealt to the block pairs that compare them."""
+    placed = shared.join(known, F.col("id") == F.col("node"), "left").select("key", "id", "size", F.coalesce("component", "id").alias("component"))
+    per = placed.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum("size").alias("w"))
+    order = F.struct("n", (-F.col("component")).alias("c"))
+    sums = per.groupBy("key").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.sum("w").alias("w"), F.max_by("component", order).alias("main"), F.max(order)["n"].alias("mn"), F.max_by("w", order).alias("mw")).where("parts > 1")
+    count = lambda n, w: F.greatest(F.ceil(n / BLOCK_MEMBERS), F.ceil(w / BLOCK_SHINGLES)).cast("int")
+    sums = sums.select("key", "main", count(F.col("n") - F.col("mn"), F.col("w") - F.col("mw")).alias("loose"), count(F.col("mn"), F.col("mw")).alias("tied"))
+    members = placed.join(sums, "key").withColumn("in_main", F.col("component") == F.col("main"))
+    members = members.withColumn("block", F.pmod(F.xxhash64("id"), F.when(F.col("in_main"), F.col("tied")).otherwise(F.col("loose"))).cast("int"))
+    tile = lambda kind, s, t, second: F.struct(F.lit(kind).alias("kind"), s.cast("int").alias("s"), t.cast("int").alias("t"), second.alias("second"))
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    among = F.transform(upto("loose"), lambda i: tile(0, F.least(i, F.col("block")), F.greatest(i, F.col("block")), F.col("block") > i))
+    against = F.transform(upto("tied"), lambda j: tile(1, F.col("block"), j, F.lit(False)))
+    inside = F.transform(upto("loose"), lambda i: tile(1, i, F.col("block"), F.lit(True)))
+    return members.select("key", "id", "component", F.explode(F.when(F.col("in_main"), inside).otherwise(F.concat(among, against))).alias("x")).select("key", "id", "component", "x.*")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                     least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(id, class_id, component_id) of every document with words.
@@ -223,21 +342,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stand = sig.join(classes.select(F.col("class_id").alias("id"), "digest"), ["id", "digest"]).select("id", "size", F.explode("keys").alias("key")).distinct()
     buckets = stand.groupBy("key").agg(F.min(F.struct("id", "size")).alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n")
     shared = stored(stand.join(buckets, "key"), "buckets")
-    close = lambda m, n: F.least(m, n) >= least * F.greatest(m, n)
-    star = shared.where((F.col("id") != F.col("pivot.id")) & close(F.col("size"), F.col("pivot.size"))).select(F.col("pivot.id").alias("a"), F.col("id").alias("b")).distinct()
+    close = F.least("size", "pivot.size") >= least * F.greatest("size", "pivot.size")
+    star = shared.where((F.col("id") != F.col("pivot.id")) & close).select(F.col("pivot.id").alias("a"), F.col("id").alias("b")).distinct()
     # an id's rows may carry different texts, and each text's class links them
     same_id = members.where("id <> class_id").select(F.col("class_id").alias("a"), F.col("id").alias("b"))
-    involved = shared.select("id").distinct()
-    texts = stored(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).join(involved, "id", "left_semi").distinct(), "candidate-texts")
+    texts = stored(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).join(shared.select("id").distinct(), "id", "left_semi").distinct(), "candidate-texts")
     first = stored(_verified(star, texts, words, least), "first-links")
-    known = components(first)
-    placed = shared.select("key", "id", "size").join(known, F.col("id") == F.col("node"), "left").select("key", "id", "size", F.coalesce("component", "id").alias("c"))
-    open_keys = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key")
-    left = stored(placed.join(open_keys, "key"), "open-buckets")
-    right = left.select("key", F.col("id").alias("id2"), F.col("size").alias("size2"), F.col("c").alias("c2"))
-    rest = (left.join(right, "key").where((F.col("id") < F.col("id2")) & (F.col("c") != F.col("c2")) & close(F.col("size"), F.col("size2")))
-            .select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct().join(star, ["a", "b"], "left_anti"))
-    second = stored(_verified(rest, texts, words, least), "second-links")
+    opened = _open_blocks(shared.select("key", "id", "size"), components(first)).join(texts, "id")
+    second = stored(_block_verified(opened, words, least), "second-links")
     whole = components(first.union(second).union(same_id))
     return (members.groupBy("id").agg(F.min("class_id").alias("class_id"))
             .join(whole, F.col("id") == F.col("node"), "left")
