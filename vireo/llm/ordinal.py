@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vireo.llm.common import byte_slices, id_remainder, word_hashes
+from vireo.llm.common import byte_slices, id_remainder, stored, word_hashes
 
 SAMPLE_PER_CLASS = 5000
 FEATURES, LEAST_TEXTS = 4096, 3
@@ -151,7 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         part = known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_PER_CLASS)
         chosen = part if chosen is None else chosen.union(part)
     # at most 2 x SAMPLE_PER_CLASS ids, so their broadcast is bounded
-    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "id").select("text", "y").checkpoint()
+    sample = stored(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "id").select("text", "y"), "toxicity-sample")
     if sample.select("y").distinct().count() < 2:
         return constant
     features, word, odds = _select(sample)
