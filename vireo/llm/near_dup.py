@@ -46,7 +46,7 @@ BANDS, ROWS = 26, 6
 #: Partners that are compared with one document in one group of a task.
 PARTNERS = 512
 #: Members and shingles that a block of an open bucket aims at, and columns of one incidence product.
-BLOCK_MEMBERS, BLOCK_SHINGLES, COLUMNS = 512, 200_000, 4096
+BLOCK_MEMBERS, BLOCK_SHINGLES, COLUMNS = 1024, 1_000_000, 4096
 
 _STEPS = mix64(np.arange(64, dtype=np.uint64) + np.uint64(501)) | np.uint64(1)
 
@@ -317,13 +317,16 @@ def _open_blocks(shared: DataFrame, known: DataFrame) -> DataFrame:
     order = F.struct("n", (-F.col("component")).alias("c"))
     sums = per.groupBy("key").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.sum("w").alias("w"), F.max_by("component", order).alias("main"), F.max(order)["n"].alias("mn"), F.max_by("w", order).alias("mw")).where("parts > 1")
     count = lambda n, w: F.greatest(F.ceil(n / BLOCK_MEMBERS), F.ceil(w / BLOCK_SHINGLES)).cast("int")
-    sums = sums.select("key", "main", count(F.col("n") - F.col("mn"), F.col("w") - F.col("mw")).alias("loose"), count(F.col("mn"), F.col("mw")).alias("tied"))
-    members = placed.join(sums, "key").withColumn("in_main", F.col("component") == F.col("main"))
+    # a bucket that fits one block is compared as a whole, all members as loose ones
+    whole = count(F.col("n"), F.col("w")) <= 1
+    sums = sums.select("key", "main", F.when(whole, 1).otherwise(count(F.col("n") - F.col("mn"), F.col("w") - F.col("mw"))).alias("loose"),
+                       F.when(whole, 0).otherwise(count(F.col("mn"), F.col("mw"))).alias("tied"))
+    members = placed.join(sums, "key").withColumn("in_main", (F.col("component") == F.col("main")) & (F.col("tied") > 0))
     members = members.withColumn("block", F.pmod(F.xxhash64("id"), F.when(F.col("in_main"), F.col("tied")).otherwise(F.col("loose"))).cast("int"))
     tile = lambda kind, s, t, second: F.struct(F.lit(kind).alias("kind"), s.cast("int").alias("s"), t.cast("int").alias("t"), second.alias("second"))
     upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     among = F.transform(upto("loose"), lambda i: tile(0, F.least(i, F.col("block")), F.greatest(i, F.col("block")), F.col("block") > i))
-    against = F.transform(upto("tied"), lambda j: tile(1, F.col("block"), j, F.lit(False)))
+    against = F.transform(F.slice(upto("tied"), F.lit(1), F.col("tied")), lambda j: tile(1, F.col("block"), j, F.lit(False)))
     inside = F.transform(upto("loose"), lambda i: tile(1, i, F.col("block"), F.lit(True)))
     return members.select("key", "id", "component", F.explode(F.when(F.col("in_main"), inside).otherwise(F.concat(among, against))).alias("x")).select("key", "id", "component", "x.*")
 
