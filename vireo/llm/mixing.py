@@ -170,7 +170,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sources = source_table(rows, weights, share, most, block)
     _, pieces = placed_blocks(rows, sources, block)
     slots = slot_table(docs.sparkSession, sources, seed)
-    return slots.join(pieces, ["source_id", "block"]), pieces, sources
+    # slots come from a small range of shards, so the planner must be told that they aren't few
+    return slots.hint("merge").join(pieces, ["source_id", "block"]), pieces, sources
 
 
 def mix_digest(docs: DataFrame) -> DataFrame:
@@ -180,7 +181,7 @@ def mix_digest(docs: DataFrame) -> DataFrame:
     _, pieces = placed_blocks(rows, sources)
     slots = slot_table(docs.sparkSession, sources)
     times = slots.groupBy("source_id", "block").agg(F.count("*").alias("times"))
-    taken = (pieces.join(times, ["source_id", "block"], "left").groupBy("row", "source_id", "id", "size")
+    taken = (pieces.join(times.hint("merge"), ["source_id", "block"], "left").groupBy("row", "source_id", "id", "size")
              .agg(F.sum(F.coalesce("times", F.lit(0)) * F.col("words")).alias("taken")))
     facts = docs.sparkSession.createDataFrame([(i, int(r.size_), float(r.target)) for i, r in enumerate(sources.rename(columns={"size": "size_"}).itertuples())] or [(-1, 0, 0.0)], "source_id int, source_size long, target double")
     return taken.join(facts, "source_id").select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -218,7 +219,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sources = source_table(rows, weights, share, most, block)
     _, pieces = placed_blocks(rows, sources, block)
     slots = slot_table(docs.sparkSession, sources, seed)
-    taken = (slots.join(pieces.where("words > 0"), ["source_id", "block"]).groupBy(F.col("row").alias("__mix_row"), "pass")
+    taken = (slots.hint("merge").join(pieces.where("words > 0"), ["source_id", "block"]).groupBy(F.col("row").alias("__mix_row"), "pass")
              .agg(F.array_sort(F.collect_list(F.struct("from_word", "words"))).alias("__mix_ranges"), F.sum("words").alias("__mix_taken")))
 
     @F.udf("string")
@@ -226,4 +227,4 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return _cut_words(text, [(r["from_word"], r["words"]) for r in ranges])
 
     text = F.when(F.col("__mix_taken") == F.col("__mix_size"), F.col(text_col)).otherwise(cut(F.col(text_col).cast("string"), F.col("__mix_ranges")))
-    return kept.join(taken, "__mix_row").withColumn(text_col, text).select(*docs.columns)
+    return kept.join(taken.hint("merge"), "__mix_row").withColumn(text_col, text).select(*docs.columns)
