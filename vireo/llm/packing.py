@@ -35,7 +35,7 @@ from vireo.llm.common import stored, worker_cache
 CAPACITY = 1024
 END_ID = 2
 #: Encoded words kept per Python worker.
-CACHE_WORDS = 900_000
+CACHE_WORDS = 500_000
 #: New words that are encoded in one call.
 WORDS_AT_ONCE = 256
 _RANK_BITS = 44
