@@ -81,11 +81,6 @@ for _name, _key, _est in (("tune_lr", "logistic_regression", md.logistic), ("tun
     query(_name, _grid_sql(md.GRIDS["batch"][_key]))(_tune(_est, md.GRIDS["batch"][_key]))
 
 
-@query("tune_gbt", _grid_sql({**md.GRIDS["batch"]["gbt"]}))
-def q_tune_gbt(spark, sf):
-    return _tune(md.gbt, md.GRIDS["batch"]["gbt"])(spark, sf)
-
-
 @query("cv_table", _grid_sql(md.GRIDS["batch"]["random_forest"]))
 def q_cv_table(spark, sf):
     """G7 on the thirteen plain features, whose fits are quick."""
