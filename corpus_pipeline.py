@@ -5,7 +5,7 @@ returns a DataFrame that is written as Parquet and read again for the next one.
 All but the last return the columns of ``documents``; ``n_chars`` follows the text.
 
 quality          documents that the compression classifier scores below 0.7 go
-near_duplicates  of each group of near copies the smallest doc_id stays
+near_duplicates  of each group of near copies one row stays, of the smallest doc_id
 secrets          every secret found in a text is replaced by [SECRET]
 mixing           sources are brought to their target weights; a document taken in a
                  second pass stands twice, one taken in part keeps its taken blocks

@@ -127,6 +127,18 @@ def test_near_duplicate_edges(edges, nothing):
     assert ids.count(None) == 2 and {1, 2, 3, 4, 5} <= set(ids) and not {6, 7, 9} & set(ids)
 
 
+def test_near_duplicates_tell_texts_apart(spark):
+    """An id's texts stand each for itself, and repeated rows leave one."""
+    a = " ".join(f"word{i}" for i in range(120))
+    near, other = a.replace("word60 ", "changed "), " ".join(f"else{i}" for i in range(90))
+    rows = [data.row(7, a), data.row(7, other), data.row(3, near, "s2"), data.row(3, near, "s1"), data.row(3, near, "s1"), data.row(8, other), data.row(9, ""), data.row(9, a)]
+    docs = data.frame(spark, rows)
+    kept = sorted((r["doc_id"], r["text"], r["source"]) for r in near_dup.keep_representatives(docs).collect())
+    assert kept == [(3, near, "s1"), (7, other, "s"), (9, "", "s")]
+    got = {r["doc_id"]: (r["class_id"], r["component_id"], r["kept"]) for r in near_dup.near_duplicate_classes(docs).collect()}
+    assert got == {3: (3, 3, True), 7: (7, 3, True), 8: (7, 7, False), 9: (7, 3, True)}
+
+
 # ------------------------------------------------------------------ op 4
 
 def test_encoder_equals_tokenizer():

@@ -11,33 +11,37 @@ signature.  Points come in rising order and stop at the largest value still
 standing, so the work follows shingles + positions * ln(positions), not their
 product.
 
-Equal texts collapse first to the smallest id.  Signatures are cut into bands;
+Equal texts collapse first to one node.  Signatures are cut into bands;
 documents that share a band's key are candidates, and the multiset similarity of
 each candidate pair is computed from the whole texts.  Pairs are not expanded
-inside a bucket: first every member is compared with the bucket's smallest id,
+inside a bucket: first every member is compared with the bucket's smallest node,
 and the links found give components.  A bucket that still holds several
 components is then compared in blocks: members outside its largest component
 with each other and with that component, a block pair at a time as a product of
 shingle incidence matrices, and a block pair returns a spanning forest of its
 links.  Both rounds together compare or connect every pair that shares a bucket.
 
+Documents are texts, not ids: the nodes of links and components are content
+digests.  A component's representative is one row: the smallest id in it, of
+that id the text with the smallest digest, and of repeated rows the smallest by
+the other columns.
+
 Defined cases: null text is empty; a text without words links with nothing, not
-even with its copies; rows that repeat an id are one document, linked through
-any of their texts; rows with a null id are left out; ties go to the smaller
-id; an empty table gives an empty result; extra columns are not read.
+even with its copies; rows that repeat an id with other texts are compared each
+for itself; rows with a null id are left out; an empty table gives an empty
+result; extra columns only order repeated rows.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vireo.llm.common import byte_slices, mix64, stored, unit, within, word_hashes
+from vireo.llm.common import WORD, byte_slices, mix64, stored, unit, within, word_hashes
 from vireo.llm.graph import components
 
 WORDS, SIMILARITY = 5, 0.8
@@ -166,6 +170,12 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return shared / total if total else 0.0
 
 
+def _keyed(id_col: str, text_col: str) -> tuple[Column, Column]:
+    """(id, digest) of a row: what tells documents apart."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
+    return F.col(id_col).cast("long").alias("id"), F.substring(F.unhex(F.sha2(text, 256)), 1, 16).alias("digest")
+
+
 def signed(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int, rows: int) -> DataFrame:
     """Stored (id, digest, size, keys): content digest, shingles and band keys of every text with words."""
 
@@ -175,12 +185,11 @@ def signed(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int,
                 hashes, counts = word_hashes(batch.column("text"))
                 flat, per = shingles(hashes, counts, words)
                 keys = band_keys(signatures(*bags(flat, per), bands * rows), rows)
-                digest = [hashlib.blake2b((t.as_py() or "").encode(), digest_size=16).digest() for t in batch.column("text")]
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands, dtype=np.int32)), pa.array(keys.ravel()))
-                out = pa.RecordBatch.from_arrays([batch.column("id"), pa.array(digest, pa.binary()), pa.array(per), lists], ["id", "digest", "size", "keys"])
+                out = pa.RecordBatch.from_arrays([batch.column("id"), batch.column("digest"), pa.array(per), lists], ["id", "digest", "size", "keys"])
                 yield out.filter(pa.array(per > 0))
 
-    source = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    source = docs.where(F.col(id_col).isNotNull()).select(*_keyed(id_col, text_col), F.col(text_col).cast("string").alias("text"))
     return stored(source.mapInArrow(sign, "id long, digest binary, size long, keys array<long>"), "signatures")
 
 
@@ -193,7 +202,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, least: float) -> D
     dealt = pivot.union(other).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_id, held = None, []
+        held = None
         for whole in batches:
             for batch in byte_slices(whole, "text", 2 << 20):
                 keys, weights, sizes = bags(*shingles(*word_hashes(batch.column("text")), words))
@@ -202,10 +211,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, least: float) -> D
                 for i, (a, b) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())):
                     bag = keys[ends[i] - sizes[i]:ends[i]], weights[ends[i] - sizes[i]:ends[i]]
                     if b is None:
-                        # an id may have several texts: any of them can make the link
-                        held = [*held, bag] if held_id == (a, batch.column("salt")[i].as_py()) else [bag]
-                        held_id = a, batch.column("salt")[i].as_py()
-                    elif any(similarity(h, bag) >= least for h in held):
+                        held = bag
+                    elif similarity(held, bag) >= least:
                         found.append((a, b))
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
@@ -333,41 +340,56 @@ def _open_blocks(shared: DataFrame, known: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                     least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(id, class_id, component_id) of every document with words.
+    """(id, digest, n, class_id, rep_id, rep_digest) of every document with words: one row per id and text.
 
-    ``class_id`` is the smallest id with an equal text, ``component_id`` the smallest id
-    reachable over links of similarity ``least`` or more.
+    ``n`` rows have this id and text, ``class_id`` is the smallest id with an equal text, and (``rep_id``,
+    ``rep_digest``) is the representative of its component: of all texts reachable over links of similarity
+    ``least`` or more the smallest (id, digest).
     """
     sig = signed(docs, id_col, text_col, words, bands, rows)
-    classes = stored(sig.groupBy("digest").agg(F.min("id").alias("class_id")), "classes")
-    members = stored(sig.select("id", "digest").join(classes, "digest").select("id", "class_id").distinct(), "members")
-    # a class stands in the buckets with one row per text of its smallest id
-    stand = sig.join(classes.select(F.col("class_id").alias("id"), "digest"), ["id", "digest"]).select("id", "size", F.explode("keys").alias("key")).distinct()
+    # one node per text; numbered once, in a table that is written
+    classes = stored(sig.groupBy("digest").agg(F.min("id").alias("class_id")).withColumn("node", F.monotonically_increasing_id()), "classes")
+    # a class stands in the buckets with one row: its smallest id's
+    firsts = classes.select(F.col("class_id").alias("id"), "digest", "node")
+    stand = sig.join(firsts, ["id", "digest"]).select(F.col("node").alias("id"), "size", F.explode("keys").alias("key")).distinct()
     buckets = stand.groupBy("key").agg(F.min(F.struct("id", "size")).alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n")
     shared = stored(stand.join(buckets, "key"), "buckets")
     close = F.least("size", "pivot.size") >= least * F.greatest("size", "pivot.size")
     star = shared.where((F.col("id") != F.col("pivot.id")) & close).select(F.col("pivot.id").alias("a"), F.col("id").alias("b")).distinct()
-    # an id's rows may carry different texts, and each text's class links them
-    same_id = members.where("id <> class_id").select(F.col("class_id").alias("a"), F.col("id").alias("b"))
-    texts = stored(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).join(shared.select("id").distinct(), "id", "left_semi").distinct(), "candidate-texts")
+    wanted = firsts.join(shared.select(F.col("id").alias("node")).distinct(), "node", "left_semi")
+    texts = stored(docs.select(*_keyed(id_col, text_col), F.col(text_col).cast("string").alias("text")).join(wanted, ["id", "digest"]).select(F.col("node").alias("id"), "text").distinct(), "candidate-texts")
     first = stored(_verified(star, texts, words, least), "first-links")
     opened = _open_blocks(shared.select("key", "id", "size"), components(first)).join(texts, "id")
     second = stored(_block_verified(opened, words, least), "second-links")
-    whole = components(first.union(second).union(same_id))
-    return (members.groupBy("id").agg(F.min("class_id").alias("class_id"))
-            .join(whole, F.col("id") == F.col("node"), "left")
-            .select("id", "class_id", F.coalesce("component", "id").alias("component_id")))
+    linked = components(first.union(second)).join(classes, "node")
+    best = linked.groupBy("component").agg(F.min(F.struct("class_id", "digest")).alias("rep"))
+    ranked = classes.join(linked.select("node", "component").join(best, "component").select("node", "rep"), "node", "left")
+    ranked = ranked.select("digest", "class_id", F.coalesce("rep.class_id", "class_id").alias("rep_id"), F.coalesce("rep.digest", "digest").alias("rep_digest"))
+    return sig.groupBy("id", "digest").agg(F.count("*").alias("n")).join(ranked, "digest").select("id", "digest", "n", "class_id", "rep_id", "rep_digest")
 
 
 def near_duplicate_classes(docs: DataFrame) -> DataFrame:
-    """One row per document id: its classes, and whether it stays as its component's representative."""
-    found = near_duplicates(docs).withColumnRenamed("id", "doc_id")
-    return (docs.select("doc_id").where("doc_id IS NOT NULL").distinct().join(found, "doc_id", "left")
-            .select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
-            .withColumn("kept", F.col("doc_id") == F.col("component_id")))
+    """One row per document id: the smallest class and component of its texts, and whether a row of it stays."""
+    here = (F.col("id") == F.col("rep_id")) & (F.col("digest") == F.col("rep_digest"))
+    found = near_duplicates(docs).groupBy(F.col("id").alias("doc_id")).agg(F.min("class_id").alias("class_id"), F.min("rep_id").alias("component_id"), F.max(here).alias("kept"))
+    # an id with a text without words keeps that row
+    blank = ~F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(WORD)
+    return (docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(blank).alias("blank")).join(found, "doc_id", "left")
+            .select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"),
+                    (F.col("blank") | F.coalesce("kept", F.lit(True))).alias("kept")))
 
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose document represents its component (and rows with a null id); columns as they were."""
-    gone = near_duplicates(docs, id_col, text_col).where("id <> component_id").select(F.col("id").alias(id_col))
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    """One row of ``docs`` for each component, rows without words and rows with a null id; columns as they were."""
+    found = near_duplicates(docs, id_col, text_col)
+    here = (F.col("id") == F.col("rep_id")) & (F.col("digest") == F.col("rep_digest"))
+    # single rows that represent themselves need no partner
+    fate = stored(found.select("id", "digest", here.alias("stays"), "n").where("NOT stays OR n > 1"), "fates")
+    rows = docs.select(*_keyed(id_col, text_col), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    single = rows.join(fate, ["id", "digest"], "left_anti").select("doc.*")
+    # of repeated rows one stays, the smallest by its other columns (maps have no order); the texts are equal
+    order = [F.col(f"doc.`{f.name}`") for f in docs.schema.fields if f.name != text_col and "map<" not in f.dataType.simpleString()]
+    # grouped by another key than joined, so that a hot pair's join can be split and its rows meet pre-aggregated
+    again = rows.join(fate.where("stays").select("id", "digest"), ["id", "digest"]).select(F.struct("id", "digest").alias("pair"), "doc")
+    repeated = again.groupBy("pair").agg(F.min_by("doc", F.struct(*order)).alias("doc")).select("doc.*")
+    return single.unionByName(repeated)
