@@ -380,6 +380,19 @@ def test_quality_edges(spark, edges, nothing, documents, labels):
     assert zstd_quality.quality_scores(edges, both).count() == edges.count()
 
 
+def test_labelled_sample_is_bounded_in_rows(spark, documents, labels):
+    """Rows that repeat a labelled id change nothing in what is fitted."""
+    some = documents.where("doc_id < 600").select("doc_id", "text")
+    hot = some.union(some.where("doc_id < 20").crossJoin(spark.range(200)).select("doc_id", "text"))
+    a, b = zstd_quality.fit(some, labels), zstd_quality.fit(hot, labels)
+    assert (a.good, a.bad, a.prior) == (b.good, b.bad, b.prior) and a.weights and np.allclose(a.weights, b.weights)
+    a, b = ordinal.fit(some, labels), ordinal.fit(hot, labels)
+    assert len(a.features) and (a.features == b.features).all() and np.allclose(a.weights, b.weights) and np.allclose(a.thresholds, b.thresholds)
+    chosen = spark.createDataFrame([(1, 0), (2, 1)], "id long, y int")
+    rows = data.frame(spark, [data.row(1, "a"), data.row(1, "b"), data.row(1, None), data.row(2, "c"), data.row(2, "c"), data.row(3, "d")])
+    assert sorted((r["id"], r["y"]) for r in common.one_text(rows, chosen, "doc_id", "text").collect()) == [(1, 0), (2, 1)]
+
+
 # ------------------------------------------------------------------ op 10
 
 def test_targets_are_reshared():

@@ -50,6 +50,16 @@ def id_remainder(column: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def one_text(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``chosen`` (id and other columns) with a ``text`` each: of an id's texts the one with the smallest digest.
+
+    ``chosen`` must be bounded, for it is broadcast; the result has a row at most for each of its rows, however
+    often ``docs`` repeats an id.  Map tasks aggregate first, so a hot id sends one text a task.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    return rows.groupBy(*chosen.columns).agg(F.min_by("text", F.sha2(F.col("text").cast("binary"), 256)).alias("text"))
+
+
 def crc_remainder(value, modulus: int) -> int:
     """``id_remainder`` of one value in Python."""
     return zlib.crc32(b"" if value is None else str(value).encode()) % modulus

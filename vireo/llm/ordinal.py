@@ -10,7 +10,7 @@ Grades: ``labels`` marks texts as toxic or not.  A marker is a word feature that
 2, 3 by the terciles of their number of different markers.
 
 What is fitted on a sample: features, grades and weights, on at most ``SAMPLE_PER_CLASS`` labelled texts of each
-class, chosen by a hash of the id.  The features kept are the ``FEATURES`` with the largest likelihood ratio.
+class, chosen by a hash of the id; an id that repeats gives one text, that of the smallest digest.  The features kept are the ``FEATURES`` with the largest likelihood ratio.
 Rows weigh so that the classes stand as in all labels.  Scoring covers every row's whole text.
 
 Defined cases: null text is empty; an empty text scores by the thresholds alone; repeated labels of one id count
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vireo.llm.common import byte_slices, id_remainder, stored, word_hashes
+from vireo.llm.common import byte_slices, id_remainder, one_text, stored, word_hashes
 
 SAMPLE_PER_CLASS = 5000
 FEATURES, LEAST_TEXTS = 4096, 3
@@ -151,7 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         part = known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_PER_CLASS)
         chosen = part if chosen is None else chosen.union(part)
     # at most 2 x SAMPLE_PER_CLASS ids, so their broadcast is bounded
-    sample = stored(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "id").select("text", "y"), "toxicity-sample")
+    sample = stored(one_text(docs, chosen, id_col, text_col).select("text", "y"), "toxicity-sample")
     if sample.select("y").distinct().count() < 2:
         return constant
     features, word, odds = _select(sample)

@@ -10,7 +10,8 @@ over all blocks, go through a logistic calibration fitted on labelled rows.
 What is fitted on a sample: the dictionaries, on at most ``SAMPLE_DOCS`` labelled
 texts of each class and at most ``SAMPLE_BLOCKS`` blocks of each; the
 calibration, on at most ``CALIBRATION_DOCS`` other labelled texts per class.
-Both samples go by a hash of the id.  Scoring covers every row's whole text.
+Both samples go by a hash of the id; an id that repeats gives one text, that of
+the smallest digest.  Scoring covers every row's whole text.
 
 Defined cases: null text is empty; an empty text compresses to nothing and gets
 the calibrated score of a zero difference; where one class has no labelled text
@@ -29,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vireo.llm.common import id_remainder, text_buffers
+from vireo.llm.common import id_remainder, one_text, text_buffers
 
 BLOCK = 2048
 LEVEL = 3
@@ -121,7 +122,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         chosen = part if chosen is None else chosen.union(part)
     chosen = chosen.withColumn("dictionary", F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(per_class)) < SAMPLE_DOCS)
     # the ids are at most 2 x per_class rows, so their broadcast is bounded
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "id")
+    rows = one_text(docs, chosen, id_col, text_col)
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
