@@ -347,8 +347,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``least`` or more the smallest (id, digest).
     """
     sig = signed(docs, id_col, text_col, words, bands, rows)
-    # one node per text; numbered once, in a table that is written
-    classes = stored(sig.groupBy("digest").agg(F.min("id").alias("class_id")).withColumn("node", F.monotonically_increasing_id()), "classes")
+    # one node per text, numbered in the order of the smallest ids; once, in a table that is written
+    classes = stored(sig.groupBy("digest").agg(F.min("id").alias("class_id")).orderBy("class_id", "digest").withColumn("node", F.monotonically_increasing_id()), "classes")
     # a class stands in the buckets with one row: its smallest id's
     firsts = classes.select(F.col("class_id").alias("id"), "digest", "node")
     stand = sig.join(firsts, ["id", "digest"]).select(F.col("node").alias("id"), "size", F.explode("keys").alias("key")).distinct()
