@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vireo.llm import ann_blocks, collision, hmm, mixing, near_dup, ordinal, packing, secrets, url_lists, zstd_quality
+from vireo.llm import ann_blocks, collision, hmm, mixing, near_dup, ordinal, packing, prefix_trie, secrets, url_lists, zstd_quality
 from vireo.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,8 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zstd_quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_z_fast_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_conversation_trie(table(spark, sf_dir, "conversations"))
