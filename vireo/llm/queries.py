@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vireo.llm import ann_blocks, collision, hard_negatives, hmm, mixing, near_dup, ordinal, packing, prefix_trie, secrets, url_lists, zstd_quality
+from vireo.llm import ann_blocks, collision, hard_negatives, hmm, language_id, mixing, near_dup, ordinal, packing, prefix_trie, secrets, url_lists, zstd_quality
 from vireo.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,6 +138,11 @@ def op8_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zstd_quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op11_nearest_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.languages(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_segment_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(hard_negatives.shifted_labels(table(spark, sf_dir, "embeddings")))
