@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from vireo.llm.common import id_remainder, mix64, stored, worker_cache
 from vireo.llm.zstd_quality import fit_logistic
+from vireo.operators.joins import join_group_table
 
 SLOTS, LONGEST = 1 << 14, 3
 CENTROIDS, ROUNDS = 4, 12
@@ -189,8 +190,8 @@ def sample_texts(texts: DataFrame, per_language: int) -> DataFrame:
     crowd others out nor reach the sample more than once.
     """
     key = F.xxhash64(F.lit(11), "text")
-    sizes = texts.groupBy("lang").agg(F.approx_count_distinct(key, 0.02).alias("different"))
-    near = texts.join(sizes.select(F.col("lang").alias("of"), "different"), F.col("lang") == F.col("of"))
+    sizes = stored(texts.groupBy("lang").agg(F.approx_count_distinct(key, 0.02).alias("different"), F.count("*").alias("rows")), "language-sizes")
+    near = join_group_table(texts, sizes, ["lang"], "inner", size_col="rows")
     within = F.pmod(key, F.lit(1 << 30)) * F.col("different").cast("double") < F.lit(1.05 * per_language * (1 << 30))
     learn = F.pmod(F.xxhash64(F.lit(12), "text"), F.lit(per_language)) < F.lit(LEARN_TEXTS)
     return stored(near.where(within).select("lang", "text").distinct().withColumn("learn", learn), "language-sample")
