@@ -20,6 +20,7 @@ an empty table gives an empty result; extra columns are not read.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -30,12 +31,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vireo.llm.common import stored, worker_cache
+from vireo.llm.common import byte_slices, stored, worker_cache
 
 CAPACITY = 1024
 END_ID = 2
-#: Encoded words kept per Python worker.
-CACHE_WORDS = 500_000
+#: Encoded words of each of the two generations that a Python worker keeps.
+CACHE_WORDS = 250_000
+#: Bytes of text whose words are looked up together.
+TEXT_BYTES = 1 << 16
 #: New words that are encoded in one call.
 WORDS_AT_ONCE = 256
 _RANK_BITS = 44
@@ -48,19 +51,25 @@ def default_tokenizer() -> str:
 
 
 class Encoder:
-    """Token ids (little-endian uint32 bytes) of whole texts, with a cache of encoded words.
+    """Token ids (little-endian uint32 bytes) of whole texts, with a cache of encoded words in two generations.
 
     The tokenizer's pre-tokenisation always starts a new piece at a single space or
     line end that a visible character follows, and between a letter and a closing
     comma or stop, so such parts can be encoded apart and joined.  Texts where that
     doesn't hold (runs of white space, special-token marks) are encoded in one go.
+
+    Words that are used go to the young generation; when it is full it becomes the old one, whose words
+    move on as they are used again and go when the next one is full.
     """
 
     def __init__(self, path: str):
+        # tasks are the parallelism; the library's own threads would only wait on each other
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.cache: dict[str, bytes | None] = {}
+        self.old: dict[str, bytes | None] = {}
         # byte-level vocabularies write a leading space as U+0120 and a line end as U+010A
         self.opens_word = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         self.opens_word[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith(("\u0120", "\u010a"))]] = True
@@ -94,24 +103,28 @@ class Encoder:
             base = cache[w[:-1]]
             cache[w] = None if base is None else base + self.closing[w[-1]]
 
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """The ids of every text; new words of all texts are learned together."""
+        if len(self.cache) > CACHE_WORDS:
+            self.old, self.cache = self.cache, {}
+        parts = [t.replace("\n", " \n").split(" ") if t and "<|" not in t else [] for t in texts]
+        cache, old = self.cache, self.old
+        missing = set().union(*[p[1:] for p in parts]).difference(cache)
+        again = [w for w in missing if w in old]
+        cache.update([(w, old[w]) for w in again])
+        if len(again) < len(missing):
+            self._learn(list(missing.difference(again)))
+        word, out = cache.__getitem__, []
+        for text, part in zip(texts, parts):
+            found = [*map(word, part[1:])] if len(part) > 1 and part[0] else None
+            if found is None or None in found:
+                out.append(self._whole(text) if text else b"")
+            else:
+                out.append(self._whole(part[0]) + b"".join(found))
+        return out
+
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if "<|" in text:
-            return self._whole(text)
-        first, *words = text.replace("\n", " \n").split(" ")
-        if not first or not words:
-            return self._whole(text)
-        cache = self.cache
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
-        missing = set(words).difference(cache)
-        if missing:
-            self._learn(sorted(missing))
-        found = [cache[w] for w in words]
-        if None in found:
-            return self._whole(text)
-        return self._whole(first) + b"".join(found)
+        return self.encode_many([text])[0]
 
 
 def cut(tokens: int, capacity: int) -> list[tuple[int, int]]:
@@ -200,10 +213,10 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             encoder = worker_cache()[path] = Encoder(path)
         seen = np.zeros(capacity + 1, dtype=np.int64)
         end = struct.pack("<I", END_ID)
-        for batch in batches:
+        for batch in (part for whole in batches for part in byte_slices(whole, "text", TEXT_BYTES)):
             rows, took, ids = [], [], []
-            for i, value in enumerate(batch.column(1)):
-                data = encoder.encode(value.as_py() or "") + end
+            for i, data in enumerate(encoder.encode_many([t or "" for t in batch.column(1).to_pylist()])):
+                data += end
                 for k, (start, length) in enumerate(cut(len(data) // 4, capacity)):
                     body = data[4 * start:4 * (start + length)]
                     rows.append((k, start, length, zlib.crc32(body), part, int(seen[length])))
