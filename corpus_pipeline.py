@@ -12,7 +12,7 @@ mixing           sources are brought to their target weights; a document taken i
 packing          pieces of at most 1024 tokens with their place in a sequence
 
 Nulls: a null text counts as empty (it has no words, so mixing takes nothing of it);
-rows with a null doc_id pass the near-duplicate stage as they are.
+a null doc_id counts as the largest in the near-duplicate stage.
 """
 
 from __future__ import annotations
