@@ -124,7 +124,8 @@ def test_near_duplicate_edges(edges, nothing):
     kept = near_dup.keep_representatives(edges)
     assert kept.columns == edges.columns
     ids = [r["doc_id"] for r in kept.collect()]
-    assert ids.count(None) == 2 and {1, 2, 3, 4, 5} <= set(ids) and not {6, 7, 9} & set(ids)
+    # of the null ids the copy of 5 goes, the row without words stays
+    assert ids.count(None) == 1 and {1, 2, 3, 4, 5} <= set(ids) and not {6, 7, 9} & set(ids)
 
 
 def test_near_duplicates_tell_texts_apart(spark):

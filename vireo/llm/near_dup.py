@@ -28,7 +28,8 @@ the other columns.
 
 Defined cases: null text is empty; a text without words links with nothing, not
 even with its copies; rows that repeat an id with other texts are compared each
-for itself; rows with a null id are left out; an empty table gives an empty
+for itself; rows with a null id are left out of the classes, and among representatives a null id counts as the
+largest; an empty table gives an empty
 result; extra columns only order repeated rows.
 """
 
@@ -45,6 +46,8 @@ from vireo.llm.common import WORD, byte_slices, mix64, stored, unit, within, wor
 from vireo.llm.graph import components
 
 WORDS, SIMILARITY = 5, 0.8
+#: What a null id counts as where rows are to stay or go.
+NO_ID = (1 << 63) - 1
 #: At similarity 0.8 a pair shares a band with probability 1 - (1 - 0.8^6)^26 > 0.9995.
 BANDS, ROWS = 26, 6
 #: Partners that are compared with one document in one group of a task.
@@ -170,13 +173,14 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return shared / total if total else 0.0
 
 
-def _keyed(id_col: str, text_col: str) -> tuple[Column, Column]:
-    """(id, digest) of a row: what tells documents apart."""
+def _keyed(id_col: str, text_col: str, null_ids: bool = False) -> tuple[Column, Column]:
+    """(id, digest) of a row: what tells documents apart; with ``null_ids`` a null id counts as the largest."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    return F.col(id_col).cast("long").alias("id"), F.substring(F.unhex(F.sha2(text, 256)), 1, 16).alias("digest")
+    number = F.col(id_col).cast("long")
+    return (F.coalesce(number, F.lit(NO_ID)) if null_ids else number).alias("id"), F.substring(F.unhex(F.sha2(text, 256)), 1, 16).alias("digest")
 
 
-def signed(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int, rows: int) -> DataFrame:
+def signed(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int, rows: int, null_ids: bool = False) -> DataFrame:
     """Stored (id, digest, size, keys): content digest, shingles and band keys of every text with words."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +193,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int,
                 out = pa.RecordBatch.from_arrays([batch.column("id"), batch.column("digest"), pa.array(per), lists], ["id", "digest", "size", "keys"])
                 yield out.filter(pa.array(per > 0))
 
-    source = docs.where(F.col(id_col).isNotNull()).select(*_keyed(id_col, text_col), F.col(text_col).cast("string").alias("text"))
+    source = docs.select(*_keyed(id_col, text_col, null_ids), F.col(text_col).cast("string").alias("text")).where("id IS NOT NULL")
     return stored(source.mapInArrow(sign, "id long, digest binary, size long, keys array<long>"), "signatures")
 
 
@@ -339,14 +343,14 @@ def _open_blocks(shared: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
-                    least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+                    least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, null_ids: bool = False) -> DataFrame:
     """(id, digest, n, class_id, rep_id, rep_digest) of every document with words: one row per id and text.
 
     ``n`` rows have this id and text, ``class_id`` is the smallest id with an equal text, and (``rep_id``,
     ``rep_digest``) is the representative of its component: of all texts reachable over links of similarity
     ``least`` or more the smallest (id, digest).
     """
-    sig = signed(docs, id_col, text_col, words, bands, rows)
+    sig = signed(docs, id_col, text_col, words, bands, rows, null_ids)
     # one node per text, numbered in the order of the smallest ids; once, in a table that is written
     classes = stored(sig.groupBy("digest").agg(F.min("id").alias("class_id")).orderBy("class_id", "digest").withColumn("node", F.monotonically_increasing_id()), "classes")
     # a class stands in the buckets with one row: its smallest id's
@@ -357,7 +361,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     close = F.least("size", "pivot.size") >= least * F.greatest("size", "pivot.size")
     star = shared.where((F.col("id") != F.col("pivot.id")) & close).select(F.col("pivot.id").alias("a"), F.col("id").alias("b")).distinct()
     wanted = firsts.join(shared.select(F.col("id").alias("node")).distinct(), "node", "left_semi")
-    texts = stored(docs.select(*_keyed(id_col, text_col), F.col(text_col).cast("string").alias("text")).join(wanted, ["id", "digest"]).select(F.col("node").alias("id"), "text").distinct(), "candidate-texts")
+    texts = stored(docs.select(*_keyed(id_col, text_col, null_ids), F.col(text_col).cast("string").alias("text")).join(wanted, ["id", "digest"]).select(F.col("node").alias("id"), "text").distinct(), "candidate-texts")
     first = stored(_verified(star, texts, words, least), "first-links")
     opened = _open_blocks(shared.select("key", "id", "size"), components(first)).join(texts, "id")
     second = stored(_block_verified(opened, words, least), "second-links")
@@ -380,16 +384,17 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
 
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of ``docs`` for each component, rows without words and rows with a null id; columns as they were."""
-    found = near_duplicates(docs, id_col, text_col)
+    """One row of ``docs`` for each component, and rows without words; columns as they were.  A null id counts as the largest."""
+    found = near_duplicates(docs, id_col, text_col, null_ids=True)
     here = (F.col("id") == F.col("rep_id")) & (F.col("digest") == F.col("rep_digest"))
     # single rows that represent themselves need no partner
-    fate = stored(found.select("id", "digest", here.alias("stays"), "n").where("NOT stays OR n > 1"), "fates")
-    rows = docs.select(*_keyed(id_col, text_col), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    single = rows.join(fate, ["id", "digest"], "left_anti").select("doc.*")
+    fate = found.select("id", "digest", here.alias("stays"), "n").where("NOT stays OR n > 1").drop("n")
+    rows = docs.select(*_keyed(id_col, text_col, True), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    # one join carries the fate, at every size the same one; what is left is written once and read for both halves
+    met = rows.join(stored(fate, "fates").hint("merge"), ["id", "digest"], "left").where("stays IS NULL OR stays")
+    met = stored(met.withColumn("again", F.col("stays").isNotNull()).drop("stays"), "representatives")
     # of repeated rows one stays, the smallest by its other columns (maps have no order); the texts are equal
     order = [F.col(f"doc.`{f.name}`") for f in docs.schema.fields if f.name != text_col and "map<" not in f.dataType.simpleString()]
-    # grouped by another key than joined, so that a hot pair's join can be split and its rows meet pre-aggregated
-    again = rows.join(fate.where("stays").select("id", "digest"), ["id", "digest"]).select(F.struct("id", "digest").alias("pair"), "doc")
-    repeated = again.groupBy("pair").agg(F.min_by("doc", F.struct(*order)).alias("doc")).select("doc.*")
-    return single.unionByName(repeated)
+    # a hot pair's rows meet pre-aggregated
+    repeated = met.where("again").groupBy("id", "digest").agg(F.min_by("doc", F.struct(*order)).alias("doc"))
+    return met.where("NOT again").select("doc.*").unionByName(repeated.select("doc.*"))
