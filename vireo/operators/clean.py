@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vireo.operators.joins import materialize
-
 
 def drop_missing(df: DataFrame, cols: list[str]) -> DataFrame:
     """Drop rows with a null in any of ``cols``."""
@@ -14,21 +12,14 @@ def drop_missing(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def dedup(df: DataFrame, keys: list[str], order_by: str) -> DataFrame:
-    """One row per ``keys`` -- the one with the smallest ``order_by``.
+    """One row per ``keys`` -- the one with the smallest ``order_by``, of equal ones the smallest by all other columns.
 
-    Only a digest of the keys and ``order_by`` are aggregated, pre-reduced in every map task, so a
-    text with a third of all rows costs a few short rows per task; the winners then select the rows by
-    a semi-join, and full rows meet only where several share the winning ``order_by`` (any of them stays).
+    One read and one shuffle of the rows, by a digest of the keys; every map task keeps one row a key,
+    so a text with a third of all rows costs a row per task.  Maps have no order and don't decide.
     """
-    digest = key_digest(keys)
-    counts = df.groupBy(digest.alias("__key"), F.col(order_by).alias("__at")).agg(F.count(F.lit(1)).alias("__n"))
-    best = materialize(counts.groupBy("__key").agg(F.min(F.struct("__at", "__n")).alias("b")).select("__key", "b.__at", "b.__n"))
-    on = (F.col("__digest") == F.col("__key")) & F.col(order_by).eqNullSafe(F.col("__at"))
-    rows = df.withColumn("__digest", digest)
-    out = rows.join(best.where("__n = 1"), on, "left_semi")
-    if not best.where("__n > 1").isEmpty():
-        out = out.unionByName(rows.join(best.where("__n > 1"), on, "left_semi").dropDuplicates(["__digest"]))
-    return out.drop("__digest")
+    others = [f.name for f in df.schema.fields if f.name not in (*keys, order_by) and "map<" not in f.dataType.simpleString()]
+    row, order = F.struct(*[F.col(f"`{c}`") for c in df.columns]), F.struct(*[F.col(f"`{c}`") for c in (order_by, *others)])
+    return df.groupBy(key_digest(keys).alias("__key")).agg(F.min_by(row, order).alias("__row")).select("__row.*")
 
 
 def key_digest(keys: list[str]):

@@ -8,8 +8,8 @@ key (or the null key) may hold a third of all rows.  Strategy:
   only if they are within ``max_broadcast_bytes``;
 * otherwise a shuffle join on (key, salt).  When the table carries each key's
   row count (``size_col``), a key with more than ``hot_rows`` rows gets
-  ceil(rows / hot_rows) salts: its rows are dealt to them by a number that is
-  different for every row, and its table row is replicated per salt.  There are
+  ceil(rows / hot_rows) salts: its rows are dealt to them by a hash of all
+  their columns (equal rows together, for adaptive execution to split), and its table row is replicated per salt.  There are
   at most total / hot_rows hot keys, so with the default threshold their list is
   bounded by 4 x parallelism; cold keys join once, unsalted.  Rows with a null
   key match nothing and are dealt over all tasks.
@@ -63,7 +63,8 @@ def join_group_table(big: DataFrame, table: DataFrame, keys: list[str], how: str
     missing = F.lit(False)
     for k in keys:
         missing = missing | F.col(k).isNull()
-    row = F.monotonically_increasing_id()
+    # a pure function of the row, so that a task that runs again deals its rows as before
+    row = F.struct(*[F.col(f"`{f.name}`") for f in big.schema.fields if "map<" not in f.dataType.simpleString()])
     tagged = big.join(F.broadcast(hot), on=keys, how="left")
     spread_over = F.when(missing, F.lit(HOT_SHARE_DIVISOR * parallelism)).otherwise(F.coalesce(F.col(_SALTS), F.lit(1)))
     salted = tagged.withColumn(_SALT, F.pmod(F.xxhash64(row), spread_over).cast("int")).drop(_SALTS)

@@ -70,15 +70,18 @@ def fit_idf(df: DataFrame, col: str = "raw_tf", out: str = "tfidf", min_doc_freq
     return IDF(inputCol=col, outputCol=out, minDocFreq=min_doc_freq).fit(df)
 
 
-def term_counts(df: DataFrame, id_col: str, tokens: Column,
+def term_counts(df: DataFrame, id_col: str, text_col: str, tokens: Column,
                 languages: tuple[str, ...] | None = ("english",)) -> DataFrame:
     """``(id, term, tf)`` from a token-array expression, stored; empty tokens and
     stop words are dropped after the explode (a hash-set ``InSet`` test per token).
 
-    The documents are read and tokenised once, and dealt by id first, so the
-    (id, term) count needs no further shuffle; what follows reads the stored counts.
+    The texts are dealt by id first, to a fixed number of tasks, and split there: a text is smaller
+    than its token array, every core splits, and the (id, term) count needs no further shuffle.
+    What follows reads the stored counts.
     """
-    ex = df.select(F.col(id_col), tokens.alias("__tokens")).repartition(id_col).select(id_col, F.explode("__tokens").alias("term"))
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    ex = df.select(id_col, text_col).repartition(tasks, id_col).select(id_col, F.explode(tokens).alias("term"))
     cond = F.col("term") != ""
     if languages:
         cond = cond & ~F.col("term").isin(stop_words(languages))
@@ -100,7 +103,7 @@ def term_stats(df: DataFrame, id_col: str, text_col: str, min_doc_freq: int = 0,
                languages: tuple[str, ...] | None = ("english",),
                max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """``(id, term, tf, df, idf, tfidf)`` with Spark IDF semantics."""
-    tf = term_counts(df, id_col, spark_tokens(F.col(text_col)), languages)
+    tf = term_counts(df, id_col, text_col, spark_tokens(F.col(text_col)), languages)
     n_docs = df.agg(F.count(F.lit(1)).cast("double")).scalar()
     dfs = materialize(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
     rows = join_group_table(tf, dfs, ["term"], how="inner", size_col="df", max_broadcast_bytes=max_broadcast_bytes)
@@ -119,7 +122,7 @@ def vocab_tfidf(df: DataFrame, id_col: str, text_col: str, max_features: int = 5
     row L2-normalised over its kept terms.  The vocabulary has at most
     ``max_features`` rows, and its bytes decide whether it is broadcast.
     """
-    tf = term_counts(df, id_col, word_tokens(F.col(text_col)), languages)
+    tf = term_counts(df, id_col, text_col, word_tokens(F.col(text_col)), languages)
     n_docs = df.agg(F.count(F.lit(1)).cast("double")).scalar()
     per_term = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
     kept = per_term.where((F.col("df") >= min_df) & (F.col("df") <= n_docs * max_df))

@@ -108,8 +108,9 @@ def write_partitioned(df: DataFrame, path: str, by: list[str] | str, rows_per_fi
     """Parquet partitioned by ``by``, about ``rows_per_file`` rows to a file.
 
     The rows of each partition value are counted first; a value is then written by
-    ceil(rows / ``rows_per_file``) tasks, its rows dealt by a number that differs for every row, so writers grow
-    with the table and a value (or the null value) with a third of all rows isn't one task.
+    ceil(rows / ``rows_per_file``) tasks, its rows dealt by a hash of all their columns, so writers grow
+    with the table, a value (or the null value) with a third of all rows isn't one task, and a task that runs
+    again deals its rows as before.
     """
     cols = [by] if isinstance(by, str) else list(by)
     files = materialize(df.groupBy(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(cols)])
@@ -118,7 +119,8 @@ def write_partitioned(df: DataFrame, path: str, by: list[str] | str, rows_per_fi
     on = F.lit(True)
     for i, c in enumerate(cols):
         on = on & F.col(c).eqNullSafe(F.col(f"__k{i}"))
-    dealt = df.join(files, on, "left").withColumn("__part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("__files")))
+    hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    dealt = df.join(files, on, "left").withColumn("__part", F.pmod(F.xxhash64(*hashed), F.col("__files")))
     (dealt.repartition(max(total, 1), *[F.col(c) for c in cols], "__part").select(*df.columns).write.mode("overwrite")
      .option("compression", "snappy").option("maxRecordsPerFile", 2 * rows_per_file).partitionBy(*cols).parquet(path))
 
