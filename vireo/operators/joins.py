@@ -6,13 +6,12 @@ key (or the null key) may hold a third of all rows.  Strategy:
 
 * the group table is stored once; its bytes are summed, and it is broadcast
   only if they are within ``max_broadcast_bytes``;
-* otherwise a shuffle join on (key, salt).  When the table carries each key's
-  row count (``size_col``), a key with more than ``hot_rows`` rows gets
-  ceil(rows / hot_rows) salts: its rows are dealt to them by a hash of all
-  their columns (equal rows together, for adaptive execution to split), and its table row is replicated per salt.  There are
-  at most total / hot_rows hot keys, so with the default threshold their list is
-  bounded by 4 x parallelism; cold keys join once, unsalted.  Rows with a null
-  key match nothing and are dealt over all tasks.
+* otherwise, when the table carries each key's row count (``size_col``), keys with
+  more than ``hot_rows`` rows are taken apart: there are at most total / hot_rows of
+  them, so with the default threshold their table rows are bounded by 4 x parallelism
+  and broadcast, and the hot rows aren't shuffled at all.  All other keys join by a
+  shuffle.  Rows with a null key match nothing and stay where they are.  Which way a
+  row goes depends on its key alone, so a task that runs again returns the same rows.
 """
 
 from __future__ import annotations
@@ -24,7 +23,6 @@ from vireo.session import cut_lineage
 
 MAX_BROADCAST_BYTES = 64 << 20
 HOT_SHARE_DIVISOR = 4
-_SALT, _SALTS = "__vireo_salt", "__vireo_salts"
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -57,17 +55,16 @@ def join_group_table(big: DataFrame, table: DataFrame, keys: list[str], how: str
     if hot_rows is None:
         total = table.agg(F.sum(size_col)).first()[0] or 0
         hot_rows = max(1, total // (HOT_SHARE_DIVISOR * parallelism))
-    salts = F.ceil(F.col(size_col) / F.lit(hot_rows)).cast("int")
-    # at most total / hot_rows keys
-    hot = table.where(F.col(size_col) > hot_rows).select(*keys, salts.alias(_SALTS))
+    # at most total / hot_rows rows, so their broadcast is bounded; hot rows stay where they are
+    hot = F.broadcast(table.where(F.col(size_col) > hot_rows))
     missing = F.lit(False)
     for k in keys:
         missing = missing | F.col(k).isNull()
-    # a pure function of the row, so that a task that runs again deals its rows as before
-    row = F.struct(*[F.col(f"`{f.name}`") for f in big.schema.fields if "map<" not in f.dataType.simpleString()])
-    tagged = big.join(F.broadcast(hot), on=keys, how="left")
-    spread_over = F.when(missing, F.lit(HOT_SHARE_DIVISOR * parallelism)).otherwise(F.coalesce(F.col(_SALTS), F.lit(1)))
-    salted = tagged.withColumn(_SALT, F.pmod(F.xxhash64(row), spread_over).cast("int")).drop(_SALTS)
-    side = table.join(F.broadcast(hot), on=keys, how="left")
-    side = side.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1))).drop(_SALTS)
-    return salted.join(side, on=keys + [_SALT], how=how).drop(_SALT)
+    cold = big.where(~missing).join(F.broadcast(hot.select(*keys)), on=keys, how="left_anti")
+    columns = [*big.columns, *[c for c in table.columns if c not in keys]]
+    out = cold.join(table.where(F.col(size_col) <= hot_rows), on=keys, how=how).select(*columns).unionByName(big.join(hot, on=keys, how="inner").select(*columns))
+    if how == "inner":
+        return out
+    # rows with a null key match nothing and need no shuffle
+    added = [F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema.fields if f.name not in keys]
+    return out.unionByName(big.where(missing).select("*", *added)).select(*columns)

@@ -5,7 +5,7 @@ Plan shape (one full scan of the rows for the counts, one for the join):
     rows --partial count--> shuffle(group) --> group table (one row per group)
     group table --exact percentile over sizes--> threshold (scalar subquery)
     rows ⋈ group table  (broadcast when the table's bytes are few,
-                         salted shuffle join otherwise; see joins.py)
+                         hot groups taken apart otherwise; see joins.py)
 
 The percentile runs over the group table, whose exact-percentile buffer holds
 one entry per *distinct group size* -- bounded by sqrt(2 * rows) -- so the

@@ -208,7 +208,7 @@ def box_stats(df: DataFrame, by: str, col: str, upper: float | None = None,
     q = q.withColumn("lower_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
          .withColumn("upper_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
     # one row per class, stored once; joined back by broadcast when the
-    # counted table is small, with hot classes salted otherwise
+    # counted table is small, with hot classes taken apart otherwise
     q = materialize(q)
     j = join_group_table(kept, q.select(by, "lower_fence", "upper_fence", F.col("n").alias("__size")),
                          [by], how="inner", size_col="__size").drop("__size")

@@ -107,3 +107,16 @@ def nested_fractions(df: DataFrame, key: str, fractions: list[float], seed: int
 def fold_column(key: str, k: int, seed: int = 42):
     """Reproducible fold id in [0, k) for cross-validation (``foldCol``)."""
     return F.least(F.floor(unit_from_hash(key_hash32(F.col(key), seed)) * k), F.lit(k - 1)).cast("int")
+
+
+def exact_sample(df: DataFrame, key: str, n: int, by: list[str] | None = None, seed: int = 42) -> DataFrame:
+    """F2, F6 with exact sizes: the ``n`` rows (per ``by``) with the smallest (hash of key, key); all if fewer.
+
+    A bottom-k sketch: every task keeps at most ``n`` rows a class before anything is shuffled, so a class with a
+    third of all rows costs ``n`` rows a task, and the same rows come out under any partitioning.
+    """
+    order = [key_hash32(F.col(key), seed), F.col(key)]
+    if not by:
+        return df.orderBy(*order).limit(n)
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    return df.withColumn("__rank", rank).where(F.col("__rank") <= n).drop("__rank")

@@ -8,7 +8,7 @@ Two forms of the same numbers:
 * long form -- ``(doc, term, tf, df, idf, tfidf)`` tables built with explode
   and grouped aggregates, which SQL can check and which shows the shuffles:
   (doc, term) counts are partially aggregated before the shuffle, and the
-  per-term table is joined back with the size-checked / salted join, so a
+  per-term table is joined back with the size-checked join that takes hot keys apart, so a
   term that occurs in a third of all documents is not one task.
 """
 
