@@ -123,3 +123,23 @@ def test_fit_pipeline_equals_pipeline_fit(planted):
     a = pipe.fit(planted).transform(planted).select("id", vector_to_array("features").alias("f"))
     b = md.fit_pipeline(pipe, planted).transform(planted).select("id", vector_to_array("features").alias("f"))
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_boosting_prefixes_equal_full_fits(spark):
+    """One long fit scored at a shorter length is the shorter fit; the tuned table equals cross-validation."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.sql import functions as F
+
+    from vireo.operators import models as md
+
+    x = [F.rand(i) for i in range(4)]
+    df = spark.range(300).select("id", F.array(*x).alias("x")).select("id", array_to_vector("x").alias("features"), (F.col("x")[0] + F.col("x")[1] * F.col("x")[2] > 0.8).cast("double").alias("label"))
+    df = df.cache()
+    long, short = md.gbt(6, 3).fit(df), md.gbt(3, 3).fit(df)
+    raw = lambda m: [r[0] for r in m.transform(df).orderBy("id").select(vector_to_array("rawPrediction")[1]).collect()]
+    assert raw(md.boosting_prefix(long, 3)) == raw(short) != raw(long)
+    grid = {"maxIter": [2, 4], "maxDepth": [2, 3], "stepSize": [0.1]}
+    mine = {r["params"]: round(r["mean_auc"], 9) for r in md.tune_boosting(grid, df, "id", folds=2).collect()}
+    plain = {r["params"]: round(r["mean_auc"], 9) for r in md.cv_table(md.tune(md.gbt(), grid, df, "id", folds=2)).collect()}
+    assert mine == plain and len(mine) == 4
+    df.unpersist()

@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vireo.functions.hashing import key_uniform
+from vireo.operators.cumulative import below_sums
+
 ROUND = 6
 
 
@@ -39,6 +42,21 @@ def size_impact(runs: DataFrame, job: str = "job", fraction: str = "data_fractio
     return runs.select(job, fraction, *cols).orderBy(job, fraction)
 
 
+def size_scores(scored: DataFrame, key: str, fractions: list[float], label: str = "label", score: str = "score", seed: int = 42) -> DataFrame:
+    """I3's ``auc``: (data_fraction, rows, auc) of a scored table on nested samples by key hash.
+
+    Each row is read once and counted on every fraction that holds it; the cells of equal scores are
+    pre-aggregated in the map tasks, and all fractions' curves are ranked together over range partitions.
+    """
+    at = F.explode(F.filter(F.array(*[F.lit(float(f)) for f in fractions]), lambda f: F.col("__u") < f))
+    cells = scored.withColumn("__u", key_uniform(F.col(key), seed)).select(at.alias("data_fraction"), F.col(score).alias("s"), F.col(label).cast("long").alias("y"))
+    cells = cells.groupBy("data_fraction", "s").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
+    ranked = below_sums(cells, "s", ["neg"], ["data_fraction"])
+    wins = F.sum(F.col("pos") * (F.col("below_neg") + F.col("neg") / 2.0))
+    total = ranked.groupBy("data_fraction").agg((F.sum("pos") + F.sum("neg")).alias("rows"), (wins / F.nullif(F.sum("pos") * F.sum("neg"), F.lit(0))).alias("auc"))
+    return total.withColumn("auc", F.round("auc", ROUND))
+
+
 def run_log_from_events(events: DataFrame) -> DataFrame:
     """A run log derived from an event table (for checks at any scale):
     job = event_type, cores = 2^(user_id mod 4), data share = cores / 8,

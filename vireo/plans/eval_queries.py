@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from vireo.functions.hashing import poisson1_cdf
 from vireo.operators import evaluation as ev
+from vireo.operators import scaling as sc
 from vireo.operators.joins import materialize
 from vireo.plans.registry import SCORED_SQL, query, scored_labels
-from vireo.plans.sqlbits import rnd, stream_columns, u64
+from vireo.plans.sqlbits import rnd, stream_columns, u32, u64, unit
 
 
 def metrics_sql(cells: str, by: list[str]) -> str:
@@ -131,28 +132,35 @@ def q_stability_grade(spark, sf):
 
 # ------------------------------------------------ two rules as two models
 
-_MODELS_SQL = ("(SELECT l.doc_id, l.quality AS label, 'long_text' AS model, CAST(d.n_chars AS DOUBLE) AS score, "
-               "CAST(d.n_chars > 1000 AS INTEGER) AS prediction FROM labels l JOIN documents d ON l.doc_id = d.doc_id "
-               "UNION ALL SELECT l.doc_id, l.quality, 'short_text', -CAST(d.n_chars AS DOUBLE), "
-               "CAST(d.n_chars <= 600 AS INTEGER) FROM labels l JOIN documents d ON l.doc_id = d.doc_id)")
+# characters above (long_text) or up to which (short_text) a rule says yes, in two frameworks
+_RULES = {"first": (1000, 600), "second": (2500, 300)}
 
 
-def _model_rows(spark, sf):
+def _models_sql(rules: str) -> str:
+    above, upto = _RULES[rules]
+    return ("(SELECT l.doc_id, l.quality AS label, 'long_text' AS model, CAST(d.n_chars AS DOUBLE) AS score, "
+            f"CAST(d.n_chars > {above} AS INTEGER) AS prediction FROM labels l JOIN documents d ON l.doc_id = d.doc_id "
+            "UNION ALL SELECT l.doc_id, l.quality, 'short_text', -CAST(d.n_chars AS DOUBLE), "
+            f"CAST(d.n_chars <= {upto} AS INTEGER) FROM labels l JOIN documents d ON l.doc_id = d.doc_id)")
+
+
+def _model_rows(spark, sf, rules: str = "first"):
     """Both rules on every row, long form, from one read."""
+    above, upto = _RULES[rules]
     s = scored_labels(spark, sf)
-    rules = F.array(F.struct(F.lit("long_text").alias("model"), F.col("score").alias("score"), F.col("prediction").alias("prediction")),
-                    F.struct(F.lit("short_text").alias("model"), (-F.col("score")).alias("score"), (F.col("score") <= 600).cast("int").alias("prediction")))
-    return s.select("doc_id", "label", F.explode(rules).alias("r")).select("doc_id", "label", "r.*")
+    both = F.array(F.struct(F.lit("long_text").alias("model"), F.col("score").alias("score"), (F.col("score") > above).cast("int").alias("prediction")),
+                   F.struct(F.lit("short_text").alias("model"), (-F.col("score")).alias("score"), (F.col("score") <= upto).cast("int").alias("prediction")))
+    return s.select("doc_id", "label", F.explode(both).alias("r")).select("doc_id", "label", "r.*")
 
 
 def _compared(spark, sf):
     return ev.compare_models_long(_model_rows(spark, sf))
 
 
-def _compare_sql(where: str = "WHERE model = '{name}'") -> str:
+def _compare_sql(rules: str = "first") -> str:
     parts = []
     for name in ("long_text", "short_text"):
-        sub = f"(SELECT * FROM {_MODELS_SQL} {where.format(name=name)})"
+        sub = f"(SELECT * FROM {_models_sql(rules)} WHERE model = '{name}')"
         parts.append(f"""(WITH cells AS (SELECT label, prediction, count(*) AS n FROM {sub} GROUP BY ALL),
 {metrics_sql("cells", [])}
 SELECT '{name}' AS model, round(accuracy, 4) AS accuracy, round(precision, 4) AS precision,
@@ -192,16 +200,20 @@ def q_framework_union(spark, sf):
                               rename_b={"Model": "model", "Accuracy": "accuracy", "AUC-ROC": "auc"})
 
 
-# the second framework of the pairs: the same rules as found on the even ids only
-_EVEN_SQL = _compare_sql("WHERE model = '{name}' AND doc_id % 2 = 0")
-
-
 @query("framework_pairs", f"""
 SELECT a.model, a.accuracy AS accuracy_a, a.auc AS auc_a, b.accuracy AS accuracy_b, b.auc AS auc_b
-FROM ({_COMPARE}) a JOIN ({_EVEN_SQL}) b ON a.model = b.model""")
+FROM ({_COMPARE}) a JOIN ({_compare_sql("second")}) b ON a.model = b.model""")
 def q_framework_pairs(spark, sf):
-    """Two runs side by side: all rows, and the rows with even ids."""
-    rows = _model_rows(spark, sf)
-    a = materialize(ev.compare_models_long(rows))
-    b = materialize(ev.compare_models_long(rows.where(F.col("doc_id") % 2 == 0)))
+    """Two frameworks' results over all rows side by side: the rules with one pair of limits and with another."""
+    a, b = (materialize(ev.compare_models_long(_model_rows(spark, sf, rules))) for rules in ("first", "second"))
     return ev.framework_pairs(a, b, ["accuracy", "auc"])
+
+
+_SIZES = [0.25, 0.5, 0.75, 1.0]
+
+
+@query("size_impact_auc", " UNION ALL ".join(
+    f"SELECT CAST({f!r} AS DOUBLE) AS data_fraction, (SELECT count(*) FROM {SCORED_SQL} WHERE {unit(u32('doc_id'))} < {f!r}) AS \"rows\", "
+    f"{rnd(auc_sql('(SELECT * FROM ' + SCORED_SQL + ' WHERE ' + unit(u32('doc_id')) + f' < {f!r})'))} AS auc" for f in _SIZES))
+def q_size_impact_auc(spark, sf):
+    return sc.size_scores(scored_labels(spark, sf), "doc_id", _SIZES)

@@ -17,6 +17,7 @@ from vireo.operators import evaluation as ev
 from vireo.operators import profile, sampling, scaling
 from vireo.operators import vectors as vec
 from vireo.operators.features import eda_features, text_features
+from vireo.operators.joins import materialize
 from vireo.plans.registry import posts, scored_labels, table
 from vireo.sources.files import write_mart
 
@@ -40,7 +41,8 @@ def model_mart(spark: SparkSession, sf: str, models: dict | None = None, grids:
     _, train, test = md.prepare(d, vec.build_pipeline("text", "summary", "lang"), "doc_id", "quality")
     models = md.base_models() if models is None else models
     fitted, comparison = md.train_all(train, test, models, "doc_id")
-    best = max(fitted)  # one model's details: the last by name
+    comparison = materialize(comparison)
+    best = comparison.orderBy(F.desc("f1"), F.desc("auc"), "model").first()["model"]  # details of the best model
     scored = md.score(fitted[best], test)
     out = {"comparison": comparison, "metrics": ev.class_metrics(scored), "intervals": ev.bootstrap_ci(scored, "doc_id")}
     for name, grid in (grids or {}).items():

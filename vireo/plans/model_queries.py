@@ -81,6 +81,15 @@ for _name, _key, _est in (("tune_lr", "logistic_regression", md.logistic), ("tun
     query(_name, _grid_sql(md.GRIDS["batch"][_key]))(_tune(_est, md.GRIDS["batch"][_key]))
 
 
+@query("tune_gbt", _grid_sql(md.GRIDS["batch"]["gbt"]))
+def q_tune_gbt(spark, sf):
+    """G6 for GBT: all combinations of the published batch grid from half its fits."""
+    _, train, _ = _prepared(spark, sf)
+    t = md.tune_boosting(md.GRIDS["batch"]["gbt"], train, "doc_id", folds=3, parallelism=4)
+    best = t.agg(F.count_if("best").alias("__best"))
+    return t.crossJoin(best).select("combo", "params", _in_range(["mean_auc"]).alias("in_range"), (F.col("__best") == 1).alias("one_best"))
+
+
 @query("cv_table", _grid_sql(md.GRIDS["batch"]["random_forest"]))
 def q_cv_table(spark, sf):
     """G7 on the thirteen plain features, whose fits are quick."""
@@ -159,6 +168,21 @@ def q_stages_scaled(spark, sf):
     return both.select("doc_id", *[F.round(F.col("x")[i], 5).alias(c) for i, c in enumerate(NUMERIC_FEATURES)])
 
 
+@query("mart_model", """
+SELECT model, true AS in_range, true AS intervals_hold
+FROM (VALUES ('decision_tree'), ('logistic_regression')) AS t(model)""")
+def q_mart_model(spark, sf):
+    """The model mart of two fitted models, written and read back; the best by F1 gives metrics and intervals."""
+    from vireo.plans import marts
+
+    made = marts.model_mart(spark, sf, {"logistic_regression": md.logistic(), "decision_tree": md.decision_tree()})
+    path = scratch_dir(spark, f"mart-model-{uuid.uuid4().hex[:12]}")
+    files.write_mart(made["comparison"], path)
+    out = files.read_mart(spark, path)
+    holds = made["intervals"].agg(F.min((F.col("lower") <= F.col("mean")) & (F.col("mean") <= F.col("upper"))).alias("intervals_hold"))
+    return out.select("model", _in_range(METRICS).alias("in_range")).crossJoin(holds)  # one row
+
+
 # ------------------------------------------------ the reference's main path
 
 _GROUPS = "(SELECT lang, count(*) AS n FROM documents WHERE lang IS NOT NULL GROUP BY lang)"
