@@ -347,6 +347,59 @@ def test_randomness_battery():
     assert secrets.infer_encoding("abcdefghijklmnopqrst") is None and secrets.infer_encoding("12345678901234567890") is None
 
 
+def plain_counts(texts):
+    symbols, pairs = collections.Counter(), collections.Counter()
+    for text in texts:
+        for m in re.finditer(r"[A-Za-z0-9+/_-]+", text):
+            if len(m[0]) < secrets.MIN_RUN:
+                symbols.update(m[0])
+                pairs.update(zip(m[0], m[0][1:]))
+    return symbols, pairs
+
+
+def test_symbol_counts_of_short_runs():
+    texts = ["ab", "ba cab-1", "", None, "é x/y", "a" * 19, "b" * 20, "end", "end " * 400_000, "z" * 3_000_000]
+    symbols, pairs = secrets.symbol_counts(pa.array(texts))
+    want, want_pairs = plain_counts([t or "" for t in texts])
+    assert {chr(i): int(n) for i, n in enumerate(symbols) if n} == dict(want)
+    assert {(chr(i), chr(j)): int(pairs[i, j]) for i, j in np.argwhere(pairs)} == dict(want_pairs)
+
+
+def test_battery_finds_every_alphabet_and_leaves_prose(spark, documents):
+    rng = np.random.default_rng(12)
+    prose = [r["text"] for r in documents.where("lang IS NOT NULL AND text IS NOT NULL").orderBy("doc_id").select("text").collect()]
+    words = [w for w in re.findall(r"[a-z]{6,}", " ".join(prose))]
+    glued = ["".join(rng.choice(words, 4)) + str(rng.integers(1000, 99999)) for _ in range(300)]
+    glued += [f"{w}20240{i:03d}0101123456789" for i, w in enumerate(rng.choice(words, 100))]
+    law = secrets.WrittenLaw(*secrets.symbol_counts(pa.array(prose)))
+    for name, alphabet in secrets.ALPHABETS.items():
+        for n in (20, 24, 40, 64):
+            keys = ["".join(rng.choice(list(alphabet), n)) for _ in range(60)]
+            found = [secrets.candidates(f"x {k} y", [], law) for k in keys]
+            strong = sum(any((s, e) == (2, 2 + n) and b >= 4 * secrets.BINS_PER_DECADE for s, e, _, b in f) for f in found)
+            # digits alone look like any other number, so only they stay below
+            assert strong >= 55 or name == "decimal", (name, n, strong)
+    bins = [b for w in glued for *_, b in secrets.candidates(w, [], law)]
+    assert len(bins) >= 300 and sum(b >= 4 * secrets.BINS_PER_DECADE for b in bins) <= 4
+    rows = [data.row(10_000 + i, w) for i, w in enumerate(glued)] + [data.row(i, t) for i, t in enumerate(prose)]
+    planted = {20_000 + i: "".join(rng.choice(list(secrets.ALPHABETS[k]), 32)) for i, k in enumerate(["HEX", "base32", "letters", "BASE36", "base64"] * 12)}
+    rows += [data.row(i, f"the value {k} was written down") for i, k in planted.items()]
+    out = {r["doc_id"]: r["n_random"] for r in secrets.secret_digest(data.frame(spark, rows)).collect()}
+    assert sum(out[i] for i in planted) >= 57 and sum(n for i, n in out.items() if i not in planted) <= 1
+
+
+def test_runs_around_base_spans_and_pieces():
+    rng = np.random.default_rng(3)
+    key = "".join(rng.choice(list(secrets.ALPHABETS["BASE36"]), 30))
+    law = secrets.WrittenLaw(*secrets.symbol_counts(pa.array(["Some short words stand here."])))
+    text = f"{'0123456789abcdef' * 2}/{key} a+b-c/{key}"
+    base = secrets.base_spans(text)
+    assert [text[s:e] for s, e in secrets.open_runs(text, base)] == ["/" + key, "a+b-c/" + key]
+    # the second run fits no encoding, so its long piece is tested
+    spans = [text[s:e] for s, e, _, b in secrets.candidates(text, base, law) if b > secrets.UNFIT]
+    assert spans[-1] == key and len(spans) == 2
+
+
 def test_discovery_rate_is_length_aware():
     histogram = [("base62:20", 0, 1000), ("base62:20", 4, 10), ("base62:64", 0, 5), ("base62:64", 24, 50)]
     assert secrets.discovery_bins(histogram, 0.01) == {"base62:64": 24}

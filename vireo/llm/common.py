@@ -128,7 +128,7 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0]:off[-1]], off - off[0]
 
 
-def _cuts(raw: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+def text_cuts(raw: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
     """Slices of about ``size`` bytes that end at white space (a longer word extends its slice)."""
     at, n = 0, len(raw)
     while at < n:
@@ -157,7 +157,7 @@ def word_hashes(column: pa.Array, lower: bool = False, prefixes: tuple[int, ...]
     texts = len(off) - 1
     edge = np.zeros(len(raw) + 1, dtype=bool)
     edge[off] = True
-    for lo, hi in _cuts(raw, SLICE_BYTES):
+    for lo, hi in text_cuts(raw, SLICE_BYTES):
         part = raw[lo:hi]
         white = _IS_SPACE[part]
         first = ~white
@@ -193,7 +193,7 @@ def word_counts(column: pa.Array) -> np.ndarray:
     edge = np.zeros(len(raw) + 1, dtype=bool)
     edge[off] = True
     starts = [np.zeros(0, np.int64)]
-    for lo, hi in _cuts(raw, SLICE_BYTES):
+    for lo, hi in text_cuts(raw, SLICE_BYTES):
         white = _IS_SPACE[raw[lo:hi]]
         first = ~white
         first[1:] &= white[:-1] | edge[lo + 1:hi]
