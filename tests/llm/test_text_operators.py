@@ -296,6 +296,36 @@ def test_expected_counts_equal_enumeration():
     assert np.allclose(start, s2, atol=1e-5) and np.allclose(move, m2, atol=1e-5) and np.allclose(emit, e2, atol=1e-5) and likelihood == pytest.approx(l2, abs=1e-4)
 
 
+def test_language_model_ignores_the_split(spark, documents):
+    docs = documents.select("doc_id", "text")
+    score = lambda d: {r["doc_id"]: r["score"] for r in hmm.language_model_scores(d, rounds=2).collect()}
+    one, other = score(docs.coalesce(1)), score(docs.repartition(7, "doc_id"))
+    assert one.keys() == other.keys()
+    assert np.allclose([one[i] for i in one], [other[i] for i in one], rtol=1e-4)
+
+
+def test_start_parts_short_texts(spark):
+    """Texts of a few tokens in two vocabularies: no length is too short for the start, and every token counts once."""
+    rng = np.random.default_rng(8)
+    words = [[f"{p}{i}" for i in range(30)] for p in ("red", "blue")]
+    texts = [" ".join(rng.choice(words[i % 2], 12)) for i in range(400)]
+    chunks = hmm.chunked(data.frame(spark, [data.row(i, t) for i, t in enumerate(texts)]), "doc_id", "text", hmm.HELD_OUT)
+    totals = hmm.counted(chunks)
+    lex = hmm.lexicon(chunks, totals)
+    model = hmm.starting_model(hmm.classed(chunks, totals, lex), lex, 2)
+    training = [i for i in range(400) if zlib.crc32(str(i).encode()) % 7 != 2]
+    sizes = [13 * sum(i % 2 == side for i in training) for side in (0, 1)]
+    assert lex.tokens == 13 * len(training)
+    # a group's mass on its end class is its number of texts, up to the prior
+    overall = lex.class_total / lex.class_total.sum()
+    end = int(np.argmax(lex.class_total))
+    want = sorted((s / 13 + hmm.EMISSION_PRIOR * overall[end]) / (s + hmm.EMISSION_PRIOR) for s in sizes)
+    assert np.allclose(sorted(model.emit[:, end]), want, atol=1e-3)
+    # each vocabulary belongs to one state: most classes are emitted by one state or the other, not both
+    ratio = np.abs(np.log(model.emit[0, 1 + hmm.SUFFIX_CLASSES:] / model.emit[1, 1 + hmm.SUFFIX_CLASSES:]))
+    assert np.mean(ratio > 1) > 0.9
+
+
 # ------------------------------------------------------------------ op 7
 
 def plain_base(text):

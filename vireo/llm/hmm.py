@@ -17,7 +17,7 @@ stay a distributed table.
 
 Training covers all texts whose crc32 remainder isn't the held-out one, whole; they are read in
 segments of ``SEGMENT`` tokens, with one start distribution for text starts and one for the rest.
-Only the starting point of Baum-Welch uses a bounded sample (``SEED_TEXTS`` texts).
+Baum-Welch starts from all training segments too, parted along the principal axes of their class shares.
 
 Defined cases: null text is empty (its one token is the end); a null id counts as an empty text
 in the crc32; repeated rows are scored alike and each counts; an empty table gives an empty
@@ -42,7 +42,8 @@ OWN_CLASSES, SUFFIX_CLASSES = 4096, 1024
 CHUNK_BYTES, BATCH_TOKENS = 16 << 20, 1 << 19
 #: Weight, in tokens, of the overall class distribution in every state's emissions, and of the uniform one in transitions.
 EMISSION_PRIOR, TRANSITION_PRIOR = 50.0, 1.0
-SEED_TEXTS, SEED_TOKENS = 96, 2000
+#: Random directions in which segments are compared for the start, and the tokens' weight of staying in a state there.
+DIRECTIONS, STAY = 32, 20.0
 HELD_OUT = (7, 2)
 RARE = 0
 _END = np.uint64(0x9E6C63D0676A9A99)
@@ -324,36 +325,69 @@ def estimate(start: np.ndarray, move: np.ndarray, emit: np.ndarray, lex: Lexicon
                  grown / grown.sum(axis=1, keepdims=True))
 
 
-def starting_model(ready: DataFrame, lex: Lexicon, states: int = STATES) -> Model:
-    """States seeded by texts that differ: farthest-first over a bounded sample of training texts' class histograms."""
+def _pieces(classes: np.ndarray, lengths: np.ndarray, size: int = SEGMENT) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(tokens' classes, first tokens of segments) in the order of the text, in batches of whole segments."""
+    per = -(-lengths // size)
+    nth = np.arange(int(per.sum())) - np.repeat(np.cumsum(per) - per, per)
+    first = np.repeat(np.cumsum(lengths) - lengths, per) + nth * size
+    rows = max(1, BATCH_TOKENS // size // 8)
+    for lo in range(0, len(first), rows):
+        end = first[lo + rows] if lo + rows < len(first) else len(classes)
+        yield classes[first[lo]:end], first[lo:lo + rows] - first[lo]
 
-    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []
-        for batch in batches:
-            for i in range(batch.num_rows):
-                classes, lengths = _training(batch, i)
-                starts = np.cumsum(lengths) - lengths
-                for j in np.flatnonzero(lengths >= 64)[:SEED_TEXTS]:
-                    text = classes[starts[j]:starts[j] + min(int(lengths[j]), SEED_TOKENS)]
-                    held.append((crc_remainder(f"{batch.column('chunk')[i].as_py()}:{j}", 1 << 32), text.tobytes()))
-                held = sorted(held)[:SEED_TEXTS]
-        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in held], pa.int64()), pa.array([x for _, x in held], pa.binary())], ["rank", "classes"])
-
-    rows = ready.select("chunk", "held", "lengths", "classes").mapInArrow(sample, "rank long, classes binary").orderBy("rank", "classes").limit(SEED_TEXTS).collect()
-    c = lex.classes
-    uniform = np.zeros((2, states)), np.eye(states) * 20, np.zeros((states, c))
-    if not rows:
-        return estimate(*uniform, lex)
-    seen = np.stack([np.bincount(np.frombuffer(r["classes"], np.uint16), minlength=c) for r in rows]).astype(np.float64)
-    shape = np.sqrt(seen / seen.sum(axis=1, keepdims=True))
-    chosen, far = [0], 1 - shape @ shape[0]
-    while len(chosen) < min(states, len(rows)):
-        chosen.append(int(np.argmax(far)))
-        far = np.minimum(far, 1 - shape @ shape[chosen[-1]])
-    # every sampled text joins its nearest seed, so a seed is more than one text
-    near = np.argmax(shape @ shape[chosen].T, axis=1)
-    emit = np.stack([seen[near == s].sum(axis=0) if s < len(chosen) else np.zeros(c) for s in range(states)])
-    return estimate(uniform[0], uniform[1], emit, lex)
+
+def _places(classes: np.ndarray, first: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    """Each segment's mean of its tokens' rows of ``spread``."""
+    return np.add.reduceat(spread[classes], first).astype(np.float64) / np.diff(np.append(first, len(classes)))[:, None]
+
+
+def class_directions(lex: Lexicon, size: int = DIRECTIONS) -> np.ndarray:
+    """A fixed row of signs for each class, over the fourth root of the class's share, so that frequent classes don't outweigh the rest."""
+    signs = np.where(np.random.default_rng(1).random((lex.classes, size)) < 0.5, -1.0, 1.0)
+    share = np.maximum(lex.class_total, 1.0) / max(lex.class_total.sum(), 1.0)
+    return (signs / share[:, None] ** 0.25).astype(np.float32)
+
+
+def starting_model(ready: DataFrame, lex: Lexicon, states: int = STATES) -> Model:
+    """States seeded by all training segments: they fall apart along the main axes of their class shares.
+
+    One pass sums the moments of all segments' places (``class_directions``), the signs along the first
+    log2(``states``) principal axes give a segment its state, and a second pass sums the states' class counts.
+    Segments don't cross texts, so chunks and partitions have no say in the result.
+    """
+    spread, c = class_directions(lex), lex.classes
+    size, bits = spread.shape[1], (states - 1).bit_length()
+
+    def gathered(each, width: int) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(width)
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    for classes, first in _pieces(*_training(batch, i)):
+                        total += each(classes, first)
+            yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], ["v"])
+
+        return _summed(ready.select("held", "lengths", "classes").mapInArrow(run, "v array<double>"), width)
+
+    def moments(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
+        at = _places(classes, first, spread)
+        return np.concatenate([[len(at)], at.sum(axis=0), (at.T @ at).ravel()])
+
+    found = gathered(moments, 1 + size + size * size)
+    n = max(found[0], 1.0)
+    mean = found[1:1 + size] / n
+    # the largest variances come last; an axis points to its largest component
+    axes = np.linalg.eigh(found[1 + size:].reshape(size, size) / n - np.outer(mean, mean))[1][:, ::-1][:, :bits]
+    axes = axes * np.sign(axes[np.abs(axes).argmax(axis=0), np.arange(bits)])
+
+    def counts(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
+        side = (_places(classes, first, spread) - mean) @ axes > 0
+        state = (side @ (1 << np.arange(bits))) % states
+        token = np.repeat(state, np.diff(np.append(first, len(classes))))
+        return np.bincount(token * c + classes, minlength=states * c)
+
+    emit = gathered(counts, states * c).reshape(states, c)
+    return estimate(np.zeros((2, states)), np.eye(states) * STAY, emit, lex)
 
 
 def fit(ready: DataFrame, lex: Lexicon, states: int = STATES, rounds: int = ROUNDS) -> tuple[Model, list[float]]:
