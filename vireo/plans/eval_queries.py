@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from vireo.functions.hashing import poisson1_cdf
 from vireo.operators import evaluation as ev
 from vireo.operators import scaling as sc
+from vireo.operators.difference import table_difference
 from vireo.operators.joins import materialize
-from vireo.plans.registry import SCORED_SQL, query, scored_labels
+from vireo.plans.registry import SCORED_SQL, query, scored_labels, table
 from vireo.plans.sqlbits import rnd, stream_columns, u32, u64, unit
 
 
@@ -217,3 +218,25 @@ _SIZES = [0.25, 0.5, 0.75, 1.0]
     f"{rnd(auc_sql('(SELECT * FROM ' + SCORED_SQL + ' WHERE ' + unit(u32('doc_id')) + f' < {f!r})'))} AS auc" for f in _SIZES))
 def q_size_impact_auc(spark, sf):
     return sc.size_scores(scored_labels(spark, sf), "doc_id", _SIZES)
+
+
+# two prediction tables over all documents: by length, and by length and source, each leaving out its own rows without a value
+_RULE_A = "SELECT doc_id, CASE WHEN n_chars >= 600 THEN 1 ELSE 0 END AS prediction, round(n_chars / 1000.0, 3) AS score FROM documents WHERE lang <> 'de'"
+_RULE_B = """SELECT doc_id, CASE WHEN n_chars >= 900 OR lang = 'fr' THEN 1 ELSE 0 END AS prediction, round(n_chars / 1000.0, 3) AS score
+FROM documents WHERE lang <> 'es'"""
+
+
+@query("table_difference", f"""
+WITH a AS ({_RULE_A}), b AS ({_RULE_B})
+SELECT coalesce(a.doc_id, b.doc_id) AS doc_id,
+       CASE WHEN a.doc_id IS NULL THEN 'added' WHEN b.doc_id IS NULL THEN 'removed' ELSE 'changed' END AS status,
+       CAST(CASE WHEN a.doc_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS rows_a, CAST(CASE WHEN b.doc_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS rows_b
+FROM a FULL JOIN b ON a.doc_id = b.doc_id
+WHERE a.doc_id IS NULL OR b.doc_id IS NULL OR a.prediction <> b.prediction OR a.score <> b.score""")
+def q_table_difference(spark, sf):
+    """Added, removed and changed rows of two prediction tables."""
+    d = table(spark, sf, "documents")
+    score = F.round(F.col("n_chars") / 1000.0, 3).alias("score")
+    a = d.where("lang <> 'de'").select("doc_id", F.when(F.col("n_chars") >= 600, 1).otherwise(0).alias("prediction"), score)
+    b = d.where("lang <> 'es'").select("doc_id", F.when((F.col("n_chars") >= 900) | (F.col("lang") == "fr"), 1).otherwise(0).alias("prediction"), score)
+    return table_difference(a, b, ["doc_id"])

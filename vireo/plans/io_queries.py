@@ -43,6 +43,14 @@ def q_csv_lines(spark, sf):
     return files.read_csv_lines(spark, path, DOC_SCHEMA, bad="drop")
 
 
+@query("csv_lines_flat", r"SELECT doc_id, regexp_replace(text, '[\n\r]', ' ', 'g') AS text, lang, source, n_chars FROM documents")
+def q_csv_lines_flat(spark, sf):
+    """Single-line reading of texts without line ends: every record comes back whole."""
+    path = _fresh(spark, "documents-csv-flat")
+    files.write_csv(table(spark, sf, "documents").withColumn("text", F.regexp_replace("text", r"[\n\r]", " ")), path)
+    return files.read_csv_lines(spark, path, DOC_SCHEMA, bad="drop")
+
+
 @query("csv_inferred", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def q_csv_inferred(spark, sf):
     path = _fresh(spark, "documents-csv-infer")
