@@ -62,3 +62,16 @@ def test_all_null_text(spark):
     assert all(r["char_count"] == 0.0 and r["word_count"] == 1.0 for r in out)
     with pytest.raises(ValueError):
         text_features(df, "text", None, "nope")
+
+
+def test_class_profile_of_many_classes_is_long(spark, monkeypatch):
+    from vireo.operators import profile
+
+    monkeypatch.setattr(profile, "MAX_CLASSES", 3)
+    rows = spark.createDataFrame([(i % 5, float(i), None if i == 3 else 2.0 * i) for i in range(20)] + [(None, 99.0, 1.0)], "y int, a double, b double")
+    got = {(r["y"], r["feature"]): r["mean"] for r in profile.class_profile(rows, "y", ["a", "b"]).collect()}
+    mean = lambda v: round(sum(v) / len(v), 6)
+    want = {(y, "a"): mean(range(y, 20, 5)) for y in range(5)} | {(y, "b"): mean([2.0 * i for i in range(y, 20, 5) if i != 3]) for y in range(5)}
+    assert got == want
+    assert profile.class_profile(rows.where("y < 3"), "y", ["a"]).columns == ["feature", "mean_0", "mean_1", "mean_2", "diff"]
+    assert profile.class_profile_long(rows.limit(0), "y", ["a"]).count() == 0

@@ -241,15 +241,31 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
                            for a, b in pairs])
 
 
+def _class_means(df: DataFrame, label: str, cols: list[str]) -> DataFrame:
+    return df.where(F.col(label).isNotNull()).groupBy(label).agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols])
+
+
+def _long_means(per_class: DataFrame, label: str, cols: list[str]) -> DataFrame:
+    return per_class.unpivot([label], cols, "feature", "mean").select(label, "feature", F.round("mean", ROUND).alias("mean"))
+
+
+def class_profile_long(df: DataFrame, label: str, cols: list[str]) -> DataFrame:
+    """B12 for any number of classes: ``(label, feature, mean)``, one row per class and feature, from one grouped pass."""
+    return _long_means(_class_means(df, label, cols), label, cols)
+
+
 def class_profile(df: DataFrame, label: str, cols: list[str], classes: tuple | None = None) -> DataFrame:
     """``(feature, mean_<c>..., diff)`` -- mean per class and the
     difference last minus first.  One grouped pass; the unpivot/pivot act on
     the tiny per-class table.  The classes are those of the data, in order (rows
-    without a class are left out); given ``classes`` must cover them."""
-    per_class = materialize(df.where(F.col(label).isNotNull()).groupBy(label).agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]))
+    without a class are left out); given ``classes`` must cover them.  Above ``MAX_CLASSES``
+    classes a column per class is no use: the result is that of ``class_profile_long``."""
+    per_class = materialize(_class_means(df, label, cols))
     found = [r[0] for r in per_class.select(label).orderBy(label).limit(MAX_CLASSES + 1).collect()]
+    if len(found) > MAX_CLASSES and classes is None:
+        return _long_means(per_class, label, cols)
     if len(found) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes: a column per class is no use")
+        raise ValueError(f"{label} has classes outside the {len(classes)} that were given")
     if classes is None:
         classes = tuple(found)
     elif not set(found) <= set(classes):

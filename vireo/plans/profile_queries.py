@@ -345,3 +345,15 @@ t AS (SELECT CAST(quantile_disc(n, 0.8) AS DOUBLE) AS thr FROM g)
 SELECT user_id, n, thr AS threshold, CAST(n >= thr AS INTEGER) AS is_active FROM g, t WHERE n >= thr""")
 def q_active_groups(spark, sf):
     return label.active_groups(table(spark, sf, "events"), "user_id", 0.8, "element", active=True)
+
+
+# whole cents and per cents, whose sums don't depend on their order
+_PART_MEANS = {"quantity": "l_quantity", "price_cents": "l_extendedprice * 100", "discount_pct": "l_discount * 100"}
+
+
+@query("class_profile_long", "\nUNION ALL\n".join(
+    f"SELECT l_partkey, '{c}' AS feature, {rnd(f'avg(CAST(round({e}) AS BIGINT))')} AS mean FROM lineitem GROUP BY l_partkey" for c, e in _PART_MEANS.items()))
+def q_class_profile_long(spark, sf):
+    """Means per part: as many classes as there are parts, so one row each instead of one column."""
+    lines = table(spark, sf, "lineitem").select("l_partkey", *[F.expr(f"CAST(round({e}) AS BIGINT)").alias(c) for c, e in _PART_MEANS.items()])
+    return profile.class_profile_long(lines, "l_partkey", list(_PART_MEANS))
