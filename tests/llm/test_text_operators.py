@@ -479,25 +479,62 @@ def test_labelled_sample_is_bounded_in_rows(spark, documents, labels):
 
 # ------------------------------------------------------------------ op 10
 
-def test_targets_are_reshared():
-    sizes, weights = np.array([100.0, 1000, 10, 0, 500]), np.array([5.0, 2, 1, 5, 2])
-    t = mixing.targets(sizes, weights)
+def brute_targets(sizes, weights, share=1.5, most=2.0):
+    """The reshare rule told plainly: whoever is above its cap gets its cap, the rest share what is left, until none is above."""
+    out, free = {}, set(range(len(sizes)))
+    while free:
+        left = share * sum(sizes) - sum(out.values())
+        fair = {i: left * weights[i] / sum(weights[j] for j in free) for i in free}
+        over = {i for i in free if fair[i] > most * sizes[i]}
+        out |= {i: most * sizes[i] for i in over} if over else fair
+        free = free - over if over else set()
+    return [out[i] for i in range(len(sizes))]
+
+
+def sized_rows(spark, sizes):
+    return spark.createDataFrame([(i, i, s, n) for i, (s, n) in enumerate(sizes)], "row long, id long, source string, size long")
+
+
+def test_targets_are_reshared(spark):
+    sizes, weights = [100, 1000, 10, 0, 500], [5.0, 2, 1, 5, 2]
+    found = sorted(mixing.source_table(sized_rows(spark, zip([*"abcd", None], sizes))).collect(), key=lambda r: r["source_id"])
+    assert [(r["key"], r["weight"]) for r in found] == [*zip(["=a", "=b", "=c", "=d", ""], weights)]
+    t = np.array([r["target"] for r in found])
+    sizes, weights = np.array(sizes), np.array(weights)
+    assert t == pytest.approx(brute_targets(sizes, weights))
     assert t.sum() == pytest.approx(1.5 * sizes.sum()) and (t <= 2 * sizes + 1e-9).all()
     free = t < 2 * sizes - 1e-9
     assert np.allclose((t / weights)[free], (t / weights)[free][0])
 
 
+def test_many_sources_under_any_partitioning(spark):
+    """As many sources as rows: ranks by code point, targets as the plain rule gives them, slots dealt whole."""
+    rng = np.random.default_rng(3)
+    names = sorted({f"s{x}" for x in rng.integers(0, 10 ** 9, 3000)} | {"\U0001f600", "\uffee", ""})
+    sizes = [int(x) for x in rng.pareto(1.0, len(names)) * 40]
+    rows = sized_rows(spark, zip(names, sizes))
+    found = sorted(mixing.source_table(rows).collect(), key=lambda r: r["source_id"])
+    again = sorted(mixing.source_table(rows.repartition(7, "size")).collect(), key=lambda r: r["source_id"])
+    assert found == again and [r["key"] for r in found] == ["=" + n for n in names]
+    assert [r["target"] for r in found] == pytest.approx(brute_targets(sizes, np.resize([5.0, 2, 1], len(sizes)).tolist()))
+    table = mixing.source_table(rows)
+    slots = mixing.slot_table(table, shard_slots=500).toPandas()
+    assert slots.groupby("source_id").size().to_dict() == {r["source_id"]: r["slots"] for r in found if r["slots"]}
+    assert slots.groupby(["source_id", "pass"]).block.nunique().sum() == len(slots)  # a pass holds a block once
+    per_shard = slots.groupby("shard").size()
+    assert len(per_shard) == -(-len(slots) // 500) and (abs(per_shard - 500) < 6 * 500 ** 0.5).all()
+    again = mixing.slot_table(table, shard_slots=500).toPandas()
+    order = ["shard", "source_id", "pass", "block"]
+    assert again.sort_values(order).to_numpy().tolist() == slots.sort_values(order).to_numpy().tolist()
+
+
 def test_permutation_and_shards():
     for n in (1, 2, 3, 17, 1000):
         i = np.arange(n)
         assert sorted(mixing.permute(i, np.full(n, n), np.full(n, 99)).tolist()) == i.tolist()
-    slots = np.array([5, 0, 100_000, 77])
-    draws = [mixing.shard_draw(slots, s, 13) for s in range(13)]
-    assert (sum(c for _, c in draws) == slots).all()
-    at = np.zeros(4, dtype=np.int64)
-    for first, count in draws:
-        assert (first == at).all()
-        at += count
+    for slots in (5, 0, 100_000, 77):
+        first, count = mixing.deal(slots, np.ones(13), [1, 2, 3])
+        assert count.sum() == slots and first.tolist() == [0, *np.cumsum(count)[:-1]]
 
 
 def test_mixing(spark, edges, nothing, documents):

@@ -3,10 +3,10 @@
 Each source's words form one stream, cut into blocks of ``BLOCK`` words.  The
 weights share a budget of words; no source goes above ``MOST`` times its size
 (the excess is reshared).  A source's target becomes a number of block slots.
-The slots are dealt to output shards by multinomial draws: halving the shard
-range again and again, every source splits its slots by a binomial draw seeded
-by the range, so each shard computes its own draw alone, the draws add up to the
-source's slots exactly, and a rerun gives the same mix.  Slot i of a source holds
+Every source deals its slots to the output shards by
+multinomial draws, first to groups of shards, then inside each group to its shards, seeded by
+the source and the group, so the draws add up to the source's slots exactly, no task needs to know
+all sources, and a rerun gives the same mix.  Slot i of a source holds
 block perm(i mod blocks), where perm is a keyed pseudorandom permutation of
 the source's block indices (a Feistel network with cycle walking); slots and
 blocks are then joined by (source, block).  As slots are at most ``MOST`` times
@@ -16,8 +16,9 @@ Order inside a stream: hash chunks of ids, then id; running sums inside a chunk,
 and a window over the chunks' totals, give every document its first word, so a
 source that holds a third of all rows is spread over many tasks.
 
-The list of sources must fit a task (each shard draws a vector over all
-sources): above ``MAX_SOURCES`` the operator raises.
+The table of sources stays distributed, however many there are: sources are ranked over range
+partitions, and the level of the budget per unit of weight is found from sums per weight class.
+Rows meet their source's row by a size-checked join that takes hot sources apart.
 
 Defined cases: null text is empty and has size 0; the null source is a source of
 its own, ranked last; sources without words have target 0; repeated rows are rows
@@ -27,6 +28,7 @@ only the named ones are read.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -36,14 +38,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vireo.llm.common import WORD, mix64, stored, word_counts
+from vireo.llm.common import WORD, byte_slices, mix64, stored, word_counts
+from vireo.operators.cumulative import below_sums, row_numbers
+from vireo.operators.joins import join_group_table
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE, MOST = 1.5, 2.0
 BLOCK = 64
 SHARD_SLOTS = 65_536
 CHUNK_DOCS = 4096
-MAX_SOURCES = 1_000_000
 SEED = 11
 _WORD = re.compile(WORD)
 
@@ -61,52 +64,46 @@ def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, with_tex
     return stored(counted.withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
 
 
-def targets(sizes: np.ndarray, weights: np.ndarray, share: float = SHARE, most: float = MOST) -> np.ndarray:
-    """Words per source: ``share`` of all words by weight, at most ``most`` times a source's size, excess reshared."""
-    sizes = np.asarray(sizes, dtype=np.float64)
-    top = most * sizes
-    out = np.zeros(len(sizes))
-    free = np.ones(len(sizes), dtype=bool)
-    budget = share * sizes.sum()
-    while free.any():
-        fair = (budget - top[~free].sum()) * weights / weights[free].sum()
-        over = free & (fair > top)
-        if not over.any():
-            out[free] = fair[free]
-            break
-        free &= ~over
-    out[~free] = top[~free]
-    return np.minimum(out, top)
-
-
-def source_table(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, block: int = BLOCK) -> pd.DataFrame:
-    """Per source, by code point with null last: size, weight, target, blocks and slots."""
-    found = rows.groupBy("source").agg(F.sum("size").alias("size")).limit(MAX_SOURCES + 1).toPandas()
-    if len(found) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources: a shard's draw over all sources would not fit a task")
-    found["order"] = [(s is None, s or "") for s in found["source"]]
-    found = found.sort_values("order").drop(columns="order").reset_index(drop=True)
-    size = found["size"].to_numpy(np.float64)
-    found["weight"] = np.resize(np.asarray(weights, dtype=np.float64), len(found))
-    found["target"] = targets(size, found["weight"].to_numpy(), share, most) if len(found) else []
-    found["blocks"] = -(-found["size"].astype("int64") // block)
-    fill = size / np.maximum(found["blocks"], 1)
-    found["slots"] = np.minimum(np.rint(found["target"] / np.maximum(fill, 1e-9)), np.floor(most * found["blocks"])).astype("int64")
-    return found
-
-
-def shard_draw(slots: np.ndarray, shard: int, shards: int, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
-    """(first slot, number of slots) per source that one shard gets."""
-    first, count = np.zeros(len(slots), dtype=np.int64), slots.astype(np.int64)
-    lo, hi = 0, shards
-    while hi - lo > 1:
-        mid = (lo + hi) // 2
-        left = np.random.Generator(np.random.Philox([seed, lo * (1 << 32) ^ hi])).binomial(count, (mid - lo) / (hi - lo))
-        if shard < mid:
-            count, hi = left, mid
-        else:
-            first, count, lo = first + left, count - left, mid
-    return first, count
+def level(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> float:
+    """Words per unit of weight: sources get level x weight, at most ``most`` times their size, together ``share`` of all words.
+
+    Starting from no capped source the level only rises, and a source that is above its cap once stays so.
+    Each step is one pass over the table; sizes and counts are whole numbers, so the level doesn't depend on the partitioning.
+    """
+    total = sources.agg(F.sum("size")).first()[0] or 0
+    found, capped = 0.0, -1
+    while True:
+        over = F.lit(found) * F.col("weight") > F.lit(most) * F.col("size")
+        free = [F.count_if(~over & (F.col("class") == i)) for i in range(len(weights))]
+        capped_now, words, *counts = sources.agg(F.count_if(over), F.coalesce(F.sum(F.when(over, F.col("size"))), F.lit(0)), *free).first()
+        weight = sum(w * n for w, n in zip(weights, counts))
+        if capped_now == capped or not weight:
+            return found
+        found, capped = (share * total - most * words) / weight, capped_now
+
+
+def source_table(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, block: int = BLOCK) -> DataFrame:
+    """Stored, one row per source: key, source_id (rank by code point, null last), rows, size, weight, target, blocks and slots."""
+    found = rows.groupBy("source").agg(F.count("*").alias("rows"), F.sum("size").alias("size"))
+    ranked = row_numbers(found, [F.col("source").isNull(), F.col("source")], "rank")
+    listed = stored(ranked.select(_key(), (F.col("rank") - 1).cast("long").alias("source_id"), "rows", "size",
+                                  ((F.col("rank") - 1) % len(weights)).cast("int").alias("class"))
+                    .withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.col("class") + 1)), "mix-source-sizes")
+    target = F.least(F.lit(level(listed, weights, share, most)) * F.col("weight"), F.lit(most) * F.col("size"))
+    sized_ = listed.withColumn("target", target).withColumn("blocks", F.ceil(F.col("size") / F.lit(block)).cast("long"))
+    slots = F.when(F.col("size") > 0, F.least(F.rint(F.col("target") / (F.col("size") / F.col("blocks"))), F.floor(F.lit(most) * F.col("blocks")))).otherwise(0)
+    return stored(sized_.withColumn("slots", slots.cast("long")), "mix-sources")
+
+
+def _key():
+    """The source as a join key: null is a key of its own."""
+    return F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("key")
+
+
+def deal(count: int, sizes: np.ndarray, seed: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(first, number) of ``count`` things that each part gets, drawn in proportion to ``sizes``."""
+    drawn = np.random.Generator(np.random.Philox(np.random.SeedSequence(seed))).multinomial(count, sizes / sizes.sum())
+    return np.cumsum(drawn) - drawn, drawn
 
 
 def permute(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -126,36 +123,64 @@ def permute(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def slot_table(spark, sources: pd.DataFrame, seed: int = SEED, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+def slot_table(sources: DataFrame, seed: int = SEED, shard_slots: int = SHARD_SLOTS) -> DataFrame:
     """The mix as block references: shard, source_id, block, pass (how often the source was gone through before)."""
-    slots, blocks = sources["slots"].to_numpy(np.int64), sources["blocks"].to_numpy(np.int64)
-    shards = max(1, -(-int(slots.sum()) // shard_slots))
-
-    def draw(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    shards = max(1, -(-(sources.agg(F.sum("slots")).first()[0] or 0) // shard_slots))
+    per = math.isqrt(shards - 1) + 1
+    groups = np.diff(np.append(np.arange(0, shards, per), shards))
+    tasks = min(shards, 10_000)
+
+    def dealt(step: int, frame: pd.DataFrame) -> pd.DataFrame:
+        """Each row's slots [first, first + count) dealt on: to groups of shards, then inside its group to shards."""
+        parts = []
+        for source, blocks, at, first, count in frame.itertuples(index=False):
+            begin, drawn = deal(count, groups if step == 0 else np.ones(groups[at]), [seed, step, source, at])
+            some = np.flatnonzero(drawn)
+            parts.append(pd.DataFrame({"source_id": source, "blocks": blocks, "at": some + (at * per if step else 0), "first": first + begin[some], "count": drawn[some]}))
+            if sum(map(len, parts)) >= 65_536 or len(parts) >= 1024:
+                yield pd.concat(parts)
+                parts = []
+        if parts:
+            yield pd.concat(parts)
+
+    def to_groups(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for shard in frame["id"]:
-                first, count = shard_draw(slots, int(shard), shards, seed)
-                source = np.repeat(np.arange(len(slots)), count)
-                nth = np.arange(len(source)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
-                size = blocks[source]
-                block = permute(nth % size, size, mix64(source.astype(np.uint64) + np.uint64(seed << 32))) if len(source) else nth
-                yield pd.DataFrame({"shard": int(shard), "source_id": source.astype(np.int32), "block": block, "pass": (nth // np.maximum(size, 1)).astype(np.int32)})
-
-    return spark.range(0, shards, 1, min(shards, 10_000)).mapInPandas(draw, "shard long, source_id int, block long, pass int")
+            yield from dealt(0, frame)
 
+    def to_shards(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield from dealt(1, frame)
 
-def placed_blocks(rows: DataFrame, sources: pd.DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    def to_blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            lo = 0
+            while lo < len(frame):
+                # rows with about a shard's slots at a time
+                hi = lo + max(1, int(np.searchsorted(np.cumsum(frame["count"].to_numpy()[lo:]), shard_slots, "right")))
+                part = frame.iloc[lo:hi]
+                count = part["count"].to_numpy()
+                source, size = np.repeat(part["source_id"].to_numpy(), count), np.repeat(part["blocks"].to_numpy(), count)
+                nth = np.arange(len(source)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(part["first"].to_numpy(), count)
+                block = permute(nth % size, size, mix64(source.astype(np.uint64) + np.uint64(seed << 32)))
+                yield pd.DataFrame({"shard": np.repeat(part["at"].to_numpy(), count), "source_id": source, "block": block, "pass": (nth // size).astype(np.int32)})
+                lo = hi
+
+    row = "source_id long, blocks long, at long, first long, count long"
+    drawn = (sources.where("slots > 0").select("source_id", "blocks", F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("first"), F.col("slots").alias("count"))
+             .mapInPandas(to_groups, row).repartition(tasks, "source_id", "at").mapInPandas(to_shards, row))
+    return drawn.repartition(tasks, "at").mapInPandas(to_blocks, "shard long, source_id long, block long, pass int")
+
+
+def placed_blocks(rows: DataFrame, sources: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(rows with source_id and their first word in the source's stream, one row per (row, block) that they share)."""
-    spark = rows.sparkSession
-    listed = spark.createDataFrame([(i, s) for i, s in enumerate(sources["source"])], "source_id int, source string")
-    # one row per source: adaptive execution broadcasts the list where its size allows
-    known = rows.join(listed, rows["source"].eqNullSafe(listed["source"]), "left").drop("source") if len(sources) else rows.withColumn("source_id", F.lit(0)).drop("source")
-    chunks = max(1, -(-rows.count() // CHUNK_DOCS))
+    listed = sources.select("key", "source_id", "rows")
+    known = join_group_table(rows.withColumn("key", _key()), listed, ["key"], size_col="rows").drop("key", "source", "rows")
+    chunks = max(1, -(-(sources.agg(F.sum("rows")).first()[0] or 0) // CHUNK_DOCS))
     known = known.withColumn("chunk", F.pmod(F.xxhash64("id", "row"), F.lit(chunks)))
     inside = known.withColumn("inside", F.sum("size").over(Window.partitionBy("source_id", "chunk").orderBy("id", "row")) - F.col("size"))
     totals = known.groupBy("source_id", "chunk").agg(F.sum("size").alias("words"))
-    before = totals.withColumn("before", F.sum("words").over(Window.partitionBy("source_id").orderBy("chunk")) - F.col("words")).drop("words")
-    placed = inside.join(before, ["source_id", "chunk"]).withColumn("first", F.col("inside") + F.col("before")).drop("inside", "before", "chunk")
+    before = below_sums(totals, "chunk", ["words"], ["source_id"]).select("source_id", "chunk", "below_words")
+    placed = inside.join(before, ["source_id", "chunk"]).withColumn("first", F.col("inside") + F.col("below_words")).drop("inside", "below_words", "chunk")
     last = F.greatest(F.col("first") + F.col("size") - 1, F.col("first"))
     pieces = placed.withColumn("block", F.explode(F.sequence(F.floor(F.col("first") / block), F.floor(last / block))))
     begin = F.greatest(F.col("first"), F.col("block") * block)
@@ -164,14 +189,13 @@ def placed_blocks(rows: DataFrame, sources: pd.DataFrame, block: int = BLOCK) ->
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS,
-        share: float = SHARE, most: float = MOST, block: int = BLOCK, seed: int = SEED) -> tuple[DataFrame, DataFrame, pd.DataFrame]:
+        share: float = SHARE, most: float = MOST, block: int = BLOCK, seed: int = SEED) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(the mix: one row per slot and document in its block, all documents' blocks, the table of sources)."""
     rows = sized(docs, id_col, text_col, source_col)
     sources = source_table(rows, weights, share, most, block)
     _, pieces = placed_blocks(rows, sources, block)
-    slots = slot_table(docs.sparkSession, sources, seed)
-    # slots come from a small range of shards, so the planner must be told that they aren't few
-    return slots.hint("merge").join(pieces, ["source_id", "block"]), pieces, sources
+    # slots come from a small table of sources, so the planner must be told that they aren't few
+    return slot_table(sources, seed).hint("merge").join(pieces, ["source_id", "block"]), pieces, sources
 
 
 def mix_digest(docs: DataFrame) -> DataFrame:
@@ -179,12 +203,11 @@ def mix_digest(docs: DataFrame) -> DataFrame:
     rows = sized(docs, "doc_id", "text", "source")
     sources = source_table(rows)
     _, pieces = placed_blocks(rows, sources)
-    slots = slot_table(docs.sparkSession, sources)
-    times = slots.groupBy("source_id", "block").agg(F.count("*").alias("times"))
+    times = slot_table(sources).groupBy("source_id", "block").agg(F.count("*").alias("times"))
     taken = (pieces.join(times.hint("merge"), ["source_id", "block"], "left").groupBy("row", "source_id", "id", "size")
              .agg(F.sum(F.coalesce("times", F.lit(0)) * F.col("words")).alias("taken")))
-    facts = docs.sparkSession.createDataFrame([(i, int(r.size_), float(r.target)) for i, r in enumerate(sources.rename(columns={"size": "size_"}).itertuples())] or [(-1, 0, 0.0)], "source_id int, source_size long, target double")
-    return taken.join(facts, "source_id").select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+    facts = sources.select("source_id", F.col("size").alias("source_size"), "target", "rows")
+    return join_group_table(taken, facts, ["source_id"], size_col="rows").select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
 def _cut_words(text: str, ranges: list[tuple[int, int]]) -> str:
@@ -218,13 +241,17 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = kept.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.col("__mix_size").alias("size"), F.col("__mix_row").alias("row"))
     sources = source_table(rows, weights, share, most, block)
     _, pieces = placed_blocks(rows, sources, block)
-    slots = slot_table(docs.sparkSession, sources, seed)
-    taken = (slots.hint("merge").join(pieces.where("words > 0"), ["source_id", "block"]).groupBy(F.col("row").alias("__mix_row"), "pass")
+    taken = (slot_table(sources, seed).hint("merge").join(pieces.where("words > 0"), ["source_id", "block"]).groupBy(F.col("row").alias("__mix_row"), "pass")
              .agg(F.array_sort(F.collect_list(F.struct("from_word", "words"))).alias("__mix_ranges"), F.sum("words").alias("__mix_taken")))
 
-    @F.udf("string")
-    def cut(text, ranges):
-        return _cut_words(text, [(r["from_word"], r["words"]) for r in ranges])
-
-    text = F.when(F.col("__mix_taken") == F.col("__mix_size"), F.col(text_col)).otherwise(cut(F.col(text_col).cast("string"), F.col("__mix_ranges")))
-    return kept.join(taken.hint("merge"), "__mix_row").withColumn(text_col, text).select(*docs.columns)
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in byte_slices(whole, text_col):
+                texts, sizes, counts, ranges = (batch.column(batch.schema.get_field_index(c)) for c in (text_col, "__mix_size", "__mix_taken", "__mix_ranges"))
+                out = [t.as_py() if n == m else _cut_words(t.as_py(), [(r["from_word"], r["words"]) for r in some.as_py()])
+                       for t, n, m, some in zip(texts, sizes.to_pylist(), counts.to_pylist(), ranges)]
+                columns = [pa.array(out, pa.string()) if f.name == text_col else batch.column(batch.schema.get_field_index(f.name)) for f in schema.fields]
+                yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema.fields])
+
+    joined = kept.join(taken.hint("merge"), "__mix_row").withColumn(text_col, F.col(text_col).cast("string")).drop("__mix_row", "pass")
+    return joined.mapInArrow(cut, ", ".join(f"`{f.name}` {'string' if f.name == text_col else f.dataType.simpleString()}" for f in schema.fields))
