@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import data
 from vireo.llm import common, hmm, mixing, near_dup, ordinal, packing, secrets, zstd_quality
@@ -456,6 +457,8 @@ def test_quality_edges(spark, edges, nothing, documents, labels):
     model = zstd_quality.fit(documents, labels)
     scored = zstd_quality.score(edges, model, out_col="quality_score")
     assert scored.count() == edges.count() and scored.where("quality_score IS NULL OR quality_score NOT BETWEEN 0 AND 1").count() == 0
+    clash = zstd_quality.score(edges.withColumn("score", F.lit(7.0)), model)
+    assert clash.columns.count("score") == 1 and clash.where("score = 7").count() == 0
     assert zstd_quality.keep_good(nothing, model).count() == 0
     assert zstd_quality.keep_good(edges, model).columns == edges.columns
     for known in (data.frame(spark, [(5, 1, 1, "a"), (5, None, 1, None), (None, 0, 1, None)], data.LABELS), data.frame(spark, [], data.LABELS)):
@@ -477,6 +480,19 @@ def test_labelled_sample_is_bounded_in_rows(spark, documents, labels):
     assert sorted((r["id"], r["y"]) for r in common.one_text(rows, chosen, "doc_id", "text").collect()) == [(1, 0), (2, 1)]
 
 
+def test_dictionary_blocks_reach_into_whole_texts(spark, monkeypatch):
+    """What only the last block of a long text holds is learned, whatever the partitioning."""
+    monkeypatch.setattr(zstd_quality, "_dictionary", lambda blocks: b"|".join(blocks))
+    texts = [(i, ("word%d " % i) * 3000 + ("tail%d" % i)) for i in range(12)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    known = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, quality int")
+    a, b = zstd_quality.fit(docs, known), zstd_quality.fit(docs.repartition(5, "text"), known)
+    assert (a.good, a.bad) == (b.good, b.bad)
+    learned = (a.good + a.bad).decode()
+    used = [i for i in range(12) if f"word{i} " in learned]
+    assert used and all(f"tail{i}" in learned for i in used)
+
+
 # ------------------------------------------------------------------ op 10
 
 def brute_targets(sizes, weights, share=1.5, most=2.0):

@@ -8,16 +8,17 @@ normalised difference (bad - good) / plain and the plain ratio, both sums
 over all blocks, go through a logistic calibration fitted on labelled rows.
 
 What is fitted on a sample: the dictionaries, on at most ``SAMPLE_DOCS`` labelled
-texts of each class and at most ``SAMPLE_BLOCKS`` blocks of each; the
-calibration, on at most ``CALIBRATION_DOCS`` other labelled texts per class.
-Both samples go by a hash of the id; an id that repeats gives one text, that of
-the smallest digest.  Scoring covers every row's whole text.
+texts of each class; of the pooled blocks of their whole texts, equal ones counted
+once, the ``SAMPLE_BLOCKS`` of smallest hash (all, if fewer); the calibration, on at
+most ``CALIBRATION_DOCS`` other labelled texts per class.  Both samples of texts go by a hash of
+the id; an id that repeats gives one text, that of the smallest digest.
+Scoring covers every row's whole text.
 
 Defined cases: null text is empty; an empty text compresses to nothing and gets
 the calibrated score of a zero difference; where one class has no labelled text
 the score is the share of good labels (0.5 without labels); repeated labels of
 one id count as one (the smaller value); repeated rows are scored alike; extra
-columns are not read.
+columns are not read; ``score`` replaces a column that has the name of its result.
 """
 
 from __future__ import annotations
@@ -30,12 +31,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vireo.llm.common import id_remainder, one_text, text_buffers
+from vireo.llm.common import id_remainder, one_text, stored, text_buffers
 
 BLOCK = 2048
 LEVEL = 3
 DICTIONARY_BYTES = 96 << 10
-SAMPLE_DOCS, SAMPLE_BLOCKS, CALIBRATION_DOCS = 1200, 3, 1200
+SAMPLE_DOCS, SAMPLE_BLOCKS, CALIBRATION_DOCS = 1200, 8192, 1200
 ACCEPT = 0.7
 
 
@@ -124,24 +125,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # the ids are at most 2 x per_class rows, so their broadcast is bounded
     rows = one_text(docs, chosen, id_col, text_col)
 
-    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                text = (batch.column("text")[i].as_py() or "").encode()
-                pieces = [text[a:a + BLOCK] for a in range(0, len(text), BLOCK)]
-                # blocks spread over the whole text
-                picked = pieces if len(pieces) <= SAMPLE_BLOCKS else [pieces[(2 * j + 1) * len(pieces) // (2 * SAMPLE_BLOCKS)] for j in range(SAMPLE_BLOCKS)]
-                yield pa.RecordBatch.from_arrays([pa.array([batch.column("id")[i].as_py()], batch.schema.field("id").type), pa.array([batch.column("y")[i].as_py()], pa.int32()), pa.array([picked], pa.list_(pa.binary()))], ["id", "y", "blocks"])
-
-    id_type = docs.schema[id_col].dataType.simpleString()
-    learned = rows.where("dictionary").select("id", "text", F.col("y").cast("int").alias("y")).mapInArrow(sampled, f"id {id_type}, y int, blocks array<binary>")
-    blocks: dict[int, list[bytes]] = {0: [], 1: []}
-    seen: dict[int, set] = {0: set(), 1: set()}
-    for r in sorted(learned.collect(), key=lambda r: (str(r["id"]), r["blocks"])):
-        for b in map(bytes, r["blocks"]):
-            if b not in seen[r["y"]]:
-                seen[r["y"]].add(b)
-                blocks[r["y"]].append(b)
+            raw, off = text_buffers(batch.column("text"))
+            for y, lo, hi in zip(batch.column("y"), off[:-1], off[1:]):
+                for at in range(lo, hi, BLOCK * 1024):
+                    pieces = [raw[a:min(a + BLOCK, hi)].tobytes() for a in range(at, min(at + BLOCK * 1024, hi), BLOCK)]
+                    yield pa.RecordBatch.from_arrays([pa.array([y.as_py()] * len(pieces), pa.int32()), pa.array(pieces, pa.binary())], ["y", "block"])
+
+    # equal blocks meet by digest, and the sample is a top-k that Spark keeps in a heap per task
+    cuts = (rows.where("dictionary").select("text", F.col("y").cast("int").alias("y")).mapInArrow(cut, "y int, block binary")
+            .groupBy("y", F.sha2("block", 256).alias("digest")).agg(F.min("block").alias("block")))
+    pooled = stored(cuts, "quality-blocks")
+    blocks = {y: [bytes(r["block"]) for r in pooled.where(F.col("y") == y).orderBy("digest").limit(SAMPLE_BLOCKS).collect()] for y in (0, 1)}
     bad, good = _dictionary(blocks[0]), _dictionary(blocks[1])
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,13 +162,13 @@ def _scores(model: Model, column: pa.Array) -> np.ndarray:
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "score") -> DataFrame:
-    """``docs`` without its text, plus ``out_col`` in [0, 1]."""
-    rest = [f for f in docs.schema.fields if f.name != text_col]
+    """``docs`` without its text, plus ``out_col`` in [0, 1] (in place of a column of that name)."""
+    rest = [f for f in docs.schema.fields if f.name not in (text_col, out_col)]
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
-            keep = [c for i, c in enumerate(batch.columns) if i != at]
+            keep = [batch.column(batch.schema.get_field_index(f.name)) for f in rest]
             yield pa.RecordBatch.from_arrays([*keep, pa.array(_scores(model, batch.column(at)))], [f.name for f in rest] + [out_col])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)
