@@ -179,6 +179,15 @@ def test_temporal_lists(spark):
     assert {r["verdict"] for r in url_lists.filtered(captures, entries.limit(0)).collect()} == {"none"}
 
 
+def test_temporal_lists_keep_the_captures_columns(spark):
+    entries = spark.createDataFrame([("l", "host", "a.org", "block", at(0))], "list_name string, scope string, pattern string, action string, changed_at timestamp")
+    captures = spark.createDataFrame([("http://a.org/", at(1), "own", "kept", "dotted")], "`u.r` string, fetched_at timestamp, scope string, capture_scope string, `a.b` string")
+    out = url_lists.filtered(captures, entries, url_col="u.r")
+    assert out.columns == ["u.r", "fetched_at", "capture_capture_scope", "capture_scope", "a.b", "verdict", "list_name", "scope", "pattern", "valid_from", "valid_to"]
+    r = out.first()
+    assert (r["capture_capture_scope"], r["capture_scope"], r["a.b"], r["verdict"], r["scope"]) == ("own", "kept", "dotted", "block", "host")
+
+
 def test_temporal_lists_equal_sql(spark, duck):
     sf = "/root/testdata/sf0.001"
     df = queries.op3_temporal_url_lists(spark, sf)

@@ -16,7 +16,8 @@ distinct (url, time); paths are only taken as deep as the longest pattern reache
 Defined cases: a url that is null or has no host matches nothing (verdict ``none``); a null fetch time matches
 nothing; entries with a null pattern, scope, action or time are left out; changes of one key at the same instant
 count as one (block before allow before remove); repeated captures each get their verdict; empty tables give
-an empty result or verdict ``none``; extra columns of the captures are kept out of the join.
+an empty result or verdict ``none``; extra columns of the captures, with whatever names, take no part in the
+search and stay; a capture's own column that has the name of a result column stays as ``capture_<name>``.
 """
 
 from __future__ import annotations
@@ -75,7 +76,7 @@ def validity(entries: DataFrame) -> DataFrame:
 def evaluate(captures: DataFrame, entries: DataFrame, url_col: str = "url", time_col: str = "fetched_at") -> DataFrame:
     """One row per distinct (url, time): verdict, and the deciding entry with its validity."""
     lists = stored(validity(entries), "list-validity")
-    seen = captures.select(F.col(url_col).cast("string").alias("url"), F.col(time_col).cast("timestamp").alias("at")).distinct()
+    seen = captures.select(F.col(f"`{url_col}`").cast("string").alias("url"), F.col(f"`{time_col}`").cast("timestamp").alias("at")).distinct()
     span = seen.agg(F.min("at").alias("lo"), F.max("at").alias("hi")).select(F.unix_seconds("lo"), F.unix_seconds("hi")).first()
     longest = lists.where("scope = 'prefix'").agg(F.max(F.length("pattern"))).first()[0] or 0
     lo, hi = (span[0], span[1]) if span[0] is not None else (0, 0)
@@ -107,8 +108,14 @@ def filtered(captures: DataFrame, entries: DataFrame, url_col: str = "url", time
     found = evaluate(captures, entries, url_col, time_col)
     clash = {c: f"__list_{c}" for c in found.columns}
     renamed = found.select(*[F.col(c).alias(n) for c, n in clash.items()])
-    on = F.col(url_col).cast("string").eqNullSafe(F.col(clash["url"])) & F.col(time_col).cast("timestamp").eqNullSafe(F.col(clash["fetched_at"]))
+    on = F.col(f"`{url_col}`").cast("string").eqNullSafe(F.col(clash["url"])) & F.col(f"`{time_col}`").cast("timestamp").eqNullSafe(F.col(clash["fetched_at"]))
     joined = captures.join(renamed, on, "left")
-    facts = [F.coalesce(clash["verdict"], F.lit("none")).alias("verdict"), *[F.col(clash[c]).alias(c) for c in ("list_name", "scope", "pattern", "valid_from", "valid_to")]]
-    taken = {"verdict", "list_name", "scope", "pattern", "valid_from", "valid_to"}
-    return joined.select(*[F.col(c) for c in captures.columns if c not in taken], *facts)
+    added = ("verdict", "list_name", "scope", "pattern", "valid_from", "valid_to")
+    facts = [F.coalesce(clash["verdict"], F.lit("none")).alias("verdict"), *[F.col(clash[c]).alias(c) for c in added[1:]]]
+    own = []
+    for c in captures.columns:
+        name = f"capture_{c}" if c in added else c
+        while name != c and name in captures.columns:
+            name = f"capture_{name}"
+        own.append(captures[f"`{c}`"].alias(name))
+    return joined.select(*own, *facts)
