@@ -8,7 +8,7 @@ def load_all() -> None:
     import importlib
 
     for mod in ("profile_queries", "feature_queries", "sampling_queries",
-                "eval_queries", "model_queries", "scaling_queries", "io_queries", "time_queries"):
+                "eval_queries", "model_queries", "scaling_queries", "io_queries", "time_queries", "bucket_queries"):
         try:
             importlib.import_module(f"vireo.plans.{mod}")
         except ModuleNotFoundError as e:  # modules land one by one
