@@ -177,11 +177,21 @@ def q_hashing_tf(spark, sf):
                      .alias("n_terms"), F.size("filtered_words").alias("n_tokens"))
 
 
-@query("idf")
+@query("idf", f"""
+SELECT doc_id, CAST(len(list_filter({_JTOK}, lambda t: NOT list_contains({_SW}, t))) AS DOUBLE) AS n_terms, true AS consistent
+FROM documents""")
 def q_idf(spark, sf):
+    """E4 by value: in every document every slot's weight is its term count x the idf of the slot's document
+    frequency, counted here apart from the model (a row per slot, so at most 5000)."""
     tf = vec.hashing_tf(_tokens_frame(spark, sf), num_features=5000)
-    model = vec.fit_idf(tf, min_doc_freq=5)
-    return model.transform(tf).select("doc_id", "tfidf")
+    both = vec.fit_idf(tf, min_doc_freq=5).transform(tf).select("doc_id", F.unwrap_udt("raw_tf").alias("a"), F.unwrap_udt("tfidf").alias("b"))
+    slots = both.select("doc_id", F.explode_outer(F.arrays_zip(F.col("a.indices").alias("slot"), F.col("a.values").alias("tf"), F.col("b.indices").alias("same"), F.col("b.values").alias("weight"))).alias("x")).select("doc_id", "x.*")
+    freq = slots.where("tf > 0").groupBy("slot").agg(F.count(F.lit(1)).alias("df"))
+    n = both.agg(F.count(F.lit(1)).cast("double")).scalar()
+    idf = F.when(F.col("df") >= 5, F.log((n + 1.0) / (F.col("df") + 1.0))).otherwise(F.lit(0.0))
+    fits = (F.col("slot") == F.col("same")) & (F.abs(F.col("weight") - F.col("tf") * idf) <= 1e-9 * (1 + F.abs("weight")))
+    per_slot = slots.join(F.broadcast(freq), "slot", "left").select("doc_id", "tf", F.when(F.col("slot").isNotNull(), F.coalesce(fits, F.lit(False))).otherwise(True).alias("fits"))
+    return per_slot.groupBy("doc_id").agg(F.coalesce(F.sum("tf"), F.lit(0.0)).alias("n_terms"), F.min("fits").alias("consistent"))
 
 
 def _labelled_posts(spark, sf):

@@ -13,7 +13,7 @@ from vireo.functions.text import NUMERIC_FEATURES
 from vireo.operators import profile
 from vireo.plans import marts
 from vireo.plans.registry import ORACLE, query, table
-from vireo.plans.sqlbits import features_sql
+from vireo.plans.sqlbits import features_sql, u32, unit
 from vireo.session import scratch_dir
 from vireo.sources import files
 from vireo.streaming.features_stream import run_feature_stream
@@ -112,13 +112,28 @@ def q_stream_text_features(spark, sf):
 # ------------------------------------------------ marts, written and read back
 
 def _mart(name: str, twin: str, build, schema: str):
+    """``twin`` is a registered query's name or SQL of its own."""
     def run(spark, sf):
         path = _fresh(spark, name)
         files.write_mart(build(spark, sf), path)
         return files.read_mart(spark, path, schema)
-    query(name, ORACLE[twin])(run)
+    query(name, ORACLE.get(twin, twin))(run)
 
 
 _mart("mart_data_quality", "missing_profile", lambda s, sf: marts.data_quality_mart(s, sf)["missing"], "`column` string, missing bigint, pct double")
 _mart("mart_insights", "class_profile", lambda s, sf: marts.insight_mart(s, sf)["class_profile"], "feature string, mean_0 double, mean_1 double, diff double")
 _mart("mart_scaling", "strong_scaling", lambda s, sf: marts.scaling_mart(s, sf)["strong"], "job string, cores int, time double, speedup double, efficiency double, ideal double")
+
+_LABELLED = "FROM documents JOIN labels USING (doc_id)"
+_mart("mart_overview", "dataset_overview", lambda s, sf: marts.data_quality_mart(s, sf)["overview"], "metric string, value double")
+_mart("mart_classes", "class_distribution", lambda s, sf: marts.data_quality_mart(s, sf)["classes"], "quality int, n bigint, share double")
+_mart("mart_groups", """
+SELECT lang, count(*) AS n, CAST(row_number() OVER (ORDER BY count(*) DESC, lang) AS INTEGER) AS rank, count(*) OVER () AS total_groups
+FROM documents GROUP BY lang ORDER BY n DESC, lang LIMIT 30""",
+      lambda s, sf: marts.insight_mart(s, sf)["groups"], "lang string, n bigint, rank int, total_groups bigint")
+_mart("mart_catalog", ORACLE["catalog"].replace("FROM documents)", f"{_LABELLED})"), lambda s, sf: marts.insight_mart(s, sf)["catalog"],
+      "`index` int, name string, category string, description string, mean double, stddev double")
+_mart("mart_feature_sample", f"{ORACLE['eda_features']}\nWHERE {unit(u32('d.doc_id'))} < 0.05", lambda s, sf: marts.insight_mart(s, sf)["feature_sample"],
+      "body_length bigint, summary_length bigint, word_count bigint, has_url int, question_marks int, exclamation_marks int, quality int")
+_mart("mart_weak_scaling", "weak_scaling", lambda s, sf: marts.scaling_mart(s, sf)["weak"], "job string, cores int, time double, relative_time double, ideal double")
+_mart("mart_size_impact", "size_impact", lambda s, sf: marts.scaling_mart(s, sf)["size"], "job string, data_fraction double, `rows` bigint, time double")

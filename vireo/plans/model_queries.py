@@ -111,15 +111,30 @@ def q_importance(spark, sf):
     return top.agg(F.count(F.lit(1)).cast("int").alias("listed"), F.min(F.col("name").isin(names)).alias("named")).crossJoin(total).select("listed", "total", "named")
 
 
-@query("model_summary")
+# what each learner's summary lists: a value where the settings fix it, else the bounds it must keep
+_SUMMARY_FACTS = [("logistic_regression", "iterations", None, 0, 100), ("logistic_regression", "final_objective", None, 0, 1),
+                  ("decision_tree", "depth", None, 1, 10), ("decision_tree", "nodes", None, 3, 2047),
+                  ("random_forest", "trees", 100, 100, 100), ("random_forest", "total_nodes", None, 100, 204_700),
+                  ("gbt", "trees", 50, 50, 50), ("gbt", "total_nodes", None, 50, 3150)]
+
+
+@query("model_summary", "SELECT model, item, CAST(value AS DOUBLE) AS value, true AS in_bounds FROM (VALUES "
+       + ", ".join(f"('{m}', '{i}', {'NULL' if v is None else v})" for m, i, v, _, _ in _SUMMARY_FACTS) + ") AS t(model, item, value)")
 def q_model_summary(spark, sf):
+    """Every item of the four models' summaries; fitted values within the bounds that the settings give."""
     _, train, _ = _prepared(spark, sf)
     train = md.cache_for_fit(train)
     out = None
     for name, est in md.base_models().items():
         part = md.model_summary(name, md.fit(est, train))
         out = part if out is None else out.unionByName(part)
-    return out
+    fixed, holds = F.lit(None).cast("double"), F.lit(False)
+    for model, item, value, low, high in _SUMMARY_FACTS:
+        here = (F.col("model") == model) & (F.col("item") == item)
+        holds = holds | (here & F.col("value").between(low, high))
+        if value is not None:
+            fixed = F.when(here, F.col("value")).otherwise(fixed)
+    return out.select("model", "item", fixed.alias("value"), holds.alias("in_bounds"))
 
 
 def _scored(spark, sf):

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from vireo.functions.text import NUMERIC_FEATURES
 from vireo.operators import clean, label, profile
-from vireo.operators.features import text_features
-from vireo.plans.registry import POSTS_SQL, posts, query, table
+from vireo.operators.features import eda_features, text_features
+from vireo.plans.registry import ORACLE, POSTS_SQL, posts, query, table
 from vireo.plans.sqlbits import features_sql, rnd, union_all
 
 DOC_COLS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -231,6 +231,32 @@ def q_box_stats(spark, sf):
     return profile.box_stats(j, "quality", "n_chars", upper=5000)
 
 
+_EDA = {"body_length": "CAST(length(text) AS DOUBLE)", "summary_length": "CAST(length(split_part(text, chr(10), 1)) AS DOUBLE)",
+        "word_count": r"CAST(len(string_split_regex(text, '\s+')) AS DOUBLE)", "has_url": "CASE WHEN regexp_matches(text, 'https?://') THEN 1.0 ELSE 0.0 END",
+        "question_marks": "CAST(length(text) - length(replace(text, '?', '')) AS DOUBLE)", "exclamation_marks": "CAST(length(text) - length(replace(text, '!', '')) AS DOUBLE)"}
+# The plots' upper limits.
+_EDA_UPPER = {"summary_length": 500, "word_count": 1000}
+
+
+def _eda(spark, sf):
+    return eda_features(posts(spark, sf).join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id"), "text", "summary", "quality")
+
+
+def _eda_histogram(col: str):
+    @query(f"histogram_{col}", ORACLE["histogram_chars"].replace("SELECT CAST(n_chars AS DOUBLE) AS x FROM documents WHERE n_chars IS NOT NULL AND n_chars < 5000",
+                                                                 f"SELECT x FROM (SELECT {_EDA[col]} AS x FROM documents JOIN labels USING (doc_id)) WHERE x < {_EDA_UPPER[col]}"))
+    def run(spark, sf):
+        return profile.histogram(_eda(spark, sf), col, bins=50, upper=_EDA_UPPER[col])
+
+    @query(f"box_{col}", ORACLE["box_stats"].replace(_BOX_BASE, f"(SELECT * FROM (SELECT quality, {_EDA[col]} AS x FROM documents JOIN labels USING (doc_id)) WHERE x < {_EDA_UPPER[col]})"))
+    def box(spark, sf):
+        return profile.box_stats(_eda(spark, sf), "quality", col, upper=_EDA_UPPER[col])
+
+
+for _col in _EDA_UPPER:
+    _eda_histogram(_col)
+
+
 _CORR_COLS = ["char_count", "word_count", "sentence_count", "uppercase_ratio", "quality"]
 
 
@@ -257,6 +283,19 @@ def q_correlation(spark, sf):
     return profile.correlation_matrix(j, _CORR_COLS)
 
 
+_EDA_PAIRS = [(x, y) for i, x in enumerate([*_EDA, "quality"]) for y in [*_EDA, "quality"][i + 1:]]
+
+
+@query("correlation_eda", f"""
+WITH f AS (SELECT {', '.join(f'{e} AS {c}' for c, e in _EDA.items())}, CAST(quality AS DOUBLE) AS quality FROM documents JOIN labels USING (doc_id)),
+m AS (SELECT {', '.join(f'avg({c}) AS m_{c}' for c in (*_EDA, 'quality'))} FROM f)
+""" + union_all([f"""SELECT '{x}' AS col_a, '{y}' AS col_b, round(sum(({x} - m_{x}) * ({y} - m_{y})) /
+  nullif(sqrt(sum(({x} - m_{x}) * ({x} - m_{x}))) * sqrt(sum(({y} - m_{y}) * ({y} - m_{y}))), 0.0), 6) AS corr FROM f, m""" for x, y in _EDA_PAIRS]))
+def q_correlation_eda(spark, sf):
+    """B11 on the exploratory columns."""
+    return profile.correlation_matrix(_eda(spark, sf), [*_EDA, "quality"])
+
+
 # ------------------------------------------------------ cleaning
 
 @query("drop_missing", f"""
