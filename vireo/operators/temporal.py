@@ -7,7 +7,8 @@ So a key with a third of all rows is cut by time and no task holds it.
 
 The interval join deals both sides to time bins of a fixed width and joins inside the bins; a pair
 is returned by the one bin in which its overlap starts, so nothing is found twice and
-nothing is compared with everything.
+nothing is compared with everything.  Where only totals over a span's points are asked for, running
+totals in time order give them without the pairs, whose number grows with the square of the rows.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vireo.operators.cumulative import _RANGE, _ranged
+from vireo.operators.joins import join_group_table, materialize
 
 
 def _with_earlier(t: DataFrame, by: list[str], earlier: DataFrame) -> DataFrame:
@@ -59,15 +61,22 @@ def _bin(micros: Column, width: int) -> Column:
 
 
 def interval_join(left: DataFrame, right: DataFrame, left_span: tuple[str, str], right_span: tuple[str, str] | str, bin_seconds: int,
-                  on: list[str] | None = None) -> DataFrame:
+                  on: list[str] | None = None, totals_of: str | None = None) -> DataFrame:
     """All pairs of rows (of equal keys ``on``) whose half-open spans overlap; ``right_span`` may be a single time column, a point.
 
+    With ``totals_of``, a column of points, the left rows that have a pair come back once, with the number of their pairs and the
+    column's smallest and largest value in them, and the pairs are never made: see ``interval_totals``.
+
     Columns of both sides must differ but for ``on``.  Rows with a null bound or an empty span match nothing.
     ``bin_seconds`` of about the usual span keeps both the copies of a row and the pairs compared few.
     """
     on = on or []
     width = bin_seconds * 1_000_000
     point = isinstance(right_span, str)
+    if totals_of is not None:
+        if not point:
+            raise ValueError("totals are of points")
+        return interval_totals(left, right, left_span, right_span, totals_of, on)
     spans = {"l": left_span, "r": (right_span, right_span) if point else right_span}
 
     def dealt(df: DataFrame, side: str) -> DataFrame:
@@ -83,6 +92,61 @@ def interval_join(left: DataFrame, right: DataFrame, left_span: tuple[str, str],
     return met.drop("__bin", "__l0", "__l1", "__r0", "__r1")
 
 
+def _widths(spans: DataFrame) -> DataFrame:
+    """``spans`` plus ``__width``: the power of two at or below the span's length."""
+    length = F.col("__l1") - F.col("__l0")
+    return spans.withColumn("__width", F.call_function("shiftleft", F.lit(1).cast("long"), F.length(F.bin(length)) - 1))
+
+
+def interval_totals(left: DataFrame, right: DataFrame, left_span: tuple[str, str], right_time: str, value: str,
+                    on: list[str] | None = None) -> DataFrame:
+    """``left`` rows that meet points of ``right`` (as in ``interval_join``) plus ``n``, ``least`` and ``most``: how many
+    points each meets, and the smallest and largest ``value`` of them.
+
+    No pair is made, so the work grows with the rows, not with how many points a span holds.  For spans whose
+    length is from w to below 2 w (w a power of two), time is cut into bins of w: such a span is the end of a bin, at most one
+    whole bin and the start of a bin.  Points and the spans' bounds are put in order inside their bins, forwards
+    and backwards, and a running count, minimum and maximum answers each bound.  There are fewer than 64 widths.
+    """
+    on = on or []
+    known = F.lit(True)
+    for k in on:
+        known = known & F.col(k).isNotNull()
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    rows = left.withColumn("__l0", micros(left_span[0])).withColumn("__l1", micros(left_span[1])).where(known & (F.col("__l0") < F.col("__l1")))
+    spans = materialize(_widths(rows.groupBy(*on, "__l0", "__l1").agg(F.count(F.lit(1)).alias("__rows"))))
+    widths = F.broadcast(spans.select("__width").distinct())  # fewer than 64
+    w = F.col("__width")
+    bin_of = lambda at: F.expr(f"({at} - pmod({at}, __width)) div __width")
+    first, last = bin_of("__l0"), bin_of("(__l1 - 1)")
+
+    def probe(bin_, back, at, when):
+        return F.when(when, F.struct(bin_.alias("__bin"), back.alias("__back"), at.alias("__at")))
+
+    # a bound asks for what comes before it in its direction; backwards a point at the bound itself counts
+    middle = first + 1
+    asked = F.array(probe(first, F.lit(True), 1 - F.col("__l0"), F.lit(True)), probe(last, F.lit(False), F.col("__l1"), last > first),
+                    probe(middle, F.lit(True), 1 - middle * w, last - first == 2))
+    bounds = spans.withColumn("__p", F.explode(F.filter(asked, lambda p: p.isNotNull()))).select(*on, "__width", "__p.*", "__l0", "__l1", F.lit(False).alias("__point"))
+    at = right.where(known & F.col(right_time).isNotNull()).select(*on, micros(right_time).alias("__t"), F.col(value).alias("__v")).crossJoin(widths)
+    both_ways = F.explode(F.array(F.lit(False), F.lit(True))).alias("__back")
+    points = at.select(*on, "__width", bin_of("__t").alias("__bin"), both_ways, "__t", "__v")
+    points = points.select(*on, "__width", "__bin", "__back", F.when(F.col("__back"), -F.col("__t")).otherwise(F.col("__t")).alias("__at"), "__v", F.lit(True).alias("__point"))
+    by = [*on, "__width", "__bin", "__back"]
+    t = _ranged(bounds.unionByName(points, allowMissingColumns=True), [*by, "__at", "__point"])
+    inside = Window.partitionBy(*by, _RANGE).orderBy("__at", "__point").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*by).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    one = F.col("__point").cast("long")
+    ends = t.groupBy(*by, _RANGE).agg(F.sum(one).alias("__n"), F.min("__v").alias("__a"), F.max("__v").alias("__b"))
+    carried = ends.select(*by, _RANGE, F.sum("__n").over(before).alias("__en"), F.min("__a").over(before).alias("__ea"), F.max("__b").over(before).alias("__eb")).where("__en > 0")
+    t = t.select("*", F.sum(one).over(inside).alias("__n"), F.min("__v").over(inside).alias("__a"), F.max("__v").over(inside).alias("__b"))
+    t = _with_earlier(t.where(~F.col("__point")), by, carried)
+    met = t.groupBy(*on, "__l0", "__l1").agg(F.sum(F.col("__n") + F.coalesce("__en", F.lit(0))).alias("n"),
+                                            F.min(F.least("__a", "__ea")).alias("least"), F.max(F.greatest("__b", "__eb")).alias("most"))
+    met = materialize(met.where("n > 0").join(spans.select(*on, "__l0", "__l1", "__rows"), [*on, "__l0", "__l1"]))
+    return join_group_table(rows, met, [*on, "__l0", "__l1"], "inner", size_col="__rows").select(*left.columns, "n", "least", "most")
+
+
 def session_windows(df: DataFrame, by: list[str], time_col: str, gap_seconds: int) -> DataFrame:
     """(by..., session_start, session_end, n): runs of rows in which no row is ``gap_seconds`` or more after the one before.
 

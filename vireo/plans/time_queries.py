@@ -52,8 +52,8 @@ def q_interval_order_windows(spark, sf):
     """Events inside a window that opens with each order; no key joins them, only time."""
     start = F.col("o_orderdate").cast("timestamp") + F.expr(f"INTERVAL {_MOVED_DAYS} DAYS")
     windows = table(spark, sf, "orders").select("o_orderkey", start.alias("opens"), (start + F.expr(f"INTERVAL {_WINDOW_HOURS} HOURS")).alias("closes"))
-    met = temporal.interval_join(windows, _events(spark, sf).select("event_id", "ts"), ("opens", "closes"), "ts", _WINDOW_HOURS * 3600)
-    return met.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("events"), F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event"))
+    met = temporal.interval_join(windows, _events(spark, sf).select("event_id", "ts"), ("opens", "closes"), "ts", _WINDOW_HOURS * 3600, totals_of="event_id")
+    return met.groupBy("o_orderkey").agg(F.sum("n").alias("events"), F.min("least").alias("first_event"), F.max("most").alias("last_event"))
 
 
 _OVERLAP = """SELECT o_custkey, o_orderkey, o_orderdate AS f, o_orderdate + INTERVAL 20 DAY AS t FROM orders"""
