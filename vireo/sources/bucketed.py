@@ -1,8 +1,9 @@
 """Bucketed tables: rows laid out by key once, so later grouping, dedup and joins on the key need no shuffle.
 
-A key with more rows than a bucket is meant to hold (the null key too) would make one bucket, and one task, as large
+A key with more rows or bytes than a bucket is meant to hold (the null key too) would make one bucket, and one task, as large
 as itself.  Such hot keys are written apart, unbucketed, under ``hot``; there are fewer of them than buckets.  All
-other rows are hash-bucketed and sorted by the key under ``cold``, one file a bucket.  As a key is in one part only,
+other rows are hash-bucketed and sorted by the key under ``cold``, one file a bucket.  A bucket is one task's work, so
+it is sized by rows and by bytes: wide rows make more buckets.  As a key is in one part only,
 a keyed operator runs on both parts and its results are put together: without an exchange on the cold part, with
 the usual pre-aggregation or size-checked join on the hot one.
 
@@ -22,9 +23,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from vireo.operators.joins import MAX_BROADCAST_BYTES, materialize, table_bytes
+from vireo.operators.joins import MAX_BROADCAST_BYTES, materialize, row_bytes, table_bytes
 
 ROWS_PER_BUCKET = 1_000_000
+BYTES_PER_BUCKET = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -43,7 +45,8 @@ class Bucketed:
         return self.cold.unionByName(self.hot)
 
 
-def write_bucketed(tables: dict[str, DataFrame], path: str, by: list[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> dict[str, Bucketed]:
+def write_bucketed(tables: dict[str, DataFrame], path: str, by: list[str], rows_per_bucket: int = ROWS_PER_BUCKET,
+                   bytes_per_bucket: int = BYTES_PER_BUCKET) -> dict[str, Bucketed]:
     """Write ``tables`` (by name) under ``path`` in one layout on the key columns ``by``, and open them.
 
     Keys are counted first (pre-aggregated, without the other columns); the largest table sets the number of
@@ -52,13 +55,13 @@ def write_bucketed(tables: dict[str, DataFrame], path: str, by: list[str], rows_
     spark = next(iter(tables.values())).sparkSession
     counted = None
     for name, df in tables.items():
-        part = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__rows")).withColumn("__table", F.lit(name))
+        part = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__rows"), F.sum(row_bytes(df)).alias("__bytes")).withColumn("__table", F.lit(name))
         counted = part if counted is None else counted.unionByName(part)
     counted = materialize(counted)
-    total = max([r["n"] for r in counted.groupBy("__table").agg(F.sum("__rows").alias("n")).collect()], default=0)  # a row per table
-    buckets = max(1, -(-total // rows_per_bucket))
-    # fewer than total / rows_per_bucket keys of each table
-    hot_keys = materialize(counted.where(F.col("__rows") > rows_per_bucket).select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(by)]).distinct())
+    totals = counted.groupBy("__table").agg(F.sum("__rows").alias("n"), F.sum("__bytes").alias("b")).collect()  # a row per table
+    buckets = max([max(-(-r["n"] // rows_per_bucket), -(-r["b"] // bytes_per_bucket)) for r in totals], default=1)
+    # fewer than total / rows_per_bucket + bytes / bytes_per_bucket keys of each table
+    hot_keys = materialize(counted.where((F.col("__rows") > rows_per_bucket) | (F.col("__bytes") > bytes_per_bucket)).select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(by)]).distinct())
     listed = F.broadcast(hot_keys) if table_bytes(hot_keys) <= MAX_BROADCAST_BYTES else hot_keys
     for name, df in tables.items():
         same = F.lit(True)
