@@ -44,6 +44,14 @@ def _refuse(*_):
     raise AssertionError("every slot of every row was read")
 
 
+def test_one_task_grows_the_same_trees_from_filled_slots(rows, plain, monkeypatch):
+    monkeypatch.setattr(GBTClassifier, "_fit", _refuse)  # the learner that bins all slots, as before
+    made = md.fit(md.gbt(12, 4, minInstancesPerNode=15), rows)
+    assert _trees(made) == _trees(plain) and made.totalNumNodes == plain.totalNumNodes
+    assert made.featureImportances.toArray() == pytest.approx(plain.featureImportances.toArray())
+    assert (made.numFeatures, made.numClasses, made.treeWeights, made.getMaxDepth()) == (34, 2, plain.treeWeights, 4)
+
+
 def test_many_tasks_blocks_and_batches_grow_the_same_trees(rows, plain, monkeypatch):
     monkeypatch.setattr(bo, "ENTRIES_IN_ONE", 0)
     monkeypatch.setattr(bo, "ENTRIES_PER_TASK", 1500)
@@ -84,6 +92,19 @@ def test_tuning_reads_filled_slots_only(rows, monkeypatch):
     assert got == pytest.approx(want) and len(got) == 4
 
 
+def test_other_settings_and_refused_rows_go_to_the_plain_learner(spark, rows):
+    assert bo.covers(md.gbt(), rows)
+    for est in (md.gbt(subsamplingRate=0.5), md.gbt(featureSubsetStrategy="sqrt"), md.gbt(weightCol="id"), md.gbt(validationIndicatorCol="id")):
+        assert not bo.covers(est, rows)
+    nominal = rows.select("label", F.col("features").alias("features", metadata={"ml_attr": {"attrs": {"nominal": [{"idx": 0}]}, "num_attrs": 34}}))
+    assert not bo.covers(md.gbt(), nominal)
+    assert bo.bin_rows(md.gbt(), rows.where("id < 0")) is None
+    with pytest.raises(Exception):
+        md.fit(md.gbt(2, 2), rows.withColumn("label", F.when(F.col("id") > 5, F.col("label"))))
+    model = md.fit(md.gbt(2, 2, subsamplingRate=0.5), rows)
+    assert model.getNumTrees == 2
+
+
 def test_thresholds_part_rows_in_equal_shares():
     assert bo.slot_thresholds(np.array([1.0, 3.0]), np.array([2, 2]), 10, 31).tolist() == [0.5, 2.0]
     assert bo.slot_thresholds(np.array([4.0]), np.array([10]), 10, 31).tolist() == []  # one value in all rows
