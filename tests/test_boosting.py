@@ -105,6 +105,12 @@ def test_other_settings_and_refused_rows_go_to_the_plain_learner(spark, rows):
     assert model.getNumTrees == 2
 
 
+def test_summary_of_a_boosted_fit_reads_filled_slots_only(rows, plain, monkeypatch):
+    monkeypatch.setattr(GBTClassifier, "_fit", _refuse)
+    made = md.model_summary("gbt", md.fit(md.gbt(12, 4, minInstancesPerNode=15), md.cache_for_fit(rows))).collect()
+    assert {r["item"]: r["value"] for r in made} == {"trees": 12.0, "total_nodes": float(plain.totalNumNodes)}
+
+
 def test_thresholds_part_rows_in_equal_shares():
     assert bo.slot_thresholds(np.array([1.0, 3.0]), np.array([2, 2]), 10, 31).tolist() == [0.5, 2.0]
     assert bo.slot_thresholds(np.array([4.0]), np.array([10]), 10, 31).tolist() == []  # one value in all rows
